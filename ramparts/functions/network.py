@@ -11,11 +11,12 @@ IPV4_RANGE = rf"\A({_OCTET}\.){{3}}{_OCTET}(/(3[0-2]|[1-2]?[0-9]))?\z"
 
 def ipv4_number(address: Column) -> Column:
     """Dotted quad as a bigint, NULL for anything else (IPv6 included)."""
-    octets = F.split(address, r"\.")
-    number = F.lit(0).cast("bigint")
-    for position in range(4):
-        number = number * 256 + F.get(octets, F.lit(position)).try_cast("bigint")
-    return F.when(address.rlike(IPV4), number)
+    octets = F.split(F.when(address.rlike(IPV4), address), r"\.")
+    # The octets stand outside any condition, so that the split is evaluated once for all four.
+    number = F.get(octets, F.lit(0)).cast("bigint")
+    for position in (1, 2, 3):
+        number = number * 256 + F.get(octets, F.lit(position)).cast("bigint")
+    return number
 
 
 def is_ipv4_range(text: Column) -> Column:

@@ -39,7 +39,7 @@ def url_decode(text: Column) -> Column:
     """
     stray_kept = F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")
     plus_kept = F.replace(stray_kept, F.lit("+"), F.lit("%2B"))
-    return F.when(text.contains("%"), F.coalesce(F.try_url_decode(plus_kept), text)).otherwise(text)
+    return F.coalesce(F.try_url_decode(F.when(text.contains("%"), plus_kept)), text)
 
 
 def _decoded_piece(piece: Column) -> Column:

@@ -19,20 +19,20 @@ NOTHING, BAD_RANGE, PROTECTED = "no indicator", "invalid range", "protected rang
 BAD_LENGTH, TOO_BROAD, BOTH = "pattern length", "pattern too broad", "range and pattern"
 
 
-def _given(text: Column) -> Column:
-    return F.coalesce(F.length(text) > 0, F.lit(False))
-
-
 def rejection(ip: Column, pattern: Column) -> Column:
-    """Why an indicator is refused, NULL if it is not."""
-    return (
-        F.when(~_given(ip) & ~_given(pattern), F.lit(NOTHING))
-        .when(_given(ip) & _given(pattern), F.lit(BOTH))
-        .when(_given(ip) & ~is_ipv4_range(ip), F.lit(BAD_RANGE))
-        .when(_given(ip) & ip.isin(*PROTECTED_RANGES), F.lit(PROTECTED))
-        .when(_given(pattern) & ~F.length(pattern).between(*PATTERN_LENGTHS), F.lit(BAD_LENGTH))
-        .when(_given(pattern) & pattern.isin(*BROAD_PATTERNS), F.lit(TOO_BROAD))
+    """Why an indicator is refused, NULL if it is not. Empty text counts as not given."""
+    no_pattern = F.coalesce(F.length(pattern) == 0, F.lit(True))
+    of_range = (
+        F.when(~no_pattern, F.lit(BOTH))
+        .when(~is_ipv4_range(ip), F.lit(BAD_RANGE))
+        .when(ip.isin(*PROTECTED_RANGES), F.lit(PROTECTED))
+    )
+    of_pattern = (
+        F.when(no_pattern, F.lit(NOTHING))
+        .when(~F.length(pattern).between(*PATTERN_LENGTHS), F.lit(BAD_LENGTH))
+        .when(pattern.isin(*BROAD_PATTERNS), F.lit(TOO_BROAD))
     )
+    return F.when(F.length(ip) > 0, of_range).otherwise(of_pattern)
 
 
 def validate_indicators(feed: DataFrame) -> DataFrame:

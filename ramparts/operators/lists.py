@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ramparts.functions.network import ipv4_number, is_ipv4_range, range_key, to_range
@@ -9,6 +10,7 @@ from ramparts.functions.text import lowercase
 from ramparts.operators.detection import decoded_path
 from ramparts.sources.reference_sets import BROADCAST_ROWS
 
+NO_RANGE = -1
 # Above this many patterns, requests and patterns meet in a join on short substrings.
 INLINE_PATTERNS = 256
 # Characters by which a pattern is first looked up.
@@ -16,15 +18,18 @@ ANCHOR_LENGTH = 8
 
 
 def range_set(cidrs: DataFrame) -> DataFrame:
-    """Valid IPv4 ranges as (range_key, prefix_length), each once. Bare addresses count as /32."""
+    """IPv4 ranges as (range_key, prefix_length), each once; bare addresses count as /32.
+
+    An invalid range gets a key that no address has, and a NULL length. The key
+    is never NULL, so the joins on it add no NULL test that would parse every range twice.
+    """
     text = to_range(F.col("cidr"))
-    length = F.substring_index(text, "/", -1).try_cast("int")
-    number = ipv4_number(F.substring_index(text, "/", 1))
-    return (
-        cidrs.filter(is_ipv4_range(F.col("cidr")))
-        .select(range_key(number, length).alias("range_key"), length.alias("prefix_length"))
-        .distinct()
+    length = F.when(is_ipv4_range(F.col("cidr")), F.substring_index(text, "/", -1).try_cast("int"))
+    parsed = cidrs.select("cidr").distinct().withColumns(
+        {"prefix_length": length, "number": ipv4_number(F.substring_index("cidr", "/", 1))}
     )
+    key = F.coalesce(range_key(F.col("number"), F.col("prefix_length")), F.lit(NO_RANGE).cast("bigint"))
+    return parsed.select(key.alias("range_key"), "prefix_length").distinct()
 
 
 def with_ip_set_flag(
@@ -33,31 +38,34 @@ def with_ip_set_flag(
     """Add a boolean: the client address lies in one of the ranges. NULL or non-IPv4 clients do not.
 
     Membership is equality of (prefix length, network), tried for each prefix length
-    in the set, of which there are at most 33. A set counted to be small is
-    broadcast and the requests are not shuffled. For a larger one, each distinct
-    address is looked up once by a shuffled join, and the addresses found are joined
-    back to the requests.
+    in the set, of which there are at most 33. A set of at most ``broadcast_rows`` ranges is taken out
+    once and broadcast per length, and the requests are not shuffled. For a larger one, each
+    distinct address is looked up once by a shuffled join, and the addresses found are
+    joined back to the requests.
     """
     ranges = range_set(cidrs)
-    size, lengths = ranges.agg(F.count(F.lit(1)), F.collect_set("prefix_length")).first()
-    if size == 0:
-        return requests.withColumn(flag, F.lit(False))
     number = ipv4_number(F.col("clientip"))
-    if size <= broadcast_rows:
-        known = F.broadcast(ranges.select("range_key"))
+    taken = ranges.take(broadcast_rows + 1)
+    if len(taken) <= broadcast_rows:
+        of_length: dict[int, list[int]] = {}
+        for key, length in taken:
+            if length is not None:
+                of_length.setdefault(length, []).append(key)
         flagged = requests.withColumn("_number", number).withColumn(flag, F.lit(False))
-        for length in sorted(lengths):
-            side = known.select(F.col("range_key").alias("_key"), F.lit(True).alias("_hit"))
+        for length, keys in sorted(of_length.items()):
+            side = requests.sparkSession.createDataFrame(pa.table({"_key": pa.array(keys, pa.int64())}))
             flagged = (
-                flagged.join(side, range_key(F.col("_number"), length) == F.col("_key"), "left")
-                .withColumn(flag, F.col(flag) | F.coalesce("_hit", F.lit(False)))
-                .drop("_key", "_hit")
+                flagged.join(F.broadcast(side), range_key(F.col("_number"), length) == F.col("_key"), "left")
+                .withColumn(flag, F.col(flag) | F.col("_key").isNotNull())
+                .drop("_key")
             )
         return flagged.drop("_number")
-    addresses = requests.select("clientip").distinct().withColumn("_number", number).filter("_number IS NOT NULL")
-    keys = F.array(*[range_key(F.col("_number"), length) for length in sorted(lengths)])
+    lengths = sorted(r[0] for r in ranges.select("prefix_length").distinct().collect() if r[0] is not None)
+    addresses = requests.select("clientip").distinct().withColumn("_number", number)
+    keys = F.array(*[range_key(F.col("_number"), length) for length in lengths])
     found = (
-        addresses.select("clientip", F.explode(keys).alias("range_key"))
+        addresses.filter(F.col("_number").isNotNull())
+        .select("clientip", F.explode(keys).alias("range_key"))
         .join(ranges, "range_key", "left_semi")
         .select("clientip")
         .distinct()

@@ -75,5 +75,7 @@ def with_rate_flag(
         .filter(F.col("window_count") > limit)
         .select("clientip", "ts_ms", F.lit(True).alias(flag))
     )
-    flagged = requests.join(breaches, ["clientip", "ts_ms"], "left")
-    return flagged.withColumn(flag, F.coalesce(flag, F.lit(False)) & is_counted())
+    # Judged before the join, which then need not carry the path.
+    judged = requests.withColumn("_counted", is_counted())
+    flagged = judged.join(breaches, ["clientip", "ts_ms"], "left")
+    return flagged.withColumn(flag, F.coalesce(flag, F.lit(False)) & F.col("_counted")).drop("_counted")

@@ -75,7 +75,7 @@ def log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the log as hourly gzip JSON, read ten days of it back with fields out of the request."""
     rows = derived.events(spark, sf_dir)
     root = scratch_path(spark, "log")
-    write_logs(derived.decision_log(rows), root)
+    write_logs(derived.decision_log(derived.in_time_order(rows)), root, in_time_order=True)
     first = rows.agg(F.min("ts")).first()[0]
     logs = read_logs(spark, root, first + timedelta(days=3), first + timedelta(days=12))
     return as_requests(logs, "action", "terminatingruleid", *PARTITIONS).select(
@@ -116,7 +116,8 @@ def retained_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land lines as text, ingest them as a stream, read back what was stored and what was refused."""
     work = scratch_path(spark, "ingest")
-    derived.log_lines(derived.events(spark, sf_dir)).write.option("compression", "gzip").text(f"{work}/landing")
+    lines = derived.log_lines(derived.in_time_order(derived.events(spark, sf_dir)))
+    lines.write.option("compression", "gzip").text(f"{work}/landing")
     query = ingest(
         line_stream(spark, f"{work}/landing"), f"{work}/log", f"{work}/errors", f"{work}/state", {"availableNow": True}
     )

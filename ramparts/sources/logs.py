@@ -136,39 +136,47 @@ def with_hour_partition(logs: DataFrame, moment: Column | None = None) -> DataFr
     return logs.withColumns({name: F.date_format(moment, form) for name, form in forms.items()})
 
 
-def append_hours(logs: DataFrame, root: str, mode: str = "append", *extra_partitions: str) -> None:
+def append_hours(
+    logs: DataFrame, root: str, mode: str = "append", in_time_order: bool = False, leaf: str | None = None
+) -> None:
     """Write contract rows that carry their hour partition as gzip JSON lines.
 
     The rebalance gathers each hour's rows, splits an hour too big for one file and
     merges small ones, all by measured size; without it every task would
-    write a file for every hour it meets.
+    write a file for every hour it meets. Rows that come in time order, each task's in few
+    hours, need no such shuffle. ``leaf`` names one more partition column below the hour.
     """
-    layout = (*PARTITIONS, *extra_partitions)
-    writer = _to_wire(logs, *layout).hint("rebalance", *PARTITIONS).write.mode(mode)
-    writer = writer.partitionBy(*layout).option("compression", "gzip").option("ignoreNullFields", "true")
+    layout = (*PARTITIONS, leaf) if leaf else PARTITIONS
+    wire = _to_wire(logs, *layout)
+    if not in_time_order:
+        wire = wire.hint("rebalance", *PARTITIONS)
+    writer = wire.write.mode(mode).partitionBy(*layout).option("compression", "gzip")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.json(root)
+    writer.option("ignoreNullFields", "true").json(root)
 
 
 def write_errors(parsed: DataFrame, errors_root: str, mode: str = "append") -> None:
     error_records(parsed).write.mode(mode).option("compression", "gzip").text(errors_root)
 
 
-def write_logs(df: DataFrame, root: str, errors_root: str | None = None, mode: str = "append") -> None:
+def write_logs(
+    df: DataFrame, root: str, errors_root: str | None = None, mode: str = "append", in_time_order: bool = False
+) -> None:
     """Hourly gzip sink. Rows with ``_corrupt_record`` go to ``errors_root`` as text.
 
-    ``mode="overwrite"`` replaces only the hours that occur in ``df``.
+    ``mode="overwrite"`` replaces only the hours that occur in ``df``. ``in_time_order`` spares
+    a shuffle when each task's rows already lie in few hours.
     """
     if CORRUPT not in df.columns:
-        append_hours(df if "hour" in df.columns else with_hour_partition(df), root, mode)
+        append_hours(df if "hour" in df.columns else with_hour_partition(df), root, mode, in_time_order)
         return
     if errors_root is None:
         raise ValueError("errors_root is needed for rows with _corrupt_record")
     kept = df.persist()
     try:
         good = kept.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        append_hours(good if "hour" in good.columns else with_hour_partition(good), root, mode)
+        append_hours(good if "hour" in good.columns else with_hour_partition(good), root, mode, in_time_order)
         write_errors(kept, errors_root, mode)
     finally:
         kept.unpersist()

@@ -34,7 +34,8 @@ def ingest(
 ) -> StreamingQuery:
     """Parse, filter, redact and store a stream of lines; text that does not parse goes to ``errors_root``.
 
-    A micro-batch is parsed once and kept while both sinks are written. Its files
+    A micro-batch is parsed once and kept while both sinks are written. It spans few hours, so
+    each task writes its own files and nothing is shuffled. Its files
     stand in a ``delivery=<batch>`` leaf, and a batch that is run again after a failure
     overwrites that leaf, so every line is stored once. ``moment`` dates the
     partition and should not depend on the clock for that to hold; it is the event
@@ -48,7 +49,7 @@ def ingest(
             if filtered:
                 good = redact(filter_logged(good))
             good = with_hour_partition(good, moment).withColumn(DELIVERY, F.lit(batch_id))
-            append_hours(good, root, "overwrite", DELIVERY)
+            append_hours(good, root, "overwrite", in_time_order=True, leaf=DELIVERY)
             write_errors(parsed, f"{errors_root.rstrip('/')}/{DELIVERY}={batch_id}", "overwrite")
         finally:
             parsed.unpersist()
