@@ -20,6 +20,7 @@ def local_session(cores: str | int = "*", name: str = "ramparts", **settings: st
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -1,12 +1,12 @@
 """Decision logs, test results and indicator feeds derived from an ``events`` table.
 
-Every value comes from row-local arithmetic on the event, so the derivation
-scales with the table, prunes columns, and can be restated in SQL.
+Every value comes from row-local expressions on the event, so the derivation
+scales with the table, prunes columns, and can be restated in other SQL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ramparts.session import use_utc
 from ramparts.sources.logs import to_lines, with_hour_partition
@@ -21,7 +21,11 @@ RULE_OF_BLOCK = [
     "IPReputationRule", "AWSManagedRulesCommonRuleSet", "Emergency-IP-Block-1", "PathTraversalRule",
     "CommandInjectionRule", "RFIProtectionRule", "LargeHeaderRule", "CustomSQLiRule", None,
 ]
-LARGE_HEADER_CASE = 12
+
+K = "cast(get_json_object(props, '$.k') AS int)"
+TS_MS = "unix_millis(cast(ts AS timestamp))"
+CASE_NO = "cast(pmod(event_id + k, 14) AS int)"
+CLIENT_IP = "concat('10.0.', user_id div 256, '.', user_id % 256)"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,147 +33,109 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def in_time_order(event_rows: DataFrame) -> DataFrame:
-    """Events ranged by time over the session's shuffle partitions, so that a task's rows fall in few hours."""
-    tasks = int(event_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return event_rows.repartitionByRange(tasks, "ts", "event_id")
-
-
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
     return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
-def _case_no() -> Column:
-    return F.pmod(F.col("event_id") + F.col("k"), F.lit(14)).cast("int")
+def in_time_order(event_rows: DataFrame) -> DataFrame:
+    """Events ranged by time over the session's shuffle partitions, so that a task's rows fall in few hours."""
+    tasks = int(event_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return event_rows.repartitionByRange(tasks, "ts", "event_id")
 
 
-def _item(values: list, position: Column) -> Column:
-    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), position.cast("int"))
+def _array(values: list) -> str:
+    """SQL array literal of strings and NULLs."""
+    quoted = ["NULL" if v is None else "'" + str(v).replace("'", "\\'") + "'" for v in values]
+    return f"array({', '.join(quoted)})"
 
 
-def _case(field: int) -> Column:
-    return _item([case[field] for case in CASES], F.col("case_no"))
+def _case(field: int) -> str:
+    return f"get({_array([case[field] for case in CASES])}, case_no)"
 
 
-def _ts_ms() -> Column:
-    return F.unix_millis(F.col("ts").cast("timestamp"))
+def _type(column: str) -> str:
+    return CONTRACT[column].dataType.simpleString()
 
 
-def _match(rule: str | Column, action: str) -> Column:
-    return F.struct(
-        F.lit(rule).alias("ruleid") if isinstance(rule, str) else rule.alias("ruleid"),
-        F.lit(action).alias("action"),
-        F.array().cast(CONTRACT["nonterminatingmatchingrules"].dataType.elementType["rulematchdetails"].dataType)
-        .alias("rulematchdetails"),
-    )
+def _keyed(event_rows: DataFrame) -> DataFrame:
+    keyed = event_rows.selectExpr("*", f"{K} AS k", f"{TS_MS} AS ts_ms")
+    return keyed.selectExpr("*", f"{CASE_NO} AS case_no")
 
 
-def _header(name: str, value: Column | str) -> Column:
-    return F.struct(F.lit(name).alias("name"), (F.lit(value) if isinstance(value, str) else value).alias("value"))
+def _match(rule: str, action: str) -> str:
+    details = CONTRACT["nonterminatingmatchingrules"].dataType.elementType["rulematchdetails"].dataType
+    return (
+        f"named_struct('ruleid', {rule}, 'action', '{action}', "
+        f"'rulematchdetails', cast(array() AS {details.simpleString()}))"
+    )
 
 
-def _list_if(condition: Column, item: Column, column: str) -> Column:
-    kind = CONTRACT[column].dataType
-    return F.when(condition, F.array(item).cast(kind)).otherwise(F.array().cast(kind))
+def _list_if(condition: str, item: str, column: str) -> str:
+    return f"CASE WHEN {condition} THEN array({item}) ELSE cast(array() AS {_type(column)}) END AS {column}"
 
 
 def decision_log(event_rows: DataFrame) -> DataFrame:
     """Full contract rows plus the hour partition, one per event, batch or stream."""
-    user, k = F.col("user_id"), F.col("k")
-    blocked = F.col("event_type") == "error"
-    rule = F.col("terminatingruleid")
-    managed = F.coalesce(rule.startswith("AWSManaged"), F.lit(False))
-    base = (
-        event_rows.withColumns({"k": _k(), "ts_ms": _ts_ms()})
-        .withColumn("case_no", _case_no())
-        .withColumn(
-            "terminatingruleid",
-            F.when(blocked, _item(RULE_OF_BLOCK, F.pmod(k, F.lit(14)))).otherwise(F.lit("Default_Action")),
-        )
-    )
-    request = F.struct(
-        F.concat(
-            F.lit("10.0."), F.floor(user / 256).cast("string"), F.lit("."), F.pmod(user, F.lit(256)).cast("string")
-        ).alias("clientip"),
-        F.when(k != 99, _item(COUNTRY_OF_USER, F.pmod(user, F.lit(8)))).alias("country"),
-        F.concat(
-            F.array(
-                _header("Host", "app.example.com"),
-                _header("User-Agent", F.when(F.col("case_no") == 11, F.lit(CASES[11][6])).otherwise(F.lit("test"))),
-                _header("Cookie", F.concat(F.lit("sid="), user.cast("string"))),
-            ),
-            F.when(F.col("case_no") == LARGE_HEADER_CASE, F.array(_header("X-Large-Header", CASES[12][6]))).otherwise(
-                F.array().cast("array<struct<name:string,value:string>>")
-            ),
-        ).alias("headers"),
-        _case(3).alias("uri"),
-        _case(4).alias("args"),
-        F.lit("HTTP/1.1").alias("httpversion"),
-        _case(2).alias("httpmethod"),
-        F.col("event_id").cast("string").alias("requestid"),
-    )
-    acl = (
-        F.when(F.pmod(k, F.lit(5)) == 1, F.lit("web-acl-without-parts"))
-        .when(F.pmod(k, F.lit(5)) == 0, F.lit("arn:aws:wafv2:us-east-1:123456789012:global/webacl/"))
-        .otherwise(F.lit("arn:aws:wafv2:us-east-1:123456789012:regional/webacl/"))
-    )
-    acl_name = F.concat(F.lit("app-"), F.pmod(user, F.lit(4)).cast("string"), F.lit("/id-"))
-    web_acl = F.when(F.pmod(k, F.lit(5)) == 1, acl).otherwise(
-        F.concat(acl, acl_name, F.pmod(user, F.lit(4)).cast("string"))
+    blocked = "event_type = 'error'"
+    named = _keyed(event_rows).selectExpr(
+        "*",
+        f"CASE WHEN {blocked} THEN get({_array(RULE_OF_BLOCK)}, k % 14) ELSE 'Default_Action' END AS terminatingruleid",
+        f"CASE WHEN k <> 99 THEN get({_array(COUNTRY_OF_USER)}, cast(user_id % 8 AS int)) END AS country",
     )
+    managed = "coalesce(startswith(terminatingruleid, 'AWSManaged'), false)"
+    injection = "coalesce(contains(terminatingruleid, 'SQLi'), false)"
+    scripting = "coalesce(contains(terminatingruleid, 'XSS'), false)"
     inner_rule = (
-        F.when(rule == "AWSManagedRulesSQLiRuleSet", F.lit("SQLi_QUERYARGUMENTS"))
-        .when(F.pmod(k, F.lit(4)) == 2, F.lit("SizeRestrictions_BODY"))
-        .otherwise(F.lit("CrossSiteScripting_QUERYARGUMENTS"))
+        "CASE WHEN terminatingruleid = 'AWSManagedRulesSQLiRuleSet' THEN 'SQLi_QUERYARGUMENTS' "
+        "WHEN k % 4 = 2 THEN 'SizeRestrictions_BODY' ELSE 'CrossSiteScripting_QUERYARGUMENTS' END"
     )
-    counted = (F.col("event_type") == "signup") | (F.pmod(k, F.lit(20)) == 0)
-    injection = F.coalesce(rule.contains("SQLi"), F.lit(False))
-    scripting = F.coalesce(rule.contains("XSS"), F.lit(False))
-    detail = F.struct(
-        F.when(injection, F.lit("SQL_INJECTION")).otherwise(F.lit("XSS")).alias("conditiontype"),
-        F.lit("HIGH").alias("sensitivitylevel"),
-        F.lit("ALL_QUERY_ARGS").alias("location"),
-        F.array(F.concat(F.lit("k"), k.cast("string")), F.col("event_type")).alias("matcheddata"),
+    group = (
+        f"named_struct('rulegroupid', concat('AWS#', terminatingruleid), 'terminatingrule', {_match(inner_rule, 'BLOCK')}, "
+        f"'nonterminatingmatchingrules', CASE WHEN k % 3 = 0 THEN array({_match("'NoUserAgent_HEADER'", 'COUNT')}) "
+        f"ELSE cast(array() AS {_type('nonterminatingmatchingrules')}) END, 'excludedrules', cast(NULL AS string))"
     )
-    group = F.struct(
-        F.concat(F.lit("AWS#"), rule).alias("rulegroupid"),
-        _match(inner_rule, "BLOCK").alias("terminatingrule"),
-        F.when(F.pmod(k, F.lit(3)) == 0, F.array(_match("NoUserAgent_HEADER", "COUNT")))
-        .otherwise(F.array().cast(CONTRACT["nonterminatingmatchingrules"].dataType))
-        .alias("nonterminatingmatchingrules"),
-        F.lit(None).cast("string").alias("excludedrules"),
+    detail = (
+        f"named_struct('conditiontype', CASE WHEN {injection} THEN 'SQL_INJECTION' ELSE 'XSS' END, "
+        "'sensitivitylevel', 'HIGH', 'location', 'ALL_QUERY_ARGS', 'matcheddata', array(concat('k', k), event_type))"
     )
-    country_label = F.struct(F.concat(F.lit("geo:"), request.getField("country")).alias("name"))
-    rate = F.struct(
-        F.lit("RateLimitRule").alias("ratebasedruleid"), F.lit("IP").alias("limitkey"), F.lit(50).alias("maxrateallowed")
+    headers = (
+        "concat(array(named_struct('name', 'Host', 'value', 'app.example.com'), "
+        f"named_struct('name', 'User-Agent', 'value', CASE WHEN case_no = 11 THEN '{CASES[11][6]}' ELSE 'test' END), "
+        "named_struct('name', 'Cookie', 'value', concat('sid=', user_id))), "
+        "CASE WHEN case_no = 12 THEN array(named_struct('name', 'X-Large-Header', 'value', repeat('A', 8192))) "
+        "ELSE cast(array() AS array<struct<name:string,value:string>>) END)"
     )
-    logs = base.select(
+    acl_tail = "'app-', user_id % 4, '/id-', user_id % 4"
+    logs = named.selectExpr(
         "ts_ms",
-        F.lit(1).alias("formatversion"),
-        web_acl.alias("webaclid"),
+        "1 AS formatversion",
+        "CASE k % 5 WHEN 1 THEN 'web-acl-without-parts' "
+        f"WHEN 0 THEN concat('arn:aws:wafv2:us-east-1:123456789012:global/webacl/', {acl_tail}) "
+        f"ELSE concat('arn:aws:wafv2:us-east-1:123456789012:regional/webacl/', {acl_tail}) END AS webaclid",
         "terminatingruleid",
-        F.when(managed, F.lit("MANAGED_RULE_GROUP")).otherwise(F.lit("REGULAR")).alias("terminatingruletype"),
-        F.when(blocked, F.lit("BLOCK"))
-        .when(F.col("event_type") == "signup", F.lit("COUNT"))
-        .otherwise(F.lit("ALLOW"))
-        .alias("action"),
-        _list_if(injection | scripting, detail, "terminatingrulematchdetails").alias("terminatingrulematchdetails"),
-        F.lit("ALB").alias("httpsourcename"),
-        F.lit("app-balancer").alias("httpsourceid"),
-        _list_if(managed, group, "rulegrouplist").alias("rulegrouplist"),
-        _list_if(rule.eqNullSafe("RateLimitRule"), rate, "ratebasedrulelist").alias("ratebasedrulelist"),
-        _list_if(counted, _match("SizeRestrictions_BODY", "COUNT"), "nonterminatingmatchingrules").alias(
-            "nonterminatingmatchingrules"
+        f"CASE WHEN {managed} THEN 'MANAGED_RULE_GROUP' ELSE 'REGULAR' END AS terminatingruletype",
+        f"CASE WHEN {blocked} THEN 'BLOCK' WHEN event_type = 'signup' THEN 'COUNT' ELSE 'ALLOW' END AS action",
+        _list_if(f"{injection} OR {scripting}", detail, "terminatingrulematchdetails"),
+        "'ALB' AS httpsourcename",
+        "'app-balancer' AS httpsourceid",
+        _list_if(managed, group, "rulegrouplist"),
+        _list_if(
+            "terminatingruleid <=> 'RateLimitRule'",
+            "named_struct('ratebasedruleid', 'RateLimitRule', 'limitkey', 'IP', 'maxrateallowed', 50)",
+            "ratebasedrulelist",
+        ),
+        _list_if(
+            "event_type = 'signup' OR k % 20 = 0",
+            _match("'SizeRestrictions_BODY'", "COUNT"),
+            "nonterminatingmatchingrules",
         ),
-        F.lit(None).cast("string").alias("requestheadersinserted"),
-        F.when(blocked, F.lit("403")).alias("responsecodesent"),
-        request.alias("httprequest"),
-        _list_if(request.getField("country").isNotNull(), country_label, "labels").alias("labels"),
+        "cast(NULL AS string) AS requestheadersinserted",
+        f"CASE WHEN {blocked} THEN '403' END AS responsecodesent",
+        f"named_struct('clientip', {CLIENT_IP}, 'country', country, 'headers', {headers}, 'uri', {_case(3)}, "
+        f"'args', {_case(4)}, 'httpversion', 'HTTP/1.1', 'httpmethod', {_case(2)}, "
+        "'requestid', cast(event_id AS string)) AS httprequest",
+        _list_if("country IS NOT NULL", "named_struct('name', concat('geo:', country))", "labels"),
     )
     return with_hour_partition(logs)
 
@@ -183,58 +149,28 @@ def log_lines(event_rows: DataFrame) -> DataFrame:
 
 def test_results(event_rows: DataFrame) -> DataFrame:
     """Recorded test results, one run per event day."""
-    k = F.col("k")
-    return (
-        event_rows.withColumns({"k": _k(), "ts_ms": _ts_ms()})
-        .withColumn("case_no", _case_no())
-        .select(
-            F.col("event_id").alias("result_id"),
-            F.lit(URL).alias("url"),
-            F.date_format("ts", "yyyy-MM-dd").alias("run_ts"),
-            _case(0).alias("test_name"),
-            F.when(F.col("event_type") == "error", 403)
-            .when(F.col("event_type") == "signup", 500)
-            .when(F.col("event_type") == "purchase", 0)
-            .otherwise(200)
-            .cast("int")
-            .alias("actual_status"),
-            (F.col("value") / 100).alias("response_time"),
-            F.when(F.pmod(k, F.lit(10)) == 0, F.create_map(F.lit("X-Cache"), F.lit("Hit")))
-            .otherwise(F.create_map(F.lit("Server"), F.lit("test")))
-            .alias("response_headers"),
-            F.when(F.pmod(k, F.lit(10)) == 1, F.lit("Request blocked")).otherwise(F.lit("")).alias("body"),
-            F.when(F.col("event_type") == "purchase", F.lit("request failed")).alias("error"),
-        )
+    return _keyed(event_rows).selectExpr(
+        f"'{URL}' AS url",
+        "date_format(ts, 'yyyy-MM-dd') AS run_ts",
+        f"{_case(0)} AS test_name",
+        "CASE event_type WHEN 'error' THEN 403 WHEN 'signup' THEN 500 WHEN 'purchase' THEN 0 ELSE 200 END AS actual_status",
+        "value / 100 AS response_time",
+        "map(CASE WHEN k % 10 = 0 THEN 'X-Cache' ELSE 'Server' END, 'test') AS response_headers",
+        "CASE WHEN k % 10 = 1 THEN 'Request blocked' ELSE '' END AS body",
+        "CASE WHEN event_type = 'purchase' THEN 'request failed' END AS error",
     )
 
 
 def indicator_feed(event_rows: DataFrame) -> DataFrame:
     """Block indicators named after the user, with good, bad and repeated entries."""
-    k, user = F.col("k"), F.col("user_id")
-    tail = F.pmod(k, F.lit(10))
-    address = F.concat(
-        F.lit("10.0."), F.floor(user / 256).cast("string"), F.lit("."), F.pmod(user, F.lit(256)).cast("string")
-    )
-    prefix = F.concat(F.lit("/"), F.pmod(k, F.lit(40)).cast("string"))
-    uri = _case(3)
-    return (
-        # Exploded out of an array of one: a filter on the feed is then not rewritten
-        # into a test that parses the properties many times over.
-        event_rows.select("*", F.explode(F.array(_k())).alias("k"))
-        .withColumn("case_no", _case_no())
-        .select(
-            F.col("event_id").alias("seq"),
-            F.when(F.pmod(k, F.lit(50)) == 1, F.lit("Emergency-IP-Block-1"))
-            .otherwise(
-                F.concat(
-                    F.lit("Emergency-Block-"), user.cast("string"), F.lit("-"), F.pmod(k, F.lit(40)).cast("string")
-                )
-            )
-            .alias("name"),
-            F.when(tail == 7, F.lit("0.0.0.0/0"))
-            .when(tail == 8, F.lit("0.0.0.0/1"))
-            .when(tail != 3, F.concat(address, F.when(tail == 4, F.lit("")).otherwise(prefix)))
-            .alias("ip"),
-            F.when(tail == 3, uri).alias("uri_pattern"),
-        )
+    # k is exploded out of an array of one: a filter on the feed is then not rewritten
+    # into a test that parses the properties many times over.
+    keyed = event_rows.selectExpr("*", f"explode(array({K})) AS k").selectExpr("*", f"{CASE_NO} AS case_no")
+    return keyed.selectExpr(
+        "event_id AS seq",
+        "CASE WHEN k % 50 = 1 THEN 'Emergency-IP-Block-1' "
+        "ELSE concat('Emergency-Block-', user_id, '-', k % 40) END AS name",
+        "CASE WHEN k % 10 = 7 THEN '0.0.0.0/0' WHEN k % 10 = 8 THEN '0.0.0.0/1' "
+        f"WHEN k % 10 <> 3 THEN concat({CLIENT_IP}, CASE WHEN k % 10 = 4 THEN '' ELSE concat('/', k % 40) END) END AS ip",
+        f"CASE WHEN k % 10 = 3 THEN {_case(3)} END AS uri_pattern",
     )
