@@ -101,6 +101,12 @@ def geo_blocked(requests: DataFrame, countries: DataFrame) -> DataFrame:
     return requests.filter(outside_countries(countries))
 
 
+def _pieces(text: Column, size: int) -> Column:
+    """Every place in the text with the ``size`` characters that start there, fewer near its end."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    return F.transform(places, lambda at: F.struct(at.alias("at"), F.substr(text, at, F.lit(size)).alias("anchor")))
+
+
 def uri_pattern_hits(
     requests: DataFrame, patterns: DataFrame, normalize_pattern: bool = False, inline_patterns: int = INLINE_PATTERNS
 ) -> DataFrame:
@@ -111,10 +117,10 @@ def uri_pattern_hits(
     """
     pattern = lowercase(F.col("pattern")) if normalize_pattern else F.col("pattern")
     wanted = patterns.select(pattern.alias("pattern")).filter(F.length("pattern") > 0).distinct()
-    if wanted.count() <= inline_patterns:
-        listed = [row["pattern"] for row in wanted.orderBy("pattern").collect()]
-        if not listed:
-            return requests.select("request_id", F.lit("").alias("pattern")).filter(F.lit(False))
+    listed = sorted(row["pattern"] for row in wanted.take(inline_patterns + 1))
+    if not listed:
+        return requests.select("request_id", F.lit("").alias("pattern")).filter(F.lit(False))
+    if len(listed) <= inline_patterns:
         literal = F.array(*[F.lit(p) for p in listed])
         decoded = requests.select("request_id", decoded_path(F.col("uri")).alias("_path"))
         hits = F.filter(literal, lambda p: F.col("_path").contains(p))
@@ -127,17 +133,7 @@ def uri_pattern_hits(
     anchors = anchored.groupBy("anchor").agg(F.collect_set(F.length("pattern")).alias("lengths"))
     sizes = sorted(r[0] for r in anchors.select(F.length("anchor")).distinct().collect())  # at most 8 values
     paths = requests.select("uri").distinct().withColumn("_path", decoded_path(F.col("uri")))
-    places = F.sequence(F.lit(1), F.greatest(F.length("_path"), F.lit(1)))
-    starts = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    places, lambda at, n=n: F.struct(at.alias("at"), F.substr("_path", at, F.lit(n)).alias("anchor"))
-                )
-                for n in sizes
-            ]
-        )
-    )
+    starts = F.flatten(F.array(*[_pieces(F.col("_path"), size) for size in sizes]))
     tried = (
         paths.filter(F.col("_path").isNotNull())
         .select("uri", "_path", F.inline(starts))

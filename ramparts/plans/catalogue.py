@@ -7,9 +7,9 @@ so that results compare as plain values.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ramparts.operators import detection, governance, indicators, kpi, lists, nested, rate, scorecard, series
 from ramparts.operators.requests import as_requests, header_value
@@ -44,21 +44,21 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scorecard.score_results(reference_sets.request_cases(spark), results)
 
 
-def _latest(rows: DataFrame) -> Column:
-    """The table's last event time, found while the query runs."""
-    return rows.agg(F.max("ts")).scalar()
+def _latest(rows: DataFrame) -> datetime:
+    """The table's last event time. Known before the report is planned, so that it prunes the scan."""
+    return rows.agg(F.max("ts")).first()[0]
 
 
-def _trailing_day(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+def _trailing_day(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, datetime]:
     """Logged rows that can fall in the last day, and the last event time.
 
     The bound on the stored time column, a second wider than the report's own,
     lets the scan skip row groups.
     """
     rows = derived.events(spark, sf_dir)
-    earliest = rows.agg(F.max("ts") - F.expr("interval 1 day 1 second")).scalar()
-    logs = governance.filter_logged(derived.decision_log(rows.filter(F.col("ts") >= earliest)))
-    return logs, _latest(rows).cast("timestamp")
+    as_of = _latest(rows)
+    recent = rows.filter(F.col("ts") >= F.lit(as_of - timedelta(days=1, seconds=1)).cast("timestamp_ntz"))
+    return governance.filter_logged(derived.decision_log(recent)), as_of
 
 
 def _in_ms(rows: DataFrame) -> DataFrame:
@@ -107,8 +107,7 @@ def error_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def retained_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derived.events(spark, sf_dir)
-    as_of = rows.agg(F.max("ts")).first()[0]
-    kept = retain(derived.decision_log(rows), as_of, RETAINED_DAYS)
+    kept = retain(derived.decision_log(rows), _latest(rows), RETAINED_DAYS)
     return kept.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("requests"))
 
 
