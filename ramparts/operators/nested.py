@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+REQUEST_ID = "httprequest.requestid"
+
+
+def _fields(array: str, *names: str) -> Column:
+    """Array of only these fields, so that a columnar scan reads no others."""
+    return F.arrays_zip(*[F.col(f"{array}.{name}") for name in names])
 
 
 def rule_matches(logs: DataFrame) -> DataFrame:
     """One row per non-terminating match: request_id, ruleid, action."""
     return logs.select(
-        F.col("httprequest.requestid").alias("request_id"), F.explode("nonterminatingmatchingrules").alias("m")
-    ).select("request_id", "m.ruleid", "m.action")
+        F.col(REQUEST_ID).alias("request_id"),
+        F.inline(_fields("nonterminatingmatchingrules", "ruleid", "action")).alias("ruleid", "action"),
+    )
 
 
 def count_matches_by_rule(logs: DataFrame) -> DataFrame:
     """COUNT matches per rule."""
-    return (
-        logs.select(F.explode("nonterminatingmatchingrules").alias("m"))
-        .filter(F.col("m.action") == "COUNT")
-        .groupBy(F.col("m.ruleid").alias("ruleid"))
-        .agg(F.count(F.lit(1)).alias("matches"))
-    )
+    matches = logs.select(F.inline(_fields("nonterminatingmatchingrules", "ruleid", "action")).alias("ruleid", "action"))
+    return matches.filter(F.col("action") == "COUNT").groupBy("ruleid").agg(F.count(F.lit(1)).alias("matches"))
 
 
 def rule_group_matches(logs: DataFrame) -> DataFrame:
@@ -27,13 +32,20 @@ def rule_group_matches(logs: DataFrame) -> DataFrame:
 
     Requests without rule groups give no row.
     """
-    groups = logs.select(F.col("httprequest.requestid").alias("request_id"), F.explode("rulegrouplist").alias("g"))
+    groups = logs.select(
+        F.col(REQUEST_ID).alias("request_id"),
+        F.inline(
+            _fields(
+                "rulegrouplist",
+                "rulegroupid",
+                "terminatingrule.ruleid",
+                "terminatingrule.action",
+                "nonterminatingmatchingrules",
+            )
+        ).alias("rulegroupid", "ruleid", "action", "inner_rules"),
+    )
     return groups.select(
-        "request_id",
-        F.col("g.rulegroupid").alias("rulegroupid"),
-        F.col("g.terminatingrule.ruleid").alias("ruleid"),
-        F.col("g.terminatingrule.action").alias("action"),
-        F.explode_outer("g.nonterminatingmatchingrules").alias("inner"),
+        "request_id", "rulegroupid", "ruleid", "action", F.explode_outer("inner_rules").alias("inner")
     ).select(
         "request_id",
         "rulegroupid",
@@ -47,16 +59,14 @@ def rule_group_matches(logs: DataFrame) -> DataFrame:
 def matched_data(logs: DataFrame) -> DataFrame:
     """One row per matched datum of the terminating rule."""
     details = logs.select(
-        F.col("httprequest.requestid").alias("request_id"),
+        F.col(REQUEST_ID).alias("request_id"),
         "terminatingruleid",
-        F.explode("terminatingrulematchdetails").alias("d"),
+        F.inline(_fields("terminatingrulematchdetails", "conditiontype", "location", "matcheddata")).alias(
+            "conditiontype", "location", "data"
+        ),
     )
     return details.select(
-        "request_id",
-        "terminatingruleid",
-        F.col("d.conditiontype").alias("conditiontype"),
-        F.col("d.location").alias("location"),
-        F.explode("d.matcheddata").alias("datum"),
+        "request_id", "terminatingruleid", "conditiontype", "location", F.explode("data").alias("datum")
     )
 
 

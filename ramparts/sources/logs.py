@@ -225,10 +225,11 @@ def register_logs(spark: SparkSession, root: str, view: str = "waf_logs") -> Dat
 
 
 def register_log_table(spark: SparkSession, root: str, table: str = "waf_analytics.waf_logs") -> None:
-    """External partitioned table over ``root``, unless it exists.
+    """External partitioned table over ``root``, unless it exists, with the partitions that stand there now.
 
     Columns keep the wire spelling that the JSON reader needs; SQL resolves names
-    without regard to case, so lower-case queries work. Keep ``errors`` outside ``root``.
+    without regard to case, so lower-case queries work. Folders that are no partition,
+    such as ``errors``, are not part of the table. Call again to take up new hours.
     """
     database, _, _ = table.rpartition(".")
     if database:
@@ -239,3 +240,4 @@ def register_log_table(spark: SparkSession, root: str, table: str = "waf_analyti
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING json "
         f"PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{location}'"
     )
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")

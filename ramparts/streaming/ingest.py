@@ -15,11 +15,11 @@ FLUSH = "5 minutes"
 DELIVERY = "delivery"
 
 
-def line_stream(spark: SparkSession, landing: str, max_bytes: str | None = None) -> DataFrame:
+def line_stream(spark: SparkSession, landing: str, max_bytes: int | None = None) -> DataFrame:
     """Text lines from files as they arrive under ``landing``; ``max_bytes`` bounds one micro-batch."""
     reader = spark.readStream.format("text")
     if max_bytes:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return reader.load(landing)
 
 

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         8,
         "ramparts-tests",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__sql__maxMetadataStringLength="10000",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,132 @@
+import json
+import os
+
+from pyspark.sql import functions as F
+from samples import log_rows, requests
+from test_logs import LINES
+
+from ramparts import blocked_by_rule, ingest, read_logs, stream_rate_limit, traffic_overview
+from ramparts.sources.logs import to_lines
+from ramparts.sources.schema import CONTRACT
+from ramparts.streaming import drained, line_stream
+
+FIVE = 300_000
+
+
+def log(spark, *entries):
+    return log_rows(spark, *({"ts_ms": t, "action": a, "terminatingruleid": r} for t, a, r in entries))
+
+
+def in_ms(rows, frame, *columns):
+    return sorted(rows(frame.withColumn("window_start", F.unix_millis("window_start")), "window_start", *columns))
+
+
+ENTRIES = [
+    (0, "ALLOW", "d"),
+    (FIVE - 1, "BLOCK", "RateLimitRule"),
+    (FIVE, "BLOCK", "JuiceShopSQLiRule"),
+    (FIVE + 5, "COUNT", "x"),
+    (FIVE + 6, None, None),
+    (9 * FIVE, "BLOCK", "PathTraversalRule"),
+]
+
+
+def test_overview(spark, rows):
+    series = traffic_overview(log(spark, *ENTRIES))
+    assert in_ms(rows, series, "allowed_requests", "blocked_requests") == [(0, 1, 1), (FIVE, 0, 1), (9 * FIVE, 0, 1)]
+
+
+def test_by_rule(spark, rows):
+    series = blocked_by_rule(log(spark, *ENTRIES))
+    assert series.columns[2:] == [
+        "JuiceShopSQLiRule", "RateLimitRule", "AWSManagedRulesCommonRuleSet", "AWSManagedRulesSQLiRuleSet",
+    ]
+    assert in_ms(rows, series, *series.columns[2:]) == [(0, 0, 1, 0, 0), (FIVE, 1, 0, 0, 0)]
+
+
+def test_stream_equals_batch_on_finished_windows(spark, rows, tmp_path):
+    batch = log(spark, *ENTRIES)
+    source = str(tmp_path / "source")
+    batch.write.parquet(source)
+    stream = spark.readStream.schema(CONTRACT).parquet(source)
+    live = drained(traffic_overview(stream), str(tmp_path / "out"), str(tmp_path / "state"))
+    finished = traffic_overview(batch).filter(F.unix_millis("window_end") <= 9 * FIVE - 2 * FIVE)
+    assert rows(live) == rows(finished) and live.count() == 2
+
+
+def test_stream_rate_limit(spark, rows, tmp_path):
+    moments = [0, 10_000, 20_000, 310_000]
+    asked = requests(
+        spark,
+        *({"clientip": "a", "ts_ms": t} for t in moments),
+        *({"clientip": "b", "ts_ms": t, "uri": "/healthcheck"} for t in moments),
+        {"clientip": "c", "ts_ms": 99 * FIVE},
+    )
+    batch = stream_rate_limit(asked, limit=2, slide="30 seconds")
+    starts = [-270_000 + 30_000 * n for n in range(10)]
+    assert in_ms(rows, batch, "clientip", "requests") == [(s, "a", 3) for s in starts]
+    asked.write.parquet(str(tmp_path / "source"))
+    stream = spark.readStream.schema(asked.schema).parquet(str(tmp_path / "source"))
+    live = drained(stream_rate_limit(stream, limit=2), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert rows(live) == rows(batch)
+
+
+def land(folder, name, *lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as file:
+        file.writelines(line + "\n" for line in lines)
+
+
+def run_ingest(spark, tmp_path, **options):
+    query = ingest(
+        line_stream(spark, str(tmp_path / "landing"), 1 << 20),
+        str(tmp_path / "log"),
+        str(tmp_path / "errors"),
+        str(tmp_path / "state"),
+        {"availableNow": True},
+        **options,
+    )
+    query.awaitTermination()
+
+
+def test_ingest(spark, tmp_path):
+    plain = {"timestamp": 1_704_423_600_000, "action": "ALLOW"}
+    land(tmp_path / "landing", "1.json", *(json.dumps(line) for line in [*LINES, plain]), '{"timestamp": 17')
+    run_ingest(spark, tmp_path)
+    stored = read_logs(spark, str(tmp_path / "log"))
+    assert sorted(row.ts_ms % 10 for row in stored.collect()) == [0, 1, 2, 3]
+    assert stored.filter("httprequest.requestid = 'secret'").first().httprequest.headers[0].value == "REDACTED"
+    assert "delivery" not in stored.columns
+    assert [row.value for row in spark.read.text(str(tmp_path / "errors/*")).collect()] == ['{"timestamp": 17']
+
+    land(tmp_path / "landing", "2.json", json.dumps({"timestamp": 1_704_427_200_000, "action": "BLOCK"}))
+    run_ingest(spark, tmp_path)
+    assert len(read_logs(spark, str(tmp_path / "log")).collect()) == 5
+    run_ingest(spark, tmp_path)
+    assert len(read_logs(spark, str(tmp_path / "log")).collect()) == 5
+
+
+def test_repeated_batch_replaces_itself(spark, tmp_path):
+    """A batch whose commit was lost is run again from the checkpoint and leaves no copies."""
+    land(tmp_path / "landing", "1.json", *(json.dumps(line) for line in LINES), "broken")
+    run_ingest(spark, tmp_path, filtered=False)
+    commits = tmp_path / "state" / "commits"
+    for name in os.listdir(commits):
+        os.remove(commits / name)
+    run_ingest(spark, tmp_path, filtered=False)
+    assert len(read_logs(spark, str(tmp_path / "log")).collect()) == 4
+    assert spark.read.text(str(tmp_path / "errors/*")).count() == 1
+
+
+def test_ingest_by_arrival(spark, tmp_path):
+    land(tmp_path / "landing", "1.json", json.dumps(LINES[1]))
+    run_ingest(spark, tmp_path, moment=F.lit("2024-02-03 04:05:06").cast("timestamp"))
+    row = read_logs(spark, str(tmp_path / "log")).first()
+    assert (row.year, row.month, row.day, row.hour) == ("2024", "02", "03", "04")
+
+
+def test_lines_hold_what_the_log_holds(spark, rows):
+    from ramparts.sources.logs import parse_lines
+
+    logs = log(spark, *ENTRIES)
+    assert rows(parse_lines(to_lines(logs)).drop("_corrupt_record")) == rows(logs)
