@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ramparts.functions.network import ipv4_number, is_ipv4_range, range_key, to_range
 from ramparts.functions.text import lowercase
 from ramparts.operators.detection import decoded_path
-from ramparts.sources.reference_sets import BROADCAST_ROWS
+from ramparts.session import stored
+from ramparts.sources.reference_sets import BROADCAST_ROWS, fitted
 
 NO_RANGE = -1
 # Above this many patterns, requests and patterns meet in a join on short substrings.
@@ -41,7 +42,7 @@ def with_ip_set_flag(
     in the set, of which there are at most 33. A set of at most ``broadcast_rows`` ranges is taken out
     once and broadcast per length, and the requests are not shuffled. For a larger one, each
     distinct address is looked up once by a shuffled join, and the addresses found are
-    joined back to the requests.
+    stored and joined back to the requests, by broadcast if they are few.
     """
     ranges = range_set(cidrs)
     number = ipv4_number(F.col("clientip"))
@@ -69,9 +70,9 @@ def with_ip_set_flag(
         .join(ranges, "range_key", "left_semi")
         .select("clientip")
         .distinct()
-        .withColumn(flag, F.lit(True))
     )
-    return requests.join(found, "clientip", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    known = fitted(stored(found, "addresses")).withColumn(flag, F.lit(True))
+    return requests.join(known, "clientip", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def ip_set_hits(requests: DataFrame, cidrs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -142,5 +143,5 @@ def uri_pattern_hits(
         .select("uri", F.substr("_path", F.col("at"), F.col("length")).alias("pattern"))
         .distinct()
     )
-    found = tried.join(wanted, "pattern", "left_semi")
+    found = fitted(stored(tried.join(wanted, "pattern", "left_semi").select("uri", "pattern"), "paths"))
     return requests.select("request_id", "uri").join(found, "uri").select("request_id", "pattern")

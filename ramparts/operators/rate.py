@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ramparts.session import stored
+from ramparts.sources.reference_sets import fitted
+
 # The limit, its window, and the paths that are not counted.
 LIMIT, WINDOW_MS, UNCOUNTED_PATH = 50, 300_000, "healthcheck"
 # A client's timeline is cut into pieces of this many windows.
@@ -56,26 +59,31 @@ def client_rates(requests: DataFrame, window_ms: int = WINDOW_MS) -> DataFrame:
     )
 
 
+def breach_moments(requests: DataFrame, limit: int = LIMIT, window_ms: int = WINDOW_MS) -> DataFrame:
+    """(clientip, ts_ms, window_count) where a client has more than ``limit`` in its window.
+
+    Computed from two columns, stored, and hinted for broadcast if it has few rows, as it
+    has unless very many clients are in breach. Requests are then not shuffled.
+    """
+    return fitted(stored(client_rates(requests, window_ms).filter(F.col("window_count") > limit), "rate"))
+
+
 def rate_limit_breaches(requests: DataFrame, limit: int = LIMIT, window_ms: int = WINDOW_MS) -> DataFrame:
     """Counted requests that find more than ``limit`` in their window, themselves included, with the count.
 
-    The join key is (client, millisecond) and unique on the breach side; a hot
-    key on the request side is split by adaptive execution.
+    The join key is (client, millisecond) and unique on the breach side; where the join has
+    to shuffle, adaptive execution splits a hot key on the request side.
     """
-    breaches = client_rates(requests, window_ms).filter(F.col("window_count") > limit)
-    return requests.filter(is_counted()).join(breaches, ["clientip", "ts_ms"])
+    return requests.filter(is_counted()).join(breach_moments(requests, limit, window_ms), ["clientip", "ts_ms"])
 
 
 def with_rate_flag(
     requests: DataFrame, flag: str = "RateLimitRule", limit: int = LIMIT, window_ms: int = WINDOW_MS
 ) -> DataFrame:
     """Add a boolean: the request is counted and breaches the limit."""
-    breaches = (
-        client_rates(requests, window_ms)
-        .filter(F.col("window_count") > limit)
-        .select("clientip", "ts_ms", F.lit(True).alias(flag))
-    )
+    breaches = breach_moments(requests, limit, window_ms)
     # Judged before the join, which then need not carry the path.
     judged = requests.withColumn("_counted", is_counted())
     flagged = judged.join(breaches, ["clientip", "ts_ms"], "left")
-    return flagged.withColumn(flag, F.coalesce(flag, F.lit(False)) & F.col("_counted")).drop("_counted")
+    breached = F.col("window_count").isNotNull() & F.col("_counted")
+    return flagged.withColumn(flag, breached).drop("_counted", "window_count")

@@ -59,7 +59,7 @@ def score_results(cases: DataFrame, results: DataFrame) -> DataFrame:
     )
     listed = cases.groupBy().agg(F.collect_set("test_name").alias("m")).scalar()
     absent = (
-        results.join(fitted(cases.select("test_name")), "test_name", "left_semi")
+        results.join(expected, "test_name", "left_semi")
         .groupBy(*RUN)
         .agg(F.collect_set("test_name").alias("seen"))
         .select(*RUN, F.explode(F.array_except(listed, F.col("seen"))).alias("test_name"))
