@@ -37,9 +37,14 @@ def url_decode(text: Column) -> Column:
     Only valid escapes are decoded, so one stray ``%`` cannot keep the rest of
     the text encoded and thereby hide it from the rules.
     """
+
+    def decoded(escaped: Column) -> Column:
+        plus_kept = F.replace(escaped, F.lit("+"), F.lit("%2B"))
+        return F.try_url_decode(F.when(text.contains("%"), plus_kept))
+
+    # Most text is well formed; stray signs are looked for only where it is not.
     stray_kept = F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")
-    plus_kept = F.replace(stray_kept, F.lit("+"), F.lit("%2B"))
-    return F.coalesce(F.try_url_decode(F.when(text.contains("%"), plus_kept)), text)
+    return F.coalesce(decoded(text), decoded(stray_kept), text)
 
 
 def _decoded_piece(piece: Column) -> Column:
@@ -63,7 +68,8 @@ def html_entity_decode(text: Column) -> Column:
     decoded = F.array_join(
         F.transform(pieces, lambda piece, i: F.when(i == 0, piece).otherwise(_decoded_piece(piece))), ""
     )
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    # Query strings are full of ``&``; only with a ``;`` can there be an entity.
+    return F.when(text.contains("&") & text.contains(";"), decoded).otherwise(text)
 
 
 def query_arguments_text(args: Column) -> Column:

@@ -45,18 +45,19 @@ def none_of(*conditions: Column) -> Column:
     return ~any_of(*conditions)
 
 
-def sql_probe(uri: Column, args: Column) -> Column:
-    return all_of(
-        byte_match(uri, SEARCH_PATH, ["LOWERCASE"], "EXACTLY"),
-        byte_match(args, SQL_PROBE, ["URL_DECODE", "HTML_ENTITY_DECODE"]),
-    )
+def search_query(uri: Column, args: Column) -> Column:
+    """Decoded query string of a request to the search path, NULL for other requests."""
+    return F.when(byte_match(uri, SEARCH_PATH, ["LOWERCASE"], "EXACTLY"), url_decode(args))
 
 
-def path_traversal(uri: Column) -> Column:
-    return any_of(
-        byte_match(uri, PARENT_STEP, ["URL_DECODE"]),
-        byte_match(uri, PASSWORD_FILE, ["URL_DECODE", "LOWERCASE"]),
-    )
+def sql_probe(query: Column) -> Column:
+    """Case-sensitive probe in a decoded query string of the search path."""
+    return byte_match(query, SQL_PROBE, ["HTML_ENTITY_DECODE"])
+
+
+def path_traversal(path: Column) -> Column:
+    """Looks at the decoded path."""
+    return any_of(byte_match(path, PARENT_STEP), byte_match(path, PASSWORD_FILE, ["LOWERCASE"]))
 
 
 def remote_inclusion(args: Column) -> Column:
@@ -64,10 +65,14 @@ def remote_inclusion(args: Column) -> Column:
     return any_of(*(byte_match(args, prefix, ["LOWERCASE"]) for prefix in REMOTE_PREFIXES))
 
 
-def command_injection(args: Column) -> Column:
-    """Any one query argument holds a shell step once decoded and lower-cased."""
-    text = lowercase(url_decode(query_arguments_text(args)))
-    return any_of(*(text.contains(step) for step in SHELL_STEPS))
+def decoded_arguments(args: Column) -> Column:
+    """Query arguments, decoded and lower-cased, set apart so that none runs into the next."""
+    return lowercase(url_decode(query_arguments_text(args)))
+
+
+def command_injection(arguments: Column) -> Column:
+    """Any one of the decoded arguments holds a shell step."""
+    return any_of(*(arguments.contains(step) for step in SHELL_STEPS))
 
 
 def large_header(
@@ -107,21 +112,34 @@ def decoded_path(uri: Column) -> Column:
     return transformed(uri, EMERGENCY_TRANSFORMS)
 
 
-def signature_rules() -> dict[str, Column]:
-    """Rule name to predicate over a flat request."""
-    uri, args, headers = F.col("uri"), F.col("args"), F.col("headers")
-    return {
-        "JuiceShopSQLiRule": sql_probe(uri, args),
-        "PathTraversalRule": path_traversal(uri),
-        "RFIProtectionRule": remote_inclusion(args),
-        "CommandInjectionRule": command_injection(args),
-        "LargeHeaderRule": large_header(headers),
-    }
+SIGNATURE_RULES = (
+    "JuiceShopSQLiRule",
+    "PathTraversalRule",
+    "RFIProtectionRule",
+    "CommandInjectionRule",
+    "LargeHeaderRule",
+)
 
 
 def rule_flags(requests: DataFrame) -> DataFrame:
-    """Add one boolean column per signature rule, named after the rule."""
-    return requests.withColumns(signature_rules())
+    """Add one boolean column per signature rule, named after the rule.
+
+    Decoded text that several matches look at is a column of its own, so that it is decoded once per row.
+    """
+    uri, args = F.col("uri"), F.col("args")
+    decoded = {
+        "_path": url_decode(uri),
+        "_query": search_query(uri, args),
+        "_arguments": decoded_arguments(args),
+    }
+    flags = (
+        sql_probe(F.col("_query")),
+        path_traversal(F.col("_path")),
+        remote_inclusion(args),
+        command_injection(F.col("_arguments")),
+        large_header(F.col("headers")),
+    )
+    return requests.withColumns(decoded).withColumns(dict(zip(SIGNATURE_RULES, flags))).drop(*decoded)
 
 
 def rule_decision(flags: DataFrame, rules: DataFrame) -> DataFrame:

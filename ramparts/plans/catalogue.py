@@ -172,7 +172,7 @@ def attack_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def rule_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = detection.rule_flags(_requests(spark, sf_dir))
-    return flagged.select("request_id", *detection.signature_rules())
+    return flagged.select("request_id", *detection.SIGNATURE_RULES)
 
 
 @registered
