@@ -167,21 +167,12 @@ def suite_documents(scored: DataFrame, size: int = SUITE_RESULTS) -> DataFrame:
     )
     in_batch = F.least(F.lit(size), F.col("copies") - F.col("batch") * size).cast("int")
     spread = F.pmod(F.xxhash64(F.to_json("test"), F.col("batch")), F.col("parts"))
-    chunks = (
-        batches.join(summary.select(*RUN, "parts"), RUN)
-        .groupBy(*RUN, spread.cast("int").alias("part"))
+    totals = ["total_tests", "passed_tests", "failed_tests", "execution_time"]
+    return (
+        batches.join(summary.select(*RUN, *totals, "parts"), RUN)
+        .groupBy(*RUN, *totals, spread.cast("int").alias("part"), "parts")
         .agg(F.flatten(F.collect_list(F.array_repeat("test", in_batch))).alias("tests"))
-    )
-    return chunks.join(summary, RUN).select(
-        "url",
-        F.col("run_ts").alias("timestamp"),
-        "total_tests",
-        "passed_tests",
-        "failed_tests",
-        "execution_time",
-        "part",
-        "parts",
-        "tests",
+        .withColumnRenamed("run_ts", "timestamp")
     )
 
 
