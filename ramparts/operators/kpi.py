@@ -43,13 +43,20 @@ def _is(action: str) -> Column:
 def trailing(logs: DataFrame, as_of: datetime | Column, hours: int = 24) -> DataFrame:
     """Rows whose event time, cut to seconds, lies in [as_of - hours, as_of].
 
-    ``as_of`` is a UTC datetime or a timestamp Column. For a datetime the two
+    ``as_of`` is a UTC datetime or a timestamp Column such as ``current_timestamp()``. The
     delivery dates and the raw millisecond bounds are added as plain comparisons, so that
     partitions and row groups outside are never read.
     """
-    second = F.timestamp_seconds(F.expr("ts_ms div 1000"))
+    partitioned = {"year", "month", "day"} <= set(logs.columns)
     if isinstance(as_of, Column):
-        return logs.filter(second.between(as_of - F.make_dt_interval(hours=F.lit(hours)), as_of))
+        start = as_of - F.make_dt_interval(hours=F.lit(hours))
+        second = F.timestamp_seconds(F.expr("ts_ms div 1000"))
+        # Implied by the exact test below, and in a form that reaches the scan.
+        near = (F.col("ts_ms") >= F.unix_millis(start)) & (F.col("ts_ms") < F.unix_millis(as_of) + 1000)
+        if partitioned:
+            day = F.concat_ws("-", "year", "month", "day")
+            near &= day.between(F.date_format(start, "yyyy-MM-dd"), F.date_format(as_of, "yyyy-MM-dd"))
+        return logs.filter(near & second.between(start, as_of))
     if as_of.tzinfo is not None:
         as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
     start = as_of - timedelta(hours=hours)
@@ -58,7 +65,7 @@ def trailing(logs: DataFrame, as_of: datetime | Column, hours: int = 24) -> Data
     first_ms = -(-low // 1_000_000) * 1000
     end_ms = (high // 1_000_000 + 1) * 1000
     kept = logs.filter((F.col("ts_ms") >= first_ms) & (F.col("ts_ms") < end_ms))
-    if {"year", "month", "day"} <= set(logs.columns):
+    if partitioned:
         days = (as_of.date() - start.date()).days
         on_days = F.lit(False)
         for n in range(days + 1):

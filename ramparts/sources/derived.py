@@ -22,7 +22,8 @@ RULE_OF_BLOCK = [
     "CommandInjectionRule", "RFIProtectionRule", "LargeHeaderRule", "CustomSQLiRule", None,
 ]
 
-K = "cast(get_json_object(props, '$.k') AS int)"
+# The properties are one flat object, {"k": n}; no need for a JSON parser per row.
+K = """try_cast(regexp_extract(props, '"k": *([0-9]+)', 1) AS int)"""
 TS_MS = "unix_millis(cast(ts AS timestamp))"
 CASE_NO = "cast(pmod(event_id + k, 14) AS int)"
 CLIENT_IP = "concat('10.0.', user_id div 256, '.', user_id % 256)"

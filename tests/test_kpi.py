@@ -38,7 +38,19 @@ def test_window_is_closed_and_cut_to_seconds(spark):
 def test_partitions_prune_to_two_dates_and_agree(spark):
     stamps = range(NOW_MS - 3 * DAY_MS, NOW_MS + DAY_MS, 3_600_000)
     logs = log(spark, *((ts, "BLOCK", "r") for ts in stamps))
-    assert trailing(with_hour_partition(logs), AS_OF).count() == trailing(logs, AS_OF).count() == 24
+    as_column = F.lit(AS_OF.replace(tzinfo=timezone.utc)).cast("timestamp")
+    for as_of in (AS_OF, as_column):
+        assert trailing(with_hour_partition(logs), as_of).count() == trailing(logs, as_of).count() == 24
+
+
+def test_report_as_of_now_reaches_the_scan(spark, tmp_path, plan):
+    logs = with_hour_partition(log(spark, (NOW_MS, "BLOCK", "a")))
+    path = str(tmp_path / "log")
+    logs.write.partitionBy("year", "month", "day").parquet(path)
+    report = core_metrics(spark.read.schema(logs.schema).parquet(path), F.current_timestamp())
+    assert report.first().total_requests == 0
+    text = plan(report)
+    assert "GreaterThanOrEqual(ts_ms," in text and "(concat_ws(-, year#" in text.split("PartitionFilters: ")[1]
 
 
 def test_labels(spark):

@@ -127,3 +127,5 @@ def test_case_table(spark):
     assert table.count() == 14
     assert table.filter("special = 'rate_limit'").select("test_name").first()[0] == "rate_limit_test"
     assert table.filter("expected_status = 403").count() == 9
+    assert table.filter("body IS NOT NULL").first().method == "POST"
+    assert table.filter("length(header_value) = 8192").first().test_name == "large_header"
