@@ -164,14 +164,17 @@ def test_results(event_rows: DataFrame) -> DataFrame:
 
 def indicator_feed(event_rows: DataFrame) -> DataFrame:
     """Block indicators named after the user, with good, bad and repeated entries."""
-    # k is exploded out of an array of one: a filter on the feed is then not rewritten
-    # into a test that parses the properties many times over.
-    keyed = event_rows.selectExpr("*", f"explode(array({K})) AS k").selectExpr("*", f"{CASE_NO} AS case_no")
-    return keyed.selectExpr(
-        "event_id AS seq",
+    name = (
         "CASE WHEN k % 50 = 1 THEN 'Emergency-IP-Block-1' "
-        "ELSE concat('Emergency-Block-', user_id, '-', k % 40) END AS name",
+        "ELSE concat('Emergency-Block-', user_id, '-', k % 40) END"
+    )
+    ip = (
         "CASE WHEN k % 10 = 7 THEN '0.0.0.0/0' WHEN k % 10 = 8 THEN '0.0.0.0/1' "
-        f"WHEN k % 10 <> 3 THEN concat({CLIENT_IP}, CASE WHEN k % 10 = 4 THEN '' ELSE concat('/', k % 40) END) END AS ip",
-        f"CASE WHEN k % 10 = 3 THEN {_case(3)} END AS uri_pattern",
+        f"WHEN k % 10 <> 3 THEN concat({CLIENT_IP}, CASE WHEN k % 10 = 4 THEN '' ELSE concat('/', k % 40) END) END"
+    )
+    pattern = f"CASE WHEN k % 10 = 3 THEN {_case(3)} END"
+    # Unpacked from an array of one, the columns count as stored values: a filter on a verdict
+    # about them is not rewritten into one that builds them anew at each mention.
+    return _keyed(event_rows).selectExpr(
+        f"inline(array(named_struct('seq', event_id, 'name', {name}, 'ip', {ip}, 'uri_pattern', {pattern})))"
     )
