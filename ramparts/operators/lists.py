@@ -13,7 +13,7 @@ from ramparts.sources.reference_sets import BROADCAST_ROWS, fitted
 
 NO_RANGE = -1
 # Above this many patterns, requests and patterns meet in a join on short substrings.
-INLINE_PATTERNS = 256
+INLINE_PATTERNS = 32
 # Characters by which a pattern is first looked up.
 ANCHOR_LENGTH = 8
 
