@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ramparts.llm import simhash
+from ramparts.llm import decontaminate, quality, simhash
 from ramparts.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,3 +20,15 @@ def registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
 @registered
 def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contamination(docs, benchmark, F.col("doc_id"))
+    return found.select(F.col("key").cast("long").alias("doc_id"), *[c for c in found.columns if c != "key"])

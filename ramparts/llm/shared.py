@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ramparts.session import scratch_path
 
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,6 +49,15 @@ def partitions(spark: SparkSession, rows_per_key: int = 1) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * rows_per_key
 
 
+def map_in_arrow(rows: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` whose Python workers find this package where the driver has it, unless it is installed."""
+    environment = rows.sparkSession.sparkContext.environment
+    folders = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if HOME not in folders:
+        environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, folders)])
+    return rows.mapInArrow(run, schema)
+
+
 def map_batches(
     rows: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
@@ -55,7 +67,7 @@ def map_batches(
         for batch in batches:
             yield from function(batch)
 
-    return rows.mapInArrow(run, schema)
+    return map_in_arrow(rows, run, schema)
 
 
 def texts_of(column: pa.Array) -> Iterator[bytes]:

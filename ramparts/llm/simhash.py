@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
 from ramparts.llm.components import components
-from ramparts.llm.shared import Kept, free_name, map_batches, texts_of
+from ramparts.llm.shared import Kept, free_name, map_batches, map_in_arrow, texts_of
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 CHUNK = 1 << 15
@@ -142,7 +142,7 @@ def linked_prints(prints: DataFrame, name: str = "fingerprint") -> DataFrame:
     )
     key = F.col("p").bitwiseAND(F.col("mask"))
     dealt = shards.select("shard", "p", key.alias("k")).repartition("shard", "k").sortWithinPartitions("shard", "k", "p")
-    return dealt.select("shard", "p").mapInArrow(_links_of_shards, "a long, b long").distinct()
+    return map_in_arrow(dealt.select("shard", "p"), _links_of_shards, "a long, b long").distinct()
 
 
 def print_groups(prints: DataFrame, name: str = "fingerprint") -> DataFrame:
