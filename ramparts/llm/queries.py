@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ramparts.llm import bpe, decontaminate, quality, simhash
+from ramparts.llm import bpe, decontaminate, quality, simhash, token_store
 from ramparts.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.contamination(docs, benchmark, F.col("doc_id"))
     return found.select(F.col("key").cast("long").alias("doc_id"), *[c for c in found.columns if c != "key"])
+
+
+@registered
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.stored_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
