@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ramparts.llm import bpe, decontaminate, quality, simhash, token_store
+from ramparts.llm import bpe, decontaminate, quality, simhash, substrings, token_store
 from ramparts.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,8 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @registered
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@registered
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
