@@ -9,11 +9,12 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from ramparts.llm.shared import map_batches
+from ramparts.llm.shared import free_name, map_batches
 
 # Limits of what a worker keeps between texts; beyond them a table starts anew, which changes no result.
 MOST_STATES, MOST_PAIRS, MOST_CHUNKS, LONGEST_CHUNK = 200_000, 1_000_000, 250_000, 64
@@ -311,30 +312,42 @@ def encoder_of(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: str = "ids") -> DataFrame:
-    """``docs`` with an array of the token ids of each text. A null or empty text has none."""
-    schema = docs.schema.add(name, "array<int>")
+def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` (token ids of the text), ``n_tokens`` and ``decodes`` (whether the ids give the text back),
+    under free names. A null or empty text has no ids; a null one decodes to nothing, which counts as given back."""
+    names = [free_name(docs.columns, name) for name in ("ids", "n_tokens", "decodes")]
+    schema = docs.select("*").schema
+    for name, kind in zip(names, ("array<int>", "long", "boolean")):
+        schema = schema.add(name, kind)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, pattern)
-        texts = (t or "" for t in batch.column(text).to_pylist())
-        ids = [list(chain.from_iterable(i for _, i in encoder.chunks(t))) for t in texts]
-        columns = [*batch.columns, pa.array(ids, pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, name])
+        tokens = encoder.transducer.bytes
+        ids, back = [], []
+        for value in batch.column(text):
+            value = value.as_py() or ""
+            found = list(chain.from_iterable([i for _, i in encoder.chunks(value)]))
+            back.append("".join(decoded(tokens, found)) == value)
+            ids.append(np.array(found, np.int32))
+        lengths = np.array([0, *map(len, ids)], np.int64)
+        values = pa.array(np.concatenate([np.empty(0, np.int32), *ids]))
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths).astype(np.int32)), values)
+        columns = [*batch.columns, lists, pa.array(lengths[1:]), pa.array(back, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return map_batches(docs, run, schema)
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """``rows`` with the text of each array of ids; null ids give a null."""
-    schema = rows.schema.add(name, "string")
+    """``rows`` with the text of each array of ids under ``name``; null ids give a null."""
+    schema = rows.select("*").schema.add(name, "string")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         tokens = encoder_of(path, pattern).transducer.bytes
         lists = batch.column(ids).to_pylist()
         texts = [None if i is None else "".join(decoded(tokens, i)) for i in lists]
         columns = [*batch.columns, pa.array(texts, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, name])
+        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return map_batches(rows, run, schema)
 

@@ -7,11 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ramparts.llm import bpe, decontaminate, quality, simhash, substrings, token_store
+from ramparts.llm import bpe, decontaminate, pii, quality, simhash, substrings, token_store
 from ramparts.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Whoever runs the operator on real data passes a secret key of their own; this one makes results repeatable.
+PSEUDONYM_KEY = b"key of the registered queries"
+
 
 def registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[query.__name__] = query
@@ -49,3 +52,8 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.private_documents(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
