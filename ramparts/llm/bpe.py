@@ -12,7 +12,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ramparts.llm.shared import free_name, map_batches
 
@@ -317,7 +317,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Dat
     under free names. A null or empty text has no ids; a null one decodes to nothing, which counts as given back."""
     names = [free_name(docs.columns, name) for name in ("ids", "n_tokens", "decodes")]
     schema = docs.select("*").schema
-    for name, kind in zip(names, ("array<int>", "long", "boolean")):
+    for name, kind in zip(names, (T.ArrayType(T.IntegerType()), T.LongType(), T.BooleanType())):
         schema = schema.add(name, kind)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from datetime import date, timedelta
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ramparts.llm.shared import free_name, map_batches
 
@@ -42,6 +42,7 @@ NUMBERS = "|".join(
 KINDS = ("iban", "iso", "dmy", "ip", "ssn", "phone", "card")
 NUMBER_START = re.compile(r"[+(]?\d|[A-Z]{2}\d{2}")
 NUMBER, TOKEN, MAIL, ASSIGNED = (re.compile(p) for p in (NUMBERS, SECRET, EMAIL, NAMED))
+PLACES = T.ArrayType(T.StructType().add("kind", "string").add("first", "integer").add("last", "integer"))
 # First digits of payment cards and their lengths.
 CARDS = re.compile(r"(?:4\d{12}(?:\d{3}(?:\d{3})?)?|(?:5[1-5]|2[2-7])\d{14}|3[47]\d{13}|(?:6011|64[4-9]\d|65\d\d)\d{12}|35\d{14})$")
 
@@ -280,7 +281,7 @@ def pseudonymised(docs: DataFrame, key: bytes, text: str = "text", places: str |
     """
     schema = docs.schema
     if places:
-        schema = docs.select("*").schema.add(places, "array<struct<kind: string, first: int, last: int>>")
+        schema = docs.select("*").schema.add(places, PLACES)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         worker, texts, spots = Pseudonyms(key, back), [], []
