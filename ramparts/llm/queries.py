@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ramparts.llm import bpe, decontaminate, pii, quality, simhash, substrings, token_store
+from ramparts.llm import bpe, chat, decontaminate, pii, quality, simhash, substrings, token_store, urls, warc
 from ramparts.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,18 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.private_documents(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+@registered
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.verdicts(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@registered
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.conversation_digests(table(spark, sf_dir, "conversations"), chat.probe_conversation(spark))
+
+
+@registered
+def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
