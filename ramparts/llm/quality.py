@@ -13,7 +13,7 @@ WINDOW = 3
 LEAST_WORDS, MOST_REPEATED = 50, 50
 # Rules of a line. A line that breaks one is removed.
 SENTENCE_END = r"[.!?…。！？]"
-SEPARATORS = r"\s[|»›>·•/]\s|::"
+SEPARATORS = r"[\x20\x09-\x0D][|»›>·•/][\x20\x09-\x0D]|::"
 MOST_SYMBOLS = 10  # per cent of a line's characters that are no blanks
 MOST_CAPITALS = 60  # per cent of a line's letters, from CAPITAL_WORDS words on
 CAPITAL_WORDS = 5
