@@ -4,24 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_OCTET = "(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
-IPV4 = rf"\A({_OCTET}\.){{3}}{_OCTET}\z"
-IPV4_RANGE = rf"\A({_OCTET}\.){{3}}{_OCTET}(/(3[0-2]|[1-2]?[0-9]))?\z"
+SHAPE, RANGE_SHAPE = r"\A\d{1,3}(\.\d{1,3}){3}\z", r"\A\d{1,3}(\.\d{1,3}){3}(/\d{1,2})?\z"
 
 
 def ipv4_number(address: Column) -> Column:
-    """Dotted quad as a bigint, NULL for anything else (IPv6 included)."""
-    octets = F.split(F.when(address.rlike(IPV4), address), r"\.")
+    """Dotted quad as a bigint, NULL for anything else (IPv6 included). Leading zeros are taken as decimal."""
+    octets = F.split(F.when(address.rlike(SHAPE), address), r"\.")
     # The octets stand outside any condition, so that the split is evaluated once for all four.
-    number = F.get(octets, F.lit(0)).cast("bigint")
-    for position in (1, 2, 3):
-        number = number * 256 + F.get(octets, F.lit(position)).cast("bigint")
-    return number
+    parts = [F.get(octets, F.lit(position)).cast("bigint") for position in range(4)]
+    number = parts[0]
+    for part in parts[1:]:
+        number = number * 256 + part
+    return F.when(F.greatest(*parts) <= 255, number)
 
 
 def is_ipv4_range(text: Column) -> Column:
     """True for ``a.b.c.d`` and ``a.b.c.d/0`` to ``/32``; a trailing newline is not accepted."""
-    return F.coalesce(text.rlike(IPV4_RANGE), F.lit(False))
+    prefix = F.substring_index(text, "/", -1).try_cast("int")
+    fits = F.when(text.contains("/"), prefix <= 32).otherwise(F.lit(True))
+    number = ipv4_number(F.substring_index(text, "/", 1))
+    return F.coalesce(text.rlike(RANGE_SHAPE) & fits & number.isNotNull(), F.lit(False))
 
 
 def to_range(text: Column) -> Column:

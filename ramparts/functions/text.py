@@ -52,10 +52,12 @@ def _decoded_piece(piece: Column) -> Column:
     name = F.substring_index(piece, ";", 1)
     rest = F.substr(piece, F.length(name) + 2)
     code = F.coalesce(
-        F.regexp_extract(name, "^#0*([0-9]{1,3})$", 1).try_cast("int"),
-        F.conv(F.nullif(F.regexp_extract(name, "^#[xX]0*([0-9A-Fa-f]{1,2})$", 1), F.lit("")), 16, 10).try_cast("int"),
+        F.regexp_extract(name, "^#0*([0-9]{1,7})$", 1).try_cast("int"),
+        F.conv(F.nullif(F.regexp_extract(name, "^#[xX]0*([0-9A-Fa-f]{1,6})$", 1), F.lit("")), 16, 10).try_cast("int"),
     )
-    char = F.when(code.between(32, 126), F.char(code))
+    # The character of a code point, by way of its four bytes in UTF-32. Surrogates are no characters.
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
     for entity, value in NAMED_ENTITIES.items():
         char = F.when(name == entity, F.lit(value)).otherwise(char)
     as_it_was = F.concat(F.lit("&"), piece)
@@ -63,7 +65,7 @@ def _decoded_piece(piece: Column) -> Column:
 
 
 def html_entity_decode(text: Column) -> Column:
-    """Decode named entities and numeric ones in printable ASCII, each once: ``&amp;lt;`` gives ``&lt;``."""
+    """Decode named entities and numeric ones of any character, each once: ``&amp;lt;`` gives ``&lt;``."""
     pieces = F.split(text, "&")
     decoded = F.array_join(
         F.transform(pieces, lambda piece, i: F.when(i == 0, piece).otherwise(_decoded_piece(piece))), ""

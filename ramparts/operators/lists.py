@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ramparts.functions.network import ipv4_number, is_ipv4_range, range_key, to_range
 from ramparts.functions.text import lowercase
 from ramparts.operators.detection import decoded_path
-from ramparts.session import stored
-from ramparts.sources.reference_sets import BROADCAST_ROWS, fitted
 
 NO_RANGE = -1
-# Above this many patterns, requests and patterns meet in a join on short substrings.
-INLINE_PATTERNS = 32
 # Characters by which a pattern is first looked up.
 ANCHOR_LENGTH = 8
 
@@ -33,56 +28,43 @@ def range_set(cidrs: DataFrame) -> DataFrame:
     return parsed.select(key.alias("range_key"), "prefix_length").distinct()
 
 
-def with_ip_set_flag(
-    requests: DataFrame, cidrs: DataFrame, flag: str, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Add a boolean: the client address lies in one of the ranges. NULL or non-IPv4 clients do not.
+def _ranges_of_clients(requests: DataFrame, cidrs: DataFrame) -> DataFrame:
+    """(clientip, prefix_length): the narrowest range that holds each distinct client address, where one does.
 
-    Membership is equality of (prefix length, network), tried for each prefix length
-    in the set, of which there are at most 33. A set of at most ``broadcast_rows`` ranges is taken out
-    once and broadcast per length, and the requests are not shuffled. For a larger one, each
-    distinct address is looked up once by a shuffled join, and the addresses found are
-    stored and joined back to the requests, by broadcast if they are few.
+    Membership is equality of (prefix length, network), tried for each of the 33 lengths. Only distinct addresses meet
+    the ranges; what is small enough to broadcast is seen when it has been computed.
     """
-    ranges = range_set(cidrs)
-    number = ipv4_number(F.col("clientip"))
-    taken = ranges.take(broadcast_rows + 1)
-    if len(taken) <= broadcast_rows:
-        of_length: dict[int, list[int]] = {}
-        for key, length in taken:
-            if length is not None:
-                of_length.setdefault(length, []).append(key)
-        flagged = requests.withColumn("_number", number).withColumn(flag, F.lit(False))
-        for length, keys in sorted(of_length.items()):
-            side = requests.sparkSession.createDataFrame(pa.table({"_key": pa.array(keys, pa.int64())}))
-            flagged = (
-                flagged.join(F.broadcast(side), range_key(F.col("_number"), length) == F.col("_key"), "left")
-                .withColumn(flag, F.col(flag) | F.col("_key").isNotNull())
-                .drop("_key")
-            )
-        return flagged.drop("_number")
-    lengths = sorted(r[0] for r in ranges.select("prefix_length").distinct().collect() if r[0] is not None)
-    addresses = requests.select("clientip").distinct().withColumn("_number", number)
-    keys = F.array(*[range_key(F.col("_number"), length) for length in lengths])
-    found = (
-        addresses.filter(F.col("_number").isNotNull())
-        .select("clientip", F.explode(keys).alias("range_key"))
-        .join(ranges, "range_key", "left_semi")
-        .select("clientip")
-        .distinct()
-    )
-    known = fitted(stored(found, "addresses")).withColumn(flag, F.lit(True))
-    return requests.join(known, "clientip", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    addresses = requests.select("clientip").distinct().withColumn("number", ipv4_number(F.col("clientip")))
+    keys = F.array(*[range_key(F.col("number"), length) for length in range(33)])
+    tried = addresses.filter(F.col("number").isNotNull()).select("clientip", F.explode(keys).alias("range_key"))
+    found = tried.join(range_set(cidrs).filter(F.col("prefix_length").isNotNull()), "range_key")
+    return found.groupBy("clientip").agg(F.max("prefix_length").alias("prefix_length"))
+
+
+def with_ip_set_flag(requests: DataFrame, cidrs: DataFrame, flag: str) -> DataFrame:
+    """Add a boolean: the client address lies in one of the ranges. NULL or non-IPv4 clients do not."""
+    known = _ranges_of_clients(requests, cidrs).select("clientip", F.lit(True).alias(flag))
+    flagged = requests.join(known, "clientip", "left")
+    return flagged.select(*requests.columns, F.coalesce(flag, F.lit(False)).alias(flag))
 
 
-def ip_set_hits(requests: DataFrame, cidrs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def narrowest_range(requests: DataFrame, cidrs: DataFrame) -> DataFrame:
+    """Requests whose client address lies in one of the ranges, with the length of the narrowest."""
+    return requests.join(_ranges_of_clients(requests, cidrs), "clientip").select(*requests.columns, "prefix_length")
+
+
+def ip_set_hits(requests: DataFrame, cidrs: DataFrame) -> DataFrame:
     """Requests whose client address lies in one of the ranges, each once."""
-    return with_ip_set_flag(requests, cidrs, "_in_set", broadcast_rows).filter("_in_set").drop("_in_set")
+    return narrowest_range(requests, cidrs).drop("prefix_length")
 
 
 def _country_codes(countries: DataFrame) -> list[str]:
-    # Two-letter codes: there cannot be more than 676 of them.
-    codes = countries.filter(F.col("country").rlike(r"\A[A-Z]{2}\z")).select("country").distinct()
+    """The set's codes in upper case. Anything that is no two-letter code is refused, as leaving it out would
+    change what the rule blocks; so there are 676 codes at most."""
+    codes = countries.select(F.upper(F.trim("country")).alias("country")).distinct()
+    wrong = codes.filter(~F.coalesce(F.col("country").rlike(r"\A[A-Z]{2}\z"), F.lit(False))).take(1)
+    if wrong:
+        raise ValueError(f"not a country code: {wrong[0].country!r}")
     return sorted(row["country"] for row in codes.collect())
 
 
@@ -108,33 +90,21 @@ def _pieces(text: Column, size: int) -> Column:
     return F.transform(places, lambda at: F.struct(at.alias("at"), F.substr(text, at, F.lit(size)).alias("anchor")))
 
 
-def uri_pattern_hits(
-    requests: DataFrame, patterns: DataFrame, normalize_pattern: bool = False, inline_patterns: int = INLINE_PATTERNS
-) -> DataFrame:
+def uri_pattern_hits(requests: DataFrame, patterns: DataFrame, normalize_pattern: bool = False) -> DataFrame:
     """(request_id, pattern) for each distinct pattern contained in the decoded, lower-cased path.
 
-    A short list is evaluated inside each row. A longer one is joined by equality with
-    substrings of each distinct path. Both give the same pairs.
+    A pattern is looked up by its first few characters, then by all of them. The first lookup brings the lengths to
+    try at that place, not the patterns: however many of them begin alike, a place in a path gives at most one row
+    per length. Only distinct paths are looked at.
     """
     pattern = lowercase(F.col("pattern")) if normalize_pattern else F.col("pattern")
     wanted = patterns.select(pattern.alias("pattern")).filter(F.length("pattern") > 0).distinct()
-    listed = sorted(row["pattern"] for row in wanted.take(inline_patterns + 1))
-    if not listed:
-        return requests.select("request_id", F.lit("").alias("pattern")).filter(F.lit(False))
-    if len(listed) <= inline_patterns:
-        literal = F.array(*[F.lit(p) for p in listed])
-        decoded = requests.select("request_id", decoded_path(F.col("uri")).alias("_path"))
-        hits = F.filter(literal, lambda p: F.col("_path").contains(p))
-        return decoded.select("request_id", F.explode(hits).alias("pattern"))
-
-    # A pattern is looked up by its first few characters, then by all of them. The first
-    # lookup brings the lengths to try at that place, not the patterns: however many of
-    # them begin alike, a place in a path gives at most one row per length.
     anchored = wanted.withColumn("anchor", F.substring("pattern", 1, ANCHOR_LENGTH))
     anchors = anchored.groupBy("anchor").agg(F.collect_set(F.length("pattern")).alias("lengths"))
-    sizes = sorted(r[0] for r in anchors.select(F.length("anchor")).distinct().collect())  # at most 8 values
     paths = requests.select("uri").distinct().withColumn("_path", decoded_path(F.col("uri")))
-    starts = F.flatten(F.array(*[_pieces(F.col("_path"), size) for size in sizes]))
+    starts = F.array_distinct(
+        F.flatten(F.array(*[_pieces(F.col("_path"), size) for size in range(1, ANCHOR_LENGTH + 1)]))
+    )
     tried = (
         paths.filter(F.col("_path").isNotNull())
         .select("uri", "_path", F.inline(starts))
@@ -143,5 +113,5 @@ def uri_pattern_hits(
         .select("uri", F.substr("_path", F.col("at"), F.col("length")).alias("pattern"))
         .distinct()
     )
-    found = fitted(stored(tried.join(wanted, "pattern", "left_semi").select("uri", "pattern"), "paths"))
+    found = tried.join(wanted, "pattern", "left_semi").select("uri", "pattern")
     return requests.select("request_id", "uri").join(found, "uri").select("request_id", "pattern")

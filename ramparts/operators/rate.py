@@ -4,68 +4,77 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ramparts.session import stored
-from ramparts.sources.reference_sets import fitted
-
 # The limit, its window, and the paths that are not counted.
 LIMIT, WINDOW_MS, UNCOUNTED_PATH = 50, 300_000, "healthcheck"
-# A client's timeline is cut into pieces of this many windows.
-WINDOWS_PER_SLICE = 4
+# A client's timeline is cut into slices of this length, whatever the window.
+SLICE_MS = 60_000
 
 
 def is_counted() -> Column:
     return ~F.coalesce(F.lower("uri").contains(UNCOUNTED_PATH), F.lit(False)) & F.col("clientip").isNotNull()
 
 
-def _slice_start(moment: Column, span: int) -> Column:
+def _floor(moment: Column, span: int) -> Column:
     return moment - F.pmod(moment, F.lit(span))
 
 
-def client_rates(requests: DataFrame, window_ms: int = WINDOW_MS) -> DataFrame:
+def client_rates(requests: DataFrame, window_ms: int = WINDOW_MS, slice_ms: int = SLICE_MS) -> DataFrame:
     """(clientip, ts_ms, window_count): counted requests in (ts_ms - window_ms, ts_ms], per distinct moment.
 
-    A request raises its client's count when it comes and lowers it ``window_ms``
-    later; the count at any moment is the running sum. Each client's timeline is cut into slices, and
-    a request still inside its window when the next slice starts is carried into
-    it. So one client is spread over many tasks, and since requests of one
-    millisecond are summed first, a task's slice is bounded by its length in time and not by
-    the number of requests.
+    A request raises its client's count when it comes and lowers it ``window_ms`` later; the count at any moment is
+    the running sum. Each client's timeline is cut into slices. A slice starts with the sum of the slices before it,
+    which are added up as one row each, and runs on by itself. So one client is spread over many tasks: a slice has
+    two rows per millisecond at most, and the row of slices grows with the time covered, not with the requests.
     """
-    span = window_ms * WINDOWS_PER_SLICE
-    moments = (
-        requests.filter(is_counted()).groupBy("clientip", "ts_ms").agg(F.count(F.lit(1)).alias("n"))
-    )
-    came, left = F.col("ts_ms"), F.col("ts_ms") + window_ms
-    own, later = _slice_start(came, span), _slice_start(left, span)
+    moments = requests.filter(is_counted()).groupBy("clientip", "ts_ms").agg(F.count(F.lit(1)).alias("n"))
 
-    def change(in_slice: Column, at: Column, by: Column, is_request: bool) -> Column:
+    def change(at: Column, by: Column, is_request: bool) -> Column:
         return F.struct(
-            in_slice.alias("slice"), at.alias("at"), by.alias("change"), F.lit(is_request).alias("is_request")
+            _floor(at, slice_ms).alias("slice"), at.alias("at"), by.alias("change"), F.lit(is_request).alias("is_request")
         )
 
-    rise = change(own, came, F.col("n"), True)
-    fall = change(later, left, -F.col("n"), False)
-    carry = change(later, later, F.col("n"), False)
+    came, left = F.col("ts_ms"), F.col("ts_ms") + window_ms
     changes = moments.select(
-        "clientip", F.inline(F.when(own == later, F.array(rise, fall)).otherwise(F.array(rise, carry, fall)))
+        "clientip", F.inline(F.array(change(came, F.col("n"), True), change(left, -F.col("n"), False)))
+    )
+    earlier = Window.partitionBy("clientip").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        changes.groupBy("clientip", "slice")
+        .agg(F.sum("change").alias("total"), F.max("is_request").alias("asked"))
+        .withColumn("before", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
+        .filter("asked")
+        .select("clientip", "slice", "before")
     )
     so_far = (
         Window.partitionBy("clientip", "slice").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        changes.withColumn("window_count", F.sum("change").over(so_far))
-        .filter("is_request")
-        .select("clientip", F.col("at").alias("ts_ms"), "window_count")
+    within = changes.withColumn("within", F.sum("change").over(so_far)).filter("is_request")
+    return within.join(starts, ["clientip", "slice"]).select(
+        "clientip", F.col("at").alias("ts_ms"), (F.col("before") + F.col("within")).alias("window_count")
     )
 
 
 def breach_moments(requests: DataFrame, limit: int = LIMIT, window_ms: int = WINDOW_MS) -> DataFrame:
     """(clientip, ts_ms, window_count) where a client has more than ``limit`` in its window.
 
-    Computed from two columns, stored, and hinted for broadcast if it has few rows, as it
-    has unless very many clients are in breach. Requests are then not shuffled.
+    Requests are first counted per client and bucket of a window's length, combined before the shuffle. A window
+    touches two buckets, so only where two neighbours together exceed the limit can a breach lie, and only requests of
+    such pairs are looked at closely.
     """
-    return fitted(stored(client_rates(requests, window_ms).filter(F.col("window_count") > limit), "rate"))
+    bucket = F.call_function("div", _floor(F.col("ts_ms"), window_ms), F.lit(window_ms))
+    counted = requests.filter(is_counted()).select("clientip", "ts_ms", "uri", bucket.alias("bucket"))
+    counts = counted.groupBy("clientip", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    pairs = counts.select(
+        "clientip", "n", F.explode(F.array(F.col("bucket"), F.col("bucket") + 1)).alias("bucket")
+    )
+    suspect = pairs.groupBy("clientip", "bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > limit)
+    needed = suspect.select(
+        "clientip", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"))).alias("bucket")
+    ).distinct()
+    close = client_rates(counted.join(needed, ["clientip", "bucket"], "left_semi"), window_ms)
+    # In the first bucket of a pair the window reaches back beyond what was looked at.
+    whole = close.withColumn("bucket", bucket).join(suspect.select("clientip", "bucket"), ["clientip", "bucket"])
+    return whole.filter(F.col("window_count") > limit).select("clientip", "ts_ms", "window_count")
 
 
 def rate_limit_breaches(requests: DataFrame, limit: int = LIMIT, window_ms: int = WINDOW_MS) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ramparts.functions.rounding import rate_half_up
-from ramparts.sources.reference_sets import RATE_CASE, fitted
+from ramparts.sources.reference_sets import RATE_CASE
 
 # Signs that a response came from the firewall.
 BLOCKED_STATUS = 403
@@ -20,8 +20,16 @@ PROBE_BLOCKS = 3
 
 RUN = ["url", "run_ts"]
 NOT_BLOCKED, FALSE_POSITIVE = "attack not blocked", "false positive"
-# A suite document holds about this many results; a longer run gives several documents.
-SUITE_RESULTS = 1000
+RESULT_COLUMNS = [
+    "test_name",
+    "expected_status",
+    "actual_status",
+    "response_time",
+    "passed",
+    "error",
+    "response_headers",
+    "blocked_by_waf",
+]
 
 
 def blocked_by_firewall(status: Column, headers: Column, body: Column) -> Column:
@@ -39,14 +47,16 @@ def blocked_by_firewall(status: Column, headers: Column, body: Column) -> Column
     return F.coalesce(status == BLOCKED_STATUS, no) | F.coalesce(header_found, no) | F.coalesce(text_found, no)
 
 
-def score_results(cases: DataFrame, results: DataFrame) -> DataFrame:
+def score_results(cases: DataFrame, results: DataFrame, rate_case: str = RATE_CASE) -> DataFrame:
     """Every result with its expectation, verdict and firewall sign.
 
-    A case without a result in a run is added with status 0, which means no answer and fails.
+    The responses of the rate probe are one result with the probe's own verdict. A case without a result in a run
+    is added with status 0, which means no answer and fails; so is a probe that got no response recorded.
     Which cases a run has is gathered as a set, at most as large as the case list.
     """
-    expected = fitted(cases.select("test_name", "expected_status"))
-    scored = results.join(expected, "test_name").select(
+    expected = cases.select("test_name", "expected_status")
+    single = results.filter(F.col("test_name") != rate_case)
+    scored = single.join(expected, "test_name").select(
         *RUN,
         "test_name",
         "expected_status",
@@ -57,6 +67,14 @@ def score_results(cases: DataFrame, results: DataFrame) -> DataFrame:
         "response_headers",
         blocked_by_firewall(F.col("actual_status"), F.col("response_headers"), F.col("body")).alias("blocked_by_waf"),
     )
+    probes = rate_probe(results, rate_case).withColumns(
+        {
+            "test_name": F.lit(rate_case),
+            "error": F.lit(None).cast("string"),
+            "response_headers": F.lit(None).cast("map<string,string>"),
+        }
+    )
+    probes = probes.join(expected.select("test_name"), "test_name", "left_semi").select(*scored.columns)
     listed = cases.groupBy().agg(F.collect_set("test_name").alias("m")).scalar()
     absent = (
         results.join(expected, "test_name", "left_semi")
@@ -76,7 +94,7 @@ def score_results(cases: DataFrame, results: DataFrame) -> DataFrame:
             F.lit(False).alias("blocked_by_waf"),
         )
     )
-    return scored.unionByName(absent)
+    return scored.unionByName(probes).unionByName(absent)
 
 
 def _passed() -> Column:
@@ -128,7 +146,12 @@ def rate_probe(results: DataFrame, test_name: str = RATE_CASE, needed: int = PRO
     return (
         results.filter(F.col("test_name") == test_name)
         .groupBy(*RUN)
-        .agg(F.count(F.lit(1)).alias("sent"), blocked.alias("blocked_count"))
+        .agg(
+            F.count(F.lit(1)).alias("sent"),
+            blocked.alias("blocked_count"),
+            # Summed as decimals, so that the order of the rows does not show in the result.
+            F.sum(F.col("response_time").cast("decimal(18,6)")).cast("double").alias("response_time"),
+        )
         .withColumn("passed", F.col("blocked_count") >= needed)
         .withColumn("expected_status", F.when(F.col("passed"), BLOCKED_STATUS).otherwise(200))
         .withColumn("actual_status", F.when(F.col("blocked_count") > 0, BLOCKED_STATUS).otherwise(200))
@@ -143,37 +166,21 @@ def run_severity(scored: DataFrame) -> DataFrame:
     return scored.groupBy(*RUN).agg(F.max(level).alias("severity"))
 
 
-def suite_documents(scored: DataFrame, size: int = SUITE_RESULTS) -> DataFrame:
-    """One nested document per run, its results as an array.
+def suite_documents(scored: DataFrame) -> DataFrame:
+    """One nested document per run: its totals, and its results as an array.
 
-    A run with more than ``size`` results gives several documents, numbered by ``part``
-    of ``parts``: results are spread over them by hash, and copies of one result by
-    number, so no array grows with the history. Each carries the totals of the whole run.
+    A run has one result per case, the probe's many responses being one, so the case list bounds the array.
     """
-    summary = run_summary(scored).withColumn("parts", F.ceil(F.col("total_tests") / size).cast("int"))
-    test = F.struct(
-        "test_name",
-        "expected_status",
-        "actual_status",
-        "response_time",
-        "passed",
-        "error",
-        "response_headers",
-        "blocked_by_waf",
-    )
-    distinct = scored.groupBy(*RUN, test.alias("test")).agg(F.count(F.lit(1)).alias("copies"))
-    batches = distinct.withColumn(
-        "batch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("copies") - 1, F.lit(size))))
-    )
-    in_batch = F.least(F.lit(size), F.col("copies") - F.col("batch") * size).cast("int")
-    spread = F.pmod(F.xxhash64(F.to_json("test"), F.col("batch")), F.col("parts"))
-    totals = ["total_tests", "passed_tests", "failed_tests", "execution_time"]
-    return (
-        batches.join(summary.select(*RUN, *totals, "parts"), RUN)
-        .groupBy(*RUN, *totals, spread.cast("int").alias("part"), "parts")
-        .agg(F.flatten(F.collect_list(F.array_repeat("test", in_batch))).alias("tests"))
-        .withColumnRenamed("run_ts", "timestamp")
-    )
+    total, passed = F.count(F.lit(1)), _passed()
+    return scored.groupBy(*RUN).agg(
+        total.alias("total_tests"),
+        passed.alias("passed_tests"),
+        (total - passed).alias("failed_tests"),
+        F.coalesce(F.sum(F.col("response_time").cast("decimal(18,6)")).cast("double"), F.lit(0.0)).alias(
+            "execution_time"
+        ),
+        F.collect_list(F.struct(*RESULT_COLUMNS)).alias("tests"),
+    ).withColumnRenamed("run_ts", "timestamp")
 
 
 def write_suites(scored: DataFrame, path: str, mode: str = "overwrite") -> None:

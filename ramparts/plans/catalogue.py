@@ -115,7 +115,7 @@ def retained_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land lines as text, ingest them as a stream, read back what was stored and what was refused."""
     work = scratch_path(spark, "ingest")
-    lines = derived.log_lines(derived.in_time_order(derived.events(spark, sf_dir)))
+    lines = derived.log_lines(derived.events(spark, sf_dir))
     lines.write.option("compression", "gzip").text(f"{work}/landing")
     query = ingest(
         line_stream(spark, f"{work}/landing"), f"{work}/log", f"{work}/errors", f"{work}/state", {"availableNow": True}
@@ -240,7 +240,7 @@ def redacted_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = logs.select(
         F.col("httprequest.requestid").alias("request_id"), F.inline("httprequest.headers").alias("name", "value")
     )
-    return headers.select("request_id", "name", F.substring("value", 1, 20).alias("shown"), F.length("value").alias("size"))
+    return headers
 
 
 # --- series ------------------------------------------------------------------------------
@@ -258,7 +258,7 @@ def blocked_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def stream_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The traffic series as a stream: the windows that are finished when the input ends."""
+    """The traffic series as a stream, windows that are open when the input ends included."""
     stream = series.traffic_overview(derived.decision_log(derived.events_stream(spark, sf_dir)))
     work = scratch_path(spark, "overview")
     return _in_ms(drained(stream, f"{work}/out", f"{work}/state"))
@@ -324,9 +324,10 @@ def run_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def suite_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suite documents taken apart again: their results per run and test."""
-    documents = scorecard.suite_documents(_scored(spark, sf_dir), size=100)
-    tests = documents.select("url", "timestamp", "total_tests", "parts", F.explode("tests").alias("t"))
-    return tests.groupBy("url", "timestamp", "total_tests", "parts", F.col("t.test_name").alias("test_name")).agg(
+    documents = scorecard.suite_documents(_scored(spark, sf_dir))
+    tests = documents.select("url", "timestamp", "total_tests", "passed_tests", F.explode("tests").alias("t"))
+    totals = ["url", "timestamp", "total_tests", "passed_tests"]
+    return tests.groupBy(*totals, F.col("t.test_name").alias("test_name")).agg(
         F.count(F.lit(1)).alias("results"), F.count_if("t.passed").alias("passed")
     )
 
@@ -352,12 +353,11 @@ def merged_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def feed_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests per client inside the validated feed's ranges of /24 and narrower. Wider ones hold every client."""
+    """Requests per client inside the validated feed's ranges, with the narrowest range that holds the client."""
     feed = derived.indicator_feed(derived.events(spark, sf_dir))
-    narrow = F.substring_index("cidr", "/", -1).cast("int") >= 24
-    cidrs = indicators.validate_indicators(feed).filter(F.col("valid") & narrow).select("cidr")
-    hits = lists.ip_set_hits(_requests(spark, sf_dir), cidrs)
-    return hits.groupBy("clientip").agg(F.count(F.lit(1)).alias("requests"))
+    cidrs = indicators.validate_indicators(feed).filter("valid").select("cidr")
+    hits = lists.narrowest_range(_requests(spark, sf_dir), cidrs)
+    return hits.groupBy("clientip", "prefix_length").agg(F.count(F.lit(1)).alias("requests"))
 
 
 @registered

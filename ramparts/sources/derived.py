@@ -10,18 +10,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ramparts.session import use_utc
 from ramparts.sources.logs import to_lines, with_hour_partition
-from ramparts.sources.reference_sets import CASES
+from ramparts.sources.reference_sets import CASES, RATE_CASE
 from ramparts.sources.schema import CONTRACT
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 URL = "https://app.example.com"
 COUNTRY_OF_USER = ["US", "CA", "GB", "AU", "DE", "FR", "JP", "CN"]
+# Ids of the rules that block.
 RULE_OF_BLOCK = [
     "JuiceShopSQLiRule", "AWSManagedRulesSQLiRuleSet", "XSSRule", "RateLimitRule", "GeoRestrictionRule",
     "IPReputationRule", "AWSManagedRulesCommonRuleSet", "Emergency-IP-Block-1", "PathTraversalRule",
     "CommandInjectionRule", "RFIProtectionRule", "LargeHeaderRule", "CustomSQLiRule", None,
 ]
 
+PROBE_NO = next(number for number, case in enumerate(CASES) if case[0] == RATE_CASE)
+
 # The properties are one flat object, {"k": n}; no need for a JSON parser per row.
 K = """try_cast(regexp_extract(props, '"k": *([0-9]+)', 1) AS int)"""
 TS_MS = "unix_millis(cast(ts AS timestamp))"
@@ -36,7 +39,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # The glob finds the table as one file and as a folder of parts.
+    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parquet*")
 
 
 def in_time_order(event_rows: DataFrame) -> DataFrame:
@@ -149,10 +153,11 @@ def log_lines(event_rows: DataFrame) -> DataFrame:
 
 
 def test_results(event_rows: DataFrame) -> DataFrame:
-    """Recorded test results, one run per event day."""
-    return _keyed(event_rows).selectExpr(
+    """Recorded test results, a run for each fourteen events; a third of them are responses to the rate probe."""
+    probed = _keyed(event_rows).withColumn("case_no", F.expr(f"CASE WHEN k % 3 = 0 THEN {PROBE_NO} ELSE case_no END"))
+    return probed.selectExpr(
         f"'{URL}' AS url",
-        "date_format(ts, 'yyyy-MM-dd') AS run_ts",
+        "lpad(event_id div 14, 12, '0') AS run_ts",
         f"{_case(0)} AS test_name",
         "CASE event_type WHEN 'error' THEN 403 WHEN 'signup' THEN 500 WHEN 'purchase' THEN 0 ELSE 200 END AS actual_status",
         "value / 100 AS response_time",

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ramparts.sources.schema import CONTRACT, CORRUPT, PARTITION_FIELDS, PARTITIONS, WIRE, contract_name
 
-# The partition domain that is visible.
-FIRST_YEAR, LAST_YEAR = "2020", "2030"
+# The years that a scan of delivered logs shows and a sink accepts, unless it is told others.
+YEARS = (2020, 2030)
 # A scan over more days than this lists by month instead of by day.
 LISTED_DAYS = 400
 
@@ -44,21 +44,37 @@ def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     return _to_contract(parsed, CORRUPT)
 
 
-def error_records(parsed: DataFrame) -> DataFrame:
-    """Text of the lines that did not parse."""
-    return parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
+def error_records(parsed: DataFrame, moment: Column | None = None, years: tuple[int, int] = YEARS) -> DataFrame:
+    """Text of the lines that did not parse, and of the records without a time inside the years, as JSON."""
+    out = parsed.filter(refused(parsed, moment, years))
+    record = F.to_json(F.struct(*[F.col(contract_name(f.name)).cast(f.dataType).alias(f.name) for f in WIRE]))
+    return out.select((F.coalesce(CORRUPT, record) if CORRUPT in parsed.columns else record).alias("value"))
 
 
-def visible_partitions(logs: DataFrame) -> DataFrame:
+def visible_partitions(logs: DataFrame, years: tuple[int, int] = YEARS) -> DataFrame:
     """Keep the declared partition domain; plain comparisons, so the scan prunes by them."""
+    first, last = years
     return logs.filter(
-        F.col("year").between(FIRST_YEAR, LAST_YEAR)
+        F.col("year").between(f"{first:04d}", f"{last:04d}")
         & F.col("month").between("01", "12")
         & F.col("day").between("01", "31")
         & F.col("hour").between("00", "23")
     )
 
 
+def event_time(ts_ms: Column, years: tuple[int, int] = YEARS) -> Column:
+    """Timestamp of epoch milliseconds; NULL without one and outside the years, however far."""
+    first, after = (datetime(year, 1, 1, tzinfo=timezone.utc) for year in (years[0], years[1] + 1))
+    inside = (ts_ms >= int(first.timestamp()) * 1000) & (ts_ms < int(after.timestamp()) * 1000)
+    return F.timestamp_millis(F.when(inside, ts_ms))
+
+
+def refused(parsed: DataFrame, moment: Column | None = None, years: tuple[int, int] = YEARS) -> Column:
+    """Whether a row has no place in the log: its line did not parse, or no hour can be told for it."""
+    when = event_time(F.col("ts_ms"), years) if moment is None else moment
+    return F.col(CORRUPT).isNotNull() | when.isNull() if CORRUPT in parsed.columns else when.isNull()
+
+
 def _tuple_bound(values: tuple[str, ...], at_least: bool) -> Column:
     """(year, month, day, hour) >= values, or <=, as plain comparisons of the partition columns."""
     *head, last = zip(PARTITIONS, values)
@@ -90,6 +106,7 @@ def read_logs(
     start: datetime | None = None,
     end: datetime | None = None,
     with_corrupt: bool = False,
+    years: tuple[int, int] = YEARS,
 ) -> DataFrame:
     """Scan delivered logs as the contract columns plus year, month, day, hour.
 
@@ -116,7 +133,7 @@ def read_logs(
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         wire = spark.createDataFrame([], schema)
-    wire = visible_partitions(wire)
+    wire = visible_partitions(wire, years)
     if start is not None:
         wire = wire.filter(_tuple_bound(_hour_values(start), at_least=True))
     if end is not None:
@@ -124,62 +141,72 @@ def read_logs(
     return _to_contract(wire, *(f.name for f in corrupt), *PARTITIONS)
 
 
-def with_hour_partition(logs: DataFrame, moment: Column | None = None) -> DataFrame:
+def with_hour_partition(
+    logs: DataFrame, moment: Column | None = None, years: tuple[int, int] = YEARS
+) -> DataFrame:
     """Add zero-padded year, month, day, hour strings (UTC).
 
-    ``moment`` is the event time unless given. A record without a timestamp
-    falls in the hour it is written.
+    ``moment`` is the event time unless given. A record without a time inside the years has NULL there.
     """
     if moment is None:
-        moment = F.coalesce(F.timestamp_millis("ts_ms"), F.current_timestamp())
+        moment = event_time(F.col("ts_ms"), years)
     forms = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
     return logs.withColumns({name: F.date_format(moment, form) for name, form in forms.items()})
 
 
-def append_hours(
-    logs: DataFrame, root: str, mode: str = "append", in_time_order: bool = False, leaf: str | None = None
-) -> None:
+def append_hours(logs: DataFrame, root: str, mode: str = "append", in_time_order: bool = False) -> None:
     """Write contract rows that carry their hour partition as gzip JSON lines.
 
     The rebalance gathers each hour's rows, splits an hour too big for one file and
     merges small ones, all by measured size; without it every task would
     write a file for every hour it meets. Rows that come in time order, each task's in few
-    hours, need no such shuffle. ``leaf`` names one more partition column below the hour.
+    hours, need no such shuffle.
     """
-    layout = (*PARTITIONS, leaf) if leaf else PARTITIONS
-    wire = _to_wire(logs, *layout)
+    wire = _to_wire(logs, *PARTITIONS)
     if not in_time_order:
         wire = wire.hint("rebalance", *PARTITIONS)
-    writer = wire.write.mode(mode).partitionBy(*layout).option("compression", "gzip")
+    writer = wire.write.mode(mode).partitionBy(*PARTITIONS).option("compression", "gzip")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.option("ignoreNullFields", "true").json(root)
 
 
-def write_errors(parsed: DataFrame, errors_root: str, mode: str = "append") -> None:
-    error_records(parsed).write.mode(mode).option("compression", "gzip").text(errors_root)
+def write_errors(
+    parsed: DataFrame,
+    errors_root: str,
+    mode: str = "append",
+    moment: Column | None = None,
+    years: tuple[int, int] = YEARS,
+) -> None:
+    error_records(parsed, moment, years).write.mode(mode).option("compression", "gzip").text(errors_root)
 
 
 def write_logs(
-    df: DataFrame, root: str, errors_root: str | None = None, mode: str = "append", in_time_order: bool = False
+    df: DataFrame,
+    root: str,
+    errors_root: str | None = None,
+    mode: str = "append",
+    in_time_order: bool = False,
+    years: tuple[int, int] = YEARS,
 ) -> None:
-    """Hourly gzip sink. Rows with ``_corrupt_record`` go to ``errors_root`` as text.
+    """Hourly gzip sink. Rows with ``_corrupt_record``, and rows without a time inside ``years``, go to
+    ``errors_root`` as text.
 
-    ``mode="overwrite"`` replaces only the hours that occur in ``df``. ``in_time_order`` spares
-    a shuffle when each task's rows already lie in few hours.
+    The input is read once for each of the two sinks. ``mode="overwrite"`` replaces only the hours that occur in
+    ``df``. ``in_time_order`` spares a shuffle when each task's rows already lie in few hours. Without
+    ``errors_root`` a row that belongs there fails the write.
     """
-    if CORRUPT not in df.columns:
-        append_hours(df if "hour" in df.columns else with_hour_partition(df), root, mode, in_time_order)
-        return
-    if errors_root is None:
+    if CORRUPT in df.columns and errors_root is None:
         raise ValueError("errors_root is needed for rows with _corrupt_record")
-    kept = df.persist()
-    try:
-        good = kept.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        append_hours(good if "hour" in good.columns else with_hour_partition(good), root, mode, in_time_order)
-        write_errors(kept, errors_root, mode)
-    finally:
-        kept.unpersist()
+    bad = F.col("hour").isNull() if "hour" in df.columns else refused(df, years=years)
+    if errors_root is None:
+        good = df.filter(F.when(bad, F.raise_error(F.lit("a record has no time inside the years")).cast("boolean")).otherwise(True))
+    else:
+        good = df.filter(~bad)
+    good = good.drop(CORRUPT)
+    append_hours(good if "hour" in good.columns else with_hour_partition(good, years=years), root, mode, in_time_order)
+    if errors_root is not None:
+        write_errors(df, errors_root, mode, years=years)
 
 
 def compact_logs(logs: DataFrame, path: str, mode: str = "append") -> None:
@@ -198,8 +225,8 @@ def compact_logs(logs: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_compacted(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([*CONTRACT.fields, *PARTITION_FIELDS])
-    return visible_partitions(spark.read.schema(schema).parquet(path))
+    """Everything in the copy; what a scan shows was decided when it was made."""
+    return spark.read.schema(T.StructType([*CONTRACT.fields, *PARTITION_FIELDS])).parquet(path)
 
 
 def retain(df: DataFrame, as_of: date | datetime, days: int = 90) -> DataFrame:

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ramparts.operators.governance import filter_logged, redact
-from ramparts.sources.logs import append_hours, parse_lines, with_hour_partition, write_errors
+from ramparts.sources.logs import YEARS, append_hours, parse_lines, refused, with_hour_partition, write_errors
 from ramparts.sources.schema import CORRUPT
 
 # Fixed value: how long deliveries are gathered before they are written.
 FLUSH = "5 minutes"
-# Leaf folder per micro-batch, which lets a repeated batch replace its own files.
+# Folder per micro-batch, for errors and for batches on their way into the log.
 DELIVERY = "delivery"
+# What one micro-batch takes from the landing folder, unless it is told otherwise.
+BATCH_BYTES = 8 << 30
 
 
-def line_stream(spark: SparkSession, landing: str, max_bytes: int | None = None) -> DataFrame:
+def line_stream(spark: SparkSession, landing: str, max_bytes: int | None = BATCH_BYTES) -> DataFrame:
     """Text lines from files as they arrive under ``landing``; ``max_bytes`` bounds one micro-batch."""
     reader = spark.readStream.format("text")
     if max_bytes:
@@ -31,28 +33,26 @@ def ingest(
     trigger: dict | None = None,
     moment: Column | None = None,
     filtered: bool = True,
+    years: tuple[int, int] = YEARS,
 ) -> StreamingQuery:
-    """Parse, filter, redact and store a stream of lines; text that does not parse goes to ``errors_root``.
-
-    A micro-batch is parsed once and kept while both sinks are written. It spans few hours, so
-    each task writes its own files and nothing is shuffled. Its files
-    stand in a ``delivery=<batch>`` leaf, and a batch that is run again after a failure
-    overwrites that leaf, so every line is stored once. ``moment`` dates the
-    partition and should not depend on the clock for that to hold; it is the event
-    time unless given.
+    """Parse, filter, redact and store a stream of lines. Text that does not parse, and records without a time inside
+    ``years``, go to ``errors_root``.
+
+    Files stand in the hour's folder like those of every other sink, so scans and tables see them. A micro-batch first
+    removes what an earlier run of it may have left: its files carry the batch in their names, which are kept in a
+    list beside the checkpoint. So every line is stored once. ``moment`` dates the partition and must not depend on
+    the clock for that to hold; it is the event time unless given. Each batch is gathered by hour before it is written.
     """
+    folder = f"{checkpoint.rstrip('/')}-deliveries"
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_lines(batch).persist()
-        try:
-            good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-            if filtered:
-                good = redact(filter_logged(good))
-            good = with_hour_partition(good, moment).withColumn(DELIVERY, F.lit(batch_id))
-            append_hours(good, root, "overwrite", in_time_order=True, leaf=DELIVERY)
-            write_errors(parsed, f"{errors_root.rstrip('/')}/{DELIVERY}={batch_id}", "overwrite")
-        finally:
-            parsed.unpersist()
+        parsed = parse_lines(batch)
+        good = parsed.filter(~refused(parsed, moment, years)).drop(CORRUPT)
+        if filtered:
+            good = redact(filter_logged(good))
+        good = with_hour_partition(good, moment, years)
+        deliver(good, root, f"{folder}/{DELIVERY}={batch_id}", f"batch-{batch_id:012d}-")
+        write_errors(parsed, f"{errors_root.rstrip('/')}/{DELIVERY}={batch_id}", "overwrite", moment, years)
 
     return (
         lines.writeStream.foreachBatch(store)
@@ -60,3 +60,53 @@ def ingest(
         .trigger(**(trigger or {"processingTime": FLUSH}))
         .start()
     )
+
+
+def deliver(logs: DataFrame, root: str, staging: str, prefix: str) -> None:
+    """Write rows by hour under ``staging``, then move the files into the hours of ``root`` under names that begin
+    with ``prefix``, in place of all files so named. Run again after a failure, it leaves the same files.
+
+    Only names pass through the driver, a file for each hour of the batch or part of it.
+    """
+    spark = logs.sparkSession
+    files, target = _files(spark, staging), _files(spark, root)
+    files.delete("")
+    append_hours(logs, staging, "append")
+    for hour in {name.rpartition("/")[0] for name in files.list("")}:
+        for old in target.list(hour):
+            if old.rpartition("/")[2].startswith(prefix):
+                target.delete(old)
+    for number, name in enumerate(sorted(files.list(""))):
+        hour, _, leaf = name.rpartition("/")
+        suffix = leaf.partition(".")[2]
+        files.move(name, f"{root.rstrip('/')}/{hour}", f"{prefix}{number:06d}.{suffix}")
+    files.delete("")
+
+
+class _files:
+    """Names below a folder, by Hadoop's file system, whatever store it is."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.folder = folder.rstrip("/")
+        self.system = self.path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def list(self, below: str) -> list[str]:
+        start = self.path(f"{self.folder}/{below}".rstrip("/"))
+        if not self.system.exists(start):
+            return []
+        base, found = self.system.makeQualified(self.path(self.folder)).toString(), []
+        entries = self.system.listFiles(start, True)
+        while entries.hasNext():
+            name = entries.next().getPath().toString().removeprefix(base).lstrip("/")
+            if not name.rpartition("/")[2].startswith(("_", ".")):
+                found.append(name)
+        return found
+
+    def delete(self, below: str) -> None:
+        self.system.delete(self.path(f"{self.folder}/{below}".rstrip("/")), True)
+
+    def move(self, name: str, folder: str, leaf: str) -> None:
+        self.system.mkdirs(self.path(folder))
+        if not self.system.rename(self.path(f"{self.folder}/{name}"), self.path(f"{folder}/{leaf}")):
+            raise OSError(f"cannot move {name} to {folder}/{leaf}")

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ramparts.operators.rate import LIMIT, is_counted
 from ramparts.operators.series import LATENESS, PERIOD, timed
 
+# Folder per micro-batch.
+BATCH = "batch"
+
 
 def stream_rate_limit(
     stream: DataFrame, limit: int = LIMIT, window: str = PERIOD, slide: str = "30 seconds", lateness: str = LATENESS
@@ -41,7 +45,27 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None
 
 
 def drained(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Run a stream over everything there is now and read back what its windows gave."""
-    query = to_files(stream, path, checkpoint, {"availableNow": True})
+    """Run a stream of windows over everything there is now and read back what they gave.
+
+    Windows that the watermark has not closed when the input ends count too: each micro-batch writes the windows it
+    has changed to a folder of its own, which a repeated batch replaces, and the last state of a window holds.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+
+    query = (
+        stream.writeStream.foreachBatch(store)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
     query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+    spark, schema = stream.sparkSession, stream.schema
+    written = StructType([*schema.fields, StructField(BATCH, LongType())])
+    keys = [name for name in ("window_start", "window_end", "clientip") if name in schema.names]
+    values = [name for name in schema.names if name not in keys]
+    last = F.max(F.struct(BATCH, *[f"`{name}`" for name in values])).alias("last")
+    states = spark.read.schema(written).option("basePath", path).parquet(f"{path}/{BATCH}=*")
+    return states.groupBy(*keys).agg(last).select(*keys, *[F.col(f"last.`{name}`").alias(name) for name in values])

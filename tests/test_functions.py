@@ -47,8 +47,10 @@ def test_html_entity_decode(spark):
         "&#x27;&#X27;&#039;": "'''",
         "a&b": "a&b",
         "a&b;c": "a&b;c",
-        "&#7;": "&#7;",
-        "&#200;": "&#200;",
+        "&#7;&#9;&#x0A;": "\a\t\n",
+        "&#200;&#233;&#x3bb;": "Èéλ",
+        "&#128512;&#x1F600;&#1114111;": "😀😀\U0010ffff",
+        "&#xD800;&#1114112;&#0;": "&#xD800;&#1114112;&#0;",
         "x&nbsp;y": "x\u00a0y",
         "&;": "&;",
         "&lt": "&lt",

@@ -5,7 +5,7 @@ import pytest
 from samples import requests
 
 from ramparts import geo_blocked, ip_set_hits, uri_pattern_hits
-from ramparts.operators.lists import with_ip_set_flag
+from ramparts.operators.lists import narrowest_range, with_ip_set_flag
 from ramparts.sources import allowed_countries, blocked_ranges, uri_patterns
 
 
@@ -14,37 +14,45 @@ def test_ip_set_edges(spark, rows):
     asked = requests(spark, *({"clientip": c} for c in clients))
     # The last three entries are no ranges; 10.0.0.0/28 and 10.0.0.5 overlap.
     cidrs = ["10.0.0.0/28", "10.0.0.5", "10.0.0.77/32", "10.0.1.0/24", "10.0.0.0/33", "x", "::1/128"]
-    for bound in (1000, 0):
-        hits = ip_set_hits(asked, blocked_ranges(spark, cidrs), broadcast_rows=bound)
-        assert rows(hits, "request_id") == [("0",), ("2",), ("3",)]
-        flags = with_ip_set_flag(asked, blocked_ranges(spark, cidrs), "f", bound)
-        assert flags.count() == len(clients) and flags.filter("f").count() == 3
+    hits = ip_set_hits(asked, blocked_ranges(spark, cidrs))
+    assert hits.columns == asked.columns and rows(hits, "request_id") == [("0",), ("2",), ("3",)]
+    flags = with_ip_set_flag(asked, blocked_ranges(spark, cidrs), "f")
+    assert flags.columns == [*asked.columns, "f"]
+    assert flags.count() == len(clients) and flags.filter("f").count() == 3
+    narrow = narrowest_range(asked, blocked_ranges(spark, [*cidrs, "0.0.0.0/1"]))
+    assert rows(narrow, "request_id", "prefix_length") == [("0", 32), ("1", 1), ("2", 32), ("3", 24)]
     assert ip_set_hits(asked, blocked_ranges(spark, [])).count() == 0
     assert rows(ip_set_hits(asked, blocked_ranges(spark, ["0.0.0.0/0"])), "request_id") == [("0",), ("1",), ("2",), ("3",)]
 
 
-@pytest.mark.parametrize("bound", [10_000, 0])
-def test_ip_set_against_ipaddress(spark, bound):
+def test_ip_set_against_ipaddress(spark):
     draw = random.Random(5)
     cidrs = [f"10.{draw.randrange(4)}.{draw.randrange(4)}.0/{draw.choice([9, 14, 22, 24, 27, 30])}" for _ in range(40)]
     clients = [f"10.{draw.randrange(8)}.{draw.randrange(6)}.{draw.randrange(256)}" for _ in range(300)]
     networks = [ipaddress.ip_network(c, strict=False) for c in cidrs]
     asked = requests(spark, *({"clientip": c} for c in clients))
-    got = sorted(row.clientip for row in ip_set_hits(asked, blocked_ranges(spark, cidrs), bound).collect())
+    got = sorted(row.clientip for row in ip_set_hits(asked, blocked_ranges(spark, cidrs)).collect())
     assert got == sorted(c for c in clients if any(ipaddress.ip_address(c) in n for n in networks))
 
 
-def test_small_set_is_broadcast_and_requests_stay(spark, sf_dir, plan):
+def test_ranges_are_met_by_equality(spark, plan, sf_dir):
     from ramparts.plans import QUERIES
 
     text = plan(QUERIES["ip_set_hits"](spark, sf_dir))
-    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text and "NestedLoop" not in text
+    assert "Cartesian" not in text and "NestedLoop" not in text
+    asked = requests(spark, {"clientip": "10.0.0.1"})
+    text = plan(ip_set_hits(asked, blocked_ranges(spark, ["10.0.0.0/28"])))
+    assert "Cartesian" not in text and "NestedLoop" not in text
 
 
 def test_geo(spark, rows):
     asked = requests(spark, *({"country": c} for c in ["US", "CN", None, "GB"]))
     assert rows(geo_blocked(asked, allowed_countries(spark)), "country") == [("CN",), (None,)]
     assert geo_blocked(asked, allowed_countries(spark, [])).count() == 0
+    assert rows(geo_blocked(asked, allowed_countries(spark, ["us", " gb "])), "country") == [("CN",), (None,)]
+    for wrong in ("USA", "", "U1"):
+        with pytest.raises(ValueError):
+            geo_blocked(asked, allowed_countries(spark, ["US", wrong]))
 
 
 def test_country_test_reaches_the_scan(spark, tmp_path, plan):
@@ -57,19 +65,18 @@ PATTERNS = ["etc/passwd", "user/login", "Admin/Backdoor", "é", "/rest/pr", "/re
 PATHS = ["/ETC/passwd", "/rest/user/login", "/rest/products/search", "/Admin/Backdoor", "/%C3%A9", "aaa", "", None, "/%zz"]
 
 
-@pytest.mark.parametrize("inline", [100, 0])
-def test_uri_patterns(spark, rows, inline):
+def test_uri_patterns(spark, rows):
     asked = requests(spark, *({"uri": p} for p in PATHS))
-    hits = rows(uri_pattern_hits(asked, uri_patterns(spark, PATTERNS), inline_patterns=inline))
+    hits = rows(uri_pattern_hits(asked, uri_patterns(spark, PATTERNS)))
     decoded = ["/etc/passwd", "/rest/user/login", "/rest/products/search", "/admin/backdoor", "/é", "aaa", "", None, "/%zz"]
     expected = [(str(i), p) for i, d in enumerate(decoded) if d is not None for p in PATTERNS if p and p in d]
     assert hits == sorted(expected, key=repr)
-    lowered = uri_pattern_hits(asked, uri_patterns(spark, PATTERNS), normalize_pattern=True, inline_patterns=inline)
+    lowered = uri_pattern_hits(asked, uri_patterns(spark, PATTERNS), normalize_pattern=True)
     assert ("3", "admin/backdoor") in rows(lowered)
 
 
 def test_long_list_has_no_cross_join(spark, plan):
-    hits = uri_pattern_hits(requests(spark, *({"uri": p} for p in PATHS)), uri_patterns(spark, PATTERNS), inline_patterns=0)
+    hits = uri_pattern_hits(requests(spark, *({"uri": p} for p in PATHS)), uri_patterns(spark, PATTERNS))
     text = plan(hits)
     assert "Cartesian" not in text and "NestedLoop" not in text
 

@@ -179,9 +179,24 @@ def test_broken_rows_go_to_errors(spark, tmp_path):
         write_logs(parsed, str(tmp_path / "log2"))
 
 
-def test_row_without_time_falls_in_the_current_hour(spark):
-    row = with_hour_partition(log_rows(spark, {"action": "BLOCK"})).first()
-    assert row.year >= "2024" and len(row.hour) == 2
+def test_row_without_a_time_has_no_hour_and_goes_to_errors(spark, tmp_path):
+    logs = log_rows(spark, {"action": "BLOCK"}, {"ts_ms": 9 * 10**18}, {"ts_ms": 2_051_222_400_000}, {"ts_ms": 1_704_423_600_000})
+    assert [row.hour for row in with_hour_partition(logs).collect()] == [None, None, None, "03"]
+    with pytest.raises(Exception, match="no time inside the years"):
+        write_logs(logs, str(tmp_path / "strict"))
+    write_logs(logs, str(tmp_path / "log"), str(tmp_path / "errors"))
+    assert read_logs(spark, str(tmp_path / "log")).count() == 1
+    assert spark.read.text(str(tmp_path / "errors")).count() == 3
+
+
+def test_other_years(spark, tmp_path):
+    logs = log_rows(spark, {"ts_ms": 2_051_222_400_000})
+    write_logs(logs, str(tmp_path / "log"), years=(2030, 2040))
+    assert read_logs(spark, str(tmp_path / "log")).count() == 0
+    later = read_logs(spark, str(tmp_path / "log"), years=(2030, 2040))
+    assert [row.year for row in later.collect()] == ["2035"]
+    compact_logs(later, str(tmp_path / "copy"))
+    assert read_compacted(spark, str(tmp_path / "copy")).count() == 1
 
 
 def test_hot_hour_is_split_into_files(spark, tmp_path):

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from samples import requests
 
 from ramparts import rate_limit_breaches
-from ramparts.operators.rate import WINDOWS_PER_SLICE, client_rates, with_rate_flag
+from ramparts.operators.rate import client_rates, with_rate_flag
 
 
 def brute(moments, window):
@@ -46,11 +46,20 @@ def test_against_brute_force(spark, moments):
 
 @pytest.mark.parametrize("shift", [0, -1, 1])
 def test_windows_across_slices(spark, shift):
-    span = 10 * WINDOWS_PER_SLICE
-    moments = [("a", span * n + d + shift) for n in (1, 2, 3) for d in (-10, -9, -1, 0, 0, 1, 9, 10)]
+    span = 7
+    moments = [("a", span * n + d + shift) for n in (1, 2, 5) for d in (-10, -9, -1, 0, 0, 1, 9, 10)]
     asked = requests(spark, *({"clientip": c, "ts_ms": t} for c, t in moments))
-    hits = rate_limit_breaches(asked, limit=0, window_ms=10)
-    assert Counter((r.clientip, r.ts_ms, r.window_count) for r in hits.collect()) == brute(moments, 10)
+    rates = {(r.clientip, r.ts_ms, r.window_count) for r in client_rates(asked, 10, slice_ms=span).collect()}
+    assert rates == set(brute(moments, 10))
+
+
+@pytest.mark.parametrize("limit", [1, 2, 3])
+def test_only_suspect_buckets_are_looked_at_and_none_is_missed(spark, limit):
+    moments = [("a", t) for t in (0, 9, 10, 11, 19, 35, 36, 44, 45, 46, 90)] + [("b", t) for t in (5, 14, 15, 16)]
+    asked = requests(spark, *({"clientip": c, "ts_ms": t} for c, t in moments))
+    hits = rate_limit_breaches(asked, limit=limit, window_ms=10)
+    expected = Counter({k: n for k, n in brute(moments, 10).items() if k[2] > limit})
+    assert Counter((r.clientip, r.ts_ms, r.window_count) for r in hits.collect()) == expected
 
 
 def test_one_client_with_everything_is_spread_out(spark):

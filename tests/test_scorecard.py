@@ -106,20 +106,31 @@ def test_suite_document(spark, tmp_path):
     files = list((tmp_path / "suites").glob("*.json"))
     documents = [json.loads(line) for file in files for line in file.read_text().splitlines()]
     assert len(documents) == 1
-    assert documents[0]["total_tests"] == 3 and documents[0]["part"] == 0 and documents[0]["parts"] == 1
+    assert documents[0]["total_tests"] == 3 and documents[0]["passed_tests"] == 3
     assert {t["test_name"] for t in documents[0]["tests"]} == {name for name, _ in CASES}
     assert documents[0]["tests"][0]["error"] is None
 
 
-def test_long_runs_give_several_documents_and_lose_nothing(spark):
-    """Half of the results are copies of one; no document gets out of hand."""
-    scored = score_results(cases(spark), results(spark, *CASES))
-    many = scored.limit(1).crossJoin(spark.range(3000)).drop("id").unionByName(
-        scored.limit(1).crossJoin(spark.range(3000)).withColumn("response_time", F.col("id") / 7).drop("id")
-    )
-    documents = suite_documents(many, size=500).select("part", "parts", F.size("tests").alias("n")).collect()
-    assert sum(d.n for d in documents) == 6000 and {d.parts for d in documents} == {12}
-    assert max(d.n for d in documents) < 2500
+def test_probe_responses_are_one_result(spark, rows):
+    """All attacks blocked, the probe blocked three times of 53: a perfect run of 14 results."""
+    table = request_cases(spark)
+    single = [(c.test_name, c.expected_status) for c in table.collect() if c.test_name != "rate_limit_test"]
+    probe = [("rate_limit_test", 200)] * 50 + [("rate_limit_test", 403)] * 3
+    scored = score_results(table, results(spark, *single, *probe))
+    assert rows(run_summary(scored), "total_tests", "passed_tests", "failed_tests") == [(14, 14, 0)]
+    assert rows(run_severity(scored), "severity") == [(0,)]
+    assert missed_attacks(scored).count() == 0
+    assert rows(scored.filter("test_name = 'rate_limit_test'"), "expected_status", "actual_status", "passed") == [
+        (403, 403, True)
+    ]
+    assert suite_documents(scored).select(F.size("tests")).first()[0] == 14
+
+    weak = score_results(table, results(spark, *single, *probe[:-1]))
+    assert rows(run_severity(weak), "severity") == [(1,)]
+    assert rows(missed_attacks(weak), "test_name", "outcome") == [("rate_limit_test", "false positive")]
+
+    absent = score_results(table, results(spark, *single))
+    assert rows(absent.filter("test_name = 'rate_limit_test'"), "actual_status", "error") == [(0, "no result recorded")]
 
 
 def test_case_table(spark):

@@ -1,11 +1,22 @@
 import json
 import os
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 from samples import log_rows, requests
 from test_logs import LINES
 
-from ramparts import blocked_by_rule, ingest, read_logs, stream_rate_limit, traffic_overview
+from ramparts import (
+    blocked_by_rule,
+    ingest,
+    read_logs,
+    register_log_table,
+    stream_rate_limit,
+    traffic_overview,
+    write_logs,
+)
+from ramparts.sources.derived import events_stream
 from ramparts.sources.logs import to_lines
 from ramparts.sources.schema import CONTRACT
 from ramparts.streaming import drained, line_stream
@@ -44,14 +55,27 @@ def test_by_rule(spark, rows):
     assert in_ms(rows, series, *series.columns[2:]) == [(0, 0, 1, 0, 0), (FIVE, 1, 0, 0, 0)]
 
 
-def test_stream_equals_batch_on_finished_windows(spark, rows, tmp_path):
+@pytest.mark.parametrize("parts", [1, 3])
+def test_stream_equals_batch(spark, rows, tmp_path, parts):
+    """Windows still open at the end of the input count as well, from one file or several."""
     batch = log(spark, *ENTRIES)
     source = str(tmp_path / "source")
-    batch.write.parquet(source)
-    stream = spark.readStream.schema(CONTRACT).parquet(source)
-    live = drained(traffic_overview(stream), str(tmp_path / "out"), str(tmp_path / "state"))
-    finished = traffic_overview(batch).filter(F.unix_millis("window_end") <= 9 * FIVE - 2 * FIVE)
-    assert rows(live) == rows(finished) and live.count() == 2
+    batch.repartition(parts).write.parquet(source)
+    stream = spark.readStream.schema(CONTRACT).option("maxFilesPerTrigger", "1").parquet(source)
+    live = drained(traffic_overview(stream, lateness="1 day"), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert rows(live) == rows(traffic_overview(batch)) and live.count() == 3
+
+
+@pytest.mark.parametrize("as_folder", [False, True])
+def test_event_stream_finds_a_file_and_a_folder(spark, tmp_path, sf_dir, as_folder):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if as_folder:
+        events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    else:
+        shutil.copy(f"{sf_dir}/events.parquet", tmp_path / "events.parquet")
+    seen = drained(events_stream(spark, str(tmp_path)).groupBy("user_id").count().select(
+        F.col("user_id").alias("clientip"), "count"), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert seen.agg(F.sum("count")).first()[0] == events.count()
 
 
 def test_stream_rate_limit(spark, rows, tmp_path):
@@ -130,3 +154,27 @@ def test_lines_hold_what_the_log_holds(spark, rows):
 
     logs = log(spark, *ENTRIES)
     assert rows(parse_lines(to_lines(logs)).drop("_corrupt_record")) == rows(logs)
+
+
+def test_lines_without_a_place_go_to_errors(spark, rows, tmp_path):
+    """Times beyond any calendar, in microseconds or missing do not stop the stream, and nothing is dated by the clock."""
+    plain = {"timestamp": 1_704_423_600_000, "action": "BLOCK"}
+    odd = [9 * 10**18, 1_704_423_600_000_000, -1, None]
+    bad = [{"timestamp": t, "action": "BLOCK"} if t is not None else {"action": "BLOCK"} for t in odd]
+    land(tmp_path / "landing", "1.json", *map(json.dumps, [plain, *bad]))
+    run_ingest(spark, tmp_path)
+    assert [r.ts_ms for r in read_logs(spark, str(tmp_path / "log")).collect()] == [plain["timestamp"]]
+    errors = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "errors/*")).collect()]
+    assert sorted(errors, key=repr) == sorted(bad, key=repr)
+
+
+def test_one_root_for_all_sinks(spark, tmp_path):
+    """Files that were written and files that were ingested stand side by side, for scans and for the table."""
+    root = str(tmp_path / "log")
+    write_logs(log(spark, (1_704_423_600_000, "BLOCK", "a")), root)
+    land(tmp_path / "landing", "1.json", json.dumps({"timestamp": 1_704_423_600_001, "action": "BLOCK"}))
+    run_ingest(spark, tmp_path)
+    assert read_logs(spark, root).count() == 2
+    register_log_table(spark, root, "mixed_root")
+    assert spark.table("mixed_root").count() == 2
+    spark.sql("DROP TABLE mixed_root")
