@@ -40,12 +40,19 @@ def _is(action: str) -> Column:
     return F.col("action") == action
 
 
-def trailing(logs: DataFrame, as_of: datetime | Column, hours: int = 24) -> DataFrame:
+# How long after its event a record may be delivered.
+DELIVERY_DELAY_HOURS = 24
+
+
+def trailing(
+    logs: DataFrame, as_of: datetime | Column, hours: int = 24, delay_hours: int = DELIVERY_DELAY_HOURS
+) -> DataFrame:
     """Rows whose event time, cut to seconds, lies in [as_of - hours, as_of].
 
     ``as_of`` is a UTC datetime or a timestamp Column such as ``current_timestamp()``. The
     delivery dates and the raw millisecond bounds are added as plain comparisons, so that
-    partitions and row groups outside are never read.
+    partitions and row groups outside are never read. A record may stand in the folder of a later day, as it is dated
+    by its delivery: folders up to ``delay_hours`` after ``as_of`` are read.
     """
     partitioned = {"year", "month", "day"} <= set(logs.columns)
     if isinstance(as_of, Column):
@@ -55,7 +62,8 @@ def trailing(logs: DataFrame, as_of: datetime | Column, hours: int = 24) -> Data
         near = (F.col("ts_ms") >= F.unix_millis(start)) & (F.col("ts_ms") < F.unix_millis(as_of) + 1000)
         if partitioned:
             day = F.concat_ws("-", "year", "month", "day")
-            near &= day.between(F.date_format(start, "yyyy-MM-dd"), F.date_format(as_of, "yyyy-MM-dd"))
+            delivered = as_of + F.make_dt_interval(hours=F.lit(delay_hours))
+            near &= day.between(F.date_format(start, "yyyy-MM-dd"), F.date_format(delivered, "yyyy-MM-dd"))
         return logs.filter(near & second.between(start, as_of))
     if as_of.tzinfo is not None:
         as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
@@ -66,7 +74,7 @@ def trailing(logs: DataFrame, as_of: datetime | Column, hours: int = 24) -> Data
     end_ms = (high // 1_000_000 + 1) * 1000
     kept = logs.filter((F.col("ts_ms") >= first_ms) & (F.col("ts_ms") < end_ms))
     if partitioned:
-        days = (as_of.date() - start.date()).days
+        days = ((as_of + timedelta(hours=delay_hours)).date() - start.date()).days
         on_days = F.lit(False)
         for n in range(days + 1):
             day = start.date() + timedelta(n)

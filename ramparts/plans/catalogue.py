@@ -15,7 +15,7 @@ from ramparts.operators import detection, governance, indicators, kpi, lists, ne
 from ramparts.operators.requests import as_requests, header_value
 from ramparts.session import scratch_path
 from ramparts.sources import derived, reference_sets
-from ramparts.sources.logs import parse_lines, read_logs, retain, write_logs
+from ramparts.sources.logs import parse_lines, read_logs, retain, with_hour_partition, write_logs
 from ramparts.sources.schema import CORRUPT, PARTITIONS
 from ramparts.streaming import drained, ingest, line_stream, stream_rate_limit
 
@@ -148,6 +148,14 @@ def kpi_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.kpi_report(*_trailing_day(spark, sf_dir))
 
 
+@registered
+def kpi_by_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over a log whose folders are those of the delivery, up to an hour and a half after the event."""
+    logs, as_of = _trailing_day(spark, sf_dir)
+    delivered = F.timestamp_millis(F.col("ts_ms") + F.pmod("ts_ms", F.lit(90)) * 60_000)
+    return kpi.kpi_report(with_hour_partition(logs, delivered), as_of)
+
+
 @registered
 def core_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.core_metrics(*_trailing_day(spark, sf_dir))

@@ -41,7 +41,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local["):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="ramparts-")
     spark.conf.set(CHECKPOINT_DIR, folder)
