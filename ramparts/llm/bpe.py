@@ -197,7 +197,9 @@ class Transducer:
                 out += ways[0][:settled]
                 del lasts[: sum(self.sizes[token] for token in ways[0][:settled])]
                 if self.full():
+                    borders = self.borders
                     self.reset()
+                    state = self.state(tuple((read, self.number(borders[border])) for read, border in state.begun))
         return out + self.back(lasts, len(lasts))
 
 
