@@ -97,6 +97,10 @@ class Permutation:
         return int(self.walked(str(value).zfill(width), DIGITS, kind, lambda t: int(t) < limit, back))
 
 
+def accented(text: str) -> bool:
+    return any(c in ACCENTED and c not in LETTERS for c in text)
+
+
 def luhn_digit(payload: str) -> str:
     total = 0
     for place, digit in enumerate(reversed(payload)):
@@ -125,12 +129,14 @@ class Pseudonyms:
         """Letters become letters and digits digits, each where they stand. ``with_it`` makes a permutation of its
         own. Letters beyond Latin-1 stay."""
         low = [c.lower() if len(c.lower()) == 1 else c for c in text]
-        alphabet = ACCENTED if any(c in ACCENTED and c not in LETTERS for c in low) else LETTERS
+        alphabet = ACCENTED if accented("".join(low)) else LETTERS
         shape = "".join("a" if c in alphabet else "0" if c in DIGITS else c for c in low)
         letters = "".join(c for c in low if c in alphabet)
         digits = "".join(c for c in low if c in DIGITS)
         kind = f"{kind}|{shape}|{with_it}"
-        new_letters = iter(self.permutation.string(letters, alphabet, f"{kind}|a", self.back))
+        # A word with accents gets one with accents, so that the way back knows its alphabet.
+        valid = accented if alphabet is ACCENTED else lambda _: True
+        new_letters = iter(self.permutation.walked(letters, alphabet, f"{kind}|a", valid, self.back))
         new_digits = iter(self.permutation.string(digits, DIGITS, f"{kind}|0", self.back))
         out = []
         for old, c in zip(text, low):
