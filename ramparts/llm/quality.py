@@ -130,8 +130,12 @@ def quality_report(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def clean_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """Documents that pass, with their cleaned text; ``n_chars``, where it exists, follows the text."""
     found = judged(docs, text)
-    quality = F.col(f"`{found.columns[-1]}`")
+    name = found.columns[-1]
+    # Unpacked from an array of one, the verdict counts as a stored value: the filter on it is not rewritten into one
+    # that reads and judges the text once more.
+    kept = found.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(f"`{name}`")).alias(name))
+    quality = F.col(f"`{name}`")
     new = {text: quality["clean_text"]}
     if n_chars in docs.columns:
         new[n_chars] = F.length(quality["clean_text"]).cast(docs.schema[n_chars].dataType)
-    return found.filter(quality["kept"]).select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return kept.filter(quality["kept"]).select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
