@@ -32,7 +32,7 @@ from ramparts.session import scratch_path
 FRAME_TOKENS, INDEX_RECORDS, END_ID = 1 << 16, 1 << 16, 1
 RECORD = np.dtype([("known", "u1"), ("doc_id", "<i8"), ("start", "<u8"), ("n_tokens", "<u8")])
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
-MOST_WORDS = 300_000
+MOST_WORDS, LONGEST_WORD = 450_000, 64
 
 
 class Writer:
@@ -131,36 +131,27 @@ class Reader:
 
 class WordIds(dict):
     """Ids of blank-separated words as packed bytes: a bounded table in front of the tokenizer, which drops white
-    space and lets nothing reach across it, so that a text's ids are those of its words one after the other."""
+    space and lets nothing reach across it, so that a text's ids are those of its words one after the other. When it
+    is full it becomes the older one, from which words still in use come back."""
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer, self.older = Tokenizer.from_file(path), {}
 
-    def learn(self, words: Iterable[bytes]) -> None:
-        new = []
-        for word in {w for w in words if w not in self}:
-            if (known := self.older.get(word)) is None:
-                new.append(word)
-            else:
-                self[word] = known
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
-
-    def forget(self) -> None:
-        if len(self) > MOST_WORDS:
-            self.older = dict(self)
-            self.clear()
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= LONGEST_WORD:
+            if len(self) >= MOST_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found
 
     def ids(self, text: bytes) -> bytes:
-        """Packed ids of a text. Its words are taken in slices, so that a long text needs no more memory at once."""
-        words, out = text.split(), []
-        for at in range(0, len(words), MOST_WORDS):
-            part = words[at : at + MOST_WORDS]
-            self.forget()
-            self.learn(part)
-            out.append(b"".join(map(self.__getitem__, part)))
-        return b"".join(out)
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)
@@ -189,10 +180,7 @@ def write_store(docs: DataFrame, tokenizer: str, folder: str, key: str = "doc_id
         with system.open_output_stream(f"{base}/{name}", compression=None) as sink:
             writer = Writer(sink)
             for batch in batches:
-                texts = list(texts_of(batch.column(1)))
-                words.forget()
-                words.learn(w for t in texts if len(t) < 1 << 20 for w in t.split())
-                for doc_id, value in zip(batch.column(0).to_pylist(), texts):
+                for doc_id, value in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
                     writer.add(doc_id, words.ids(value) + end)
             writer.close()
         columns = [[part], [name], [writer.n_docs], [writer.tokens]]
