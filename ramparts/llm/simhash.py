@@ -17,7 +17,7 @@ SHINGLE, SEED, RADIUS = 3, 42, 2
 CHUNK = 1 << 15
 
 
-def shingle_hashes(text: bytes) -> Iterator[int]:
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> Iterator[int]:
     """XXH64 of each shingle of the lower-cased words; fewer words than a shingle make one."""
     words = text.lower().split()
     if not words:
@@ -25,7 +25,7 @@ def shingle_hashes(text: bytes) -> Iterator[int]:
     line = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(lengths)
-    size = min(SHINGLE, len(words))
+    size = min(shingle, len(words))
     starts = (ends - lengths)[: len(words) - size + 1]
     for first, last in zip(starts.tolist(), (ends[size - 1 :] - 1).tolist()):
         yield xxh64_intdigest(line[first:last], SEED)

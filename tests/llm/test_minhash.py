@@ -1,0 +1,70 @@
+import random
+
+from llm import plain
+
+import corpus_pipeline
+from ramparts.llm import minhash, quality
+from ramparts.llm.shared import table
+
+
+def shingles(text):
+    said = plain.words((text or "").lower())
+    return frozenset(tuple(said[i : i + 5]) for i in range(max(1, len(said) - 4))) if said else frozenset()
+
+
+def kept(docs):
+    """Smallest ids of the groups that links of all pairs make, by comparing all pairs."""
+    sets, root = [shingles(t) for _, t in docs], list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                root[find(i)] = find(j)
+    smallest = {}
+    for i, (doc_id, _) in enumerate(docs):
+        smallest[find(i)] = min(smallest.get(find(i), doc_id), doc_id)
+    return sorted(smallest.values())
+
+
+def sample():
+    draw = random.Random(5)
+    docs = [(900, None), (901, ""), (902, "a b"), (903, "A  B"), (904, "a b c")]
+    for n in range(8):
+        base = [f"w{draw.randrange(5000)}" for _ in range(150)]
+        for k in range(12):  # from one changed word to a drifting chain of changes
+            base = list(base)
+            base[(17 * k) % 150] = f"new{n}-{k}"
+            docs.append((100 * n + k, " ".join(base[: 150 - 4 * (k % 3)])))
+    draw.shuffle(docs)
+    return docs
+
+
+def test_groups_are_those_of_all_pairs(spark):
+    docs = sample()
+    found = minhash.one_of_each_group(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in found.collect()) == kept(docs)
+
+
+def test_what_is_apart_from_the_leaders_is_compared(spark):
+    # All in one bucket: 40 of one group, and two chained by links that no leader has.
+    draw = random.Random(7)
+    base = [f"w{draw.randrange(5000)}" for _ in range(100)]
+    texts = [" ".join([*base, f"tail{i}"]) for i in range(40)]
+    other = [f"x{draw.randrange(5000)}" for _ in range(100)]
+    texts += [" ".join(other), " ".join([*other, "end"])]
+    bands = spark.createDataFrame([(i, 0, 1) for i in range(42)], "node long, band int, value long")
+    found = minhash.linked_nodes(bands, spark.createDataFrame(list(enumerate(texts)), "node long, text string"))
+    assert {r.node: r.root for r in found.collect()} == {**{i: 0 for i in range(1, 40)}, 41: 40}
+
+
+def test_pipeline_stage(spark, sf_dir):
+    docs = quality.clean_documents(table(spark, sf_dir, "documents"))
+    found = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+    assert found.columns == docs.columns
+    assert sorted(r.doc_id for r in found.collect()) == kept([(r.doc_id, r.text) for r in docs.collect()])
