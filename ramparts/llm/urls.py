@@ -28,8 +28,7 @@ def path_of(url: Column) -> Column:
 
 
 def tokens_of(url: Column, host: Column, path: Column) -> Column:
-    """Tokens with their place in the url. A url has one of each kind at most, so that mining sees ten items at
-    most for each page, however long its url is."""
+    """Tokens with their place in the url, one of each kind at most; ``parts_of`` has the others."""
     labels, folders = F.split(host, r"\."), F.filter(F.split(path, "/"), lambda f: f != "")
     query = F.regexp_extract(url, r"(?s)\?([^=&#]*)", 1)
     named = {
@@ -47,11 +46,56 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     return F.array_compact(F.array(*items))
 
 
+def parts_of(url: Column, host: Column, path: Column) -> Column:
+    """Tokens for every host label, every domain of three labels or more that the host is under, every path segment
+    and every query name, each once."""
+    labels, segments = F.split(host, r"\."), F.filter(F.split(path, "/"), lambda f: f != "")
+    query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
+    names = F.transform(F.split(query, "[&;]"), lambda q: F.regexp_extract(q, "(?s)^([^=]*)", 1))
+    depths = F.filter(F.sequence(F.lit(1), F.size(labels)), lambda d: d > 2)
+    above = F.transform(depths, lambda d: F.concat_ws(".", F.slice(labels, F.size(labels) - d + 1, d)))
+    kinds = {"anylabel": labels, "anyabove": above, "anyfolder": segments, "anyname": names}
+
+    def marked(kind: str, values: Column) -> Column:
+        return F.transform(F.filter(values, lambda v: v != ""), lambda v: F.concat(F.lit(f"{kind}="), v))
+
+    return F.array_distinct(F.concat(*[marked(kind, values) for kind, values in kinds.items()]))
+
+
 def with_tokens(pages: DataFrame, url: str = "url") -> DataFrame:
-    """(url, host, path, tokens) of the distinct urls."""
+    """(url, host, path, tokens, parts) of the distinct urls."""
     urls = pages.select(F.col(f"`{url}`").alias("url")).distinct()
     parts = urls.select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    return parts.withColumn("tokens", tokens_of(F.coalesce("url", F.lit("")), F.col("host"), F.col("path")))
+    of = (F.coalesce("url", F.lit("")), F.col("host"), F.col("path"))
+    return parts.withColumn("tokens", tokens_of(*of)).withColumn("parts", parts_of(*of))
+
+
+def mined_tokens(urls: DataFrame, labelled: DataFrame, support: float = LEAST_SUPPORT) -> tuple[DataFrame, DataFrame]:
+    """``urls`` (url, tokens, parts) and ``labelled`` (url, verdict) as (url, tokens) and (tokens, verdict), the tokens
+    being classes of tokens that reach ``support`` among the labelled pages.
+
+    A token below it is in no frequent set. Tokens that stand on the same labelled pages follow from one another there
+    and are one item, named by all of them: as items apart they would double the frequent sets each, with rules that
+    say the same. A url has the class if it has one of its tokens.
+    """
+    n = labelled.count()
+    least = max(support * n, LEAST_PAGES) - 1e-6
+    all_tokens = urls.select("url", F.explode(F.array_union("tokens", "parts")).alias("token"))
+    # A page counts as often as it is labelled; sums over pages tell whether two tokens have the same ones.
+    weights = labelled.groupBy("url").agg(F.count(F.lit(1)).alias("w"))
+    marks = [F.xxhash64("url", F.lit(i)).cast("decimal(38,0)") for i in (1, 2)]
+    frequent = (
+        all_tokens.join(weights, "url")
+        .groupBy("token")
+        .agg(F.sum("w").alias("n"), F.sum(marks[0]).alias("m1"), F.sum(marks[1]).alias("m2"))
+        .filter(F.col("n") >= least)
+    )
+    classes = frequent.groupBy("n", "m1", "m2").agg(F.sort_array(F.collect_list("token"), asc=False).alias("all"))
+    named = classes.select(F.array_join("all", "|").alias("class"), F.explode("all").alias("token"))
+    held = all_tokens.join(named, "token").groupBy("url").agg(F.collect_set("class").alias("tokens"))
+    baskets = labelled.join(held, "url", "left")
+    empty = F.array().cast("array<string>")
+    return held, baskets.select(F.coalesce("tokens", empty).alias("tokens"), "verdict")
 
 
 def mined_rules(
@@ -60,8 +104,8 @@ def mined_rules(
     """(rule, tokens, verdict, confidence, support) from (tokens, verdict), mined over all labelled pages.
 
     FP-growth lists token sets with ``support``; of each, the verdict that follows with ``confidence`` makes a rule.
-    A rule is pruned when part of its tokens gives the same verdict with at least its confidence. A page's items are ten
-    at most, so there are at most 1,024 / support frequent sets, whatever the input: that bounds the rules.
+    A rule is pruned when part of its tokens gives the same verdict with at least its confidence. The frequent
+    sets of a page grow with its items, which ``mined_tokens`` keeps to distinct ones that reach the support.
     """
     n = labelled.count()
     if n < LEAST_PAGES:
@@ -145,9 +189,11 @@ def verdicts(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str
     labelled = (
         pages.select(F.col(f"`{key}`").alias("k"), F.col(f"`{url}`").alias("url"))
         .join(known.filter(F.col("b").isNotNull()), "k")
-        .join(urls.select("url", "tokens"), "url")
+        .filter(F.col("url").isNotNull())
+        .select("url", "verdict")
     )
-    mined = matched(urls, mined_rules(labelled.select("tokens", "verdict")))
+    held, baskets = mined_tokens(urls, labelled)
+    mined = matched(held, mined_rules(baskets))
     best = listed_rule(F.col("host"), F.col("path"))
     judged = urls.join(mined, "url", "left").select("url", "host", "path", best.alias("best"), "mined", "mined_rule")
     rows = pages.select(F.col(f"`{key}`").alias("page_id"), F.col(f"`{url}`").alias("url"))

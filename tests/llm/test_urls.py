@@ -71,3 +71,17 @@ def test_tokens_are_bounded(spark):
     long = "http://" + ".".join("abc" for _ in range(500)) + "/" + "/".join("d" * 3 for _ in range(3000)) + ".html?a=1&b=2#x"
     (row,) = urls.with_tokens(spark.createDataFrame([(long,)], "url string")).collect()
     assert len(row.tokens) <= 9 and all(re.match("[a-z0-9]+=", t) for t in row.tokens)
+
+
+def test_every_part_of_a_url_can_make_a_rule(spark):
+    bad = ["https://m.casino-win.example{0}.com/p/{0}", "http://a{0}.info/x/y/deep/{0}", "http://b{0}.info/{0}?a=1&bad={0}", "http://c{0}.info/{0}/last"]
+    fine = ["https://m.fine.example{0}.com/p/{0}", "http://a{0}.info/x/y/ok/{0}", "http://b{0}.info/{0}?a=1&ok={0}", "http://c{0}.info/{0}/first"]
+    seen = [(1000 * k + i, u.format(i)) for k, u in enumerate(bad) for i in range(30)]
+    good = [(9000 + 1000 * k + i, u.format(i)) for k, u in enumerate(fine) for i in range(30)]
+    new = ["https://blog.casino-win.example99.com/", "http://n.info/q/r/s/deep/1", "http://n.info/?x=1&y&bad=2", "http://n.info/last"]
+    pages = spark.createDataFrame(seen + good + [(-1 - i, u) for i, u in enumerate(new)], "page_id long, url string")
+    marks = spark.createDataFrame([(i, 0, 0) for i, _ in seen] + [(i, 1, 0) for i, _ in good], LABELS)
+    found = {r.page_id: (r.verdict, r.mined_rule) for r in urls.verdicts(pages, marks).collect()}
+    for i, token in enumerate(["anylabel=casino-win", "anyfolder=deep", "anyname=bad", "anyfolder=last"]):
+        assert found[-1 - i][0] == "block" and token in found[-1 - i][1]
+    assert found[9001][0] == "allow"
