@@ -22,7 +22,7 @@ ACCENTED = LETTERS + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)])
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 
 EMAIL = r"(?P<email>(?<![\w.+%-])[\w.+%-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
-SECRET = r"(?P<secret>(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,128}(?![0-9A-Za-z]))"
+SECRET = r"(?P<secret>(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,}(?![0-9A-Za-z]))"
 NAMED = r"(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b\s*[=:]\s*[\"']?)(?P<named>[A-Za-z0-9_+/-]{12,})"
 NUMBERS = "|".join(
     (
@@ -34,8 +34,8 @@ NUMBERS = "|".join(
         r"(?P<phone>(?<![\d+(])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{3,4}){2}(?!\d)"
         r"|(?<![\d+(])\+\d{1,3}(?:[ .-]?\d{1,2})?(?:[ .-]\d{2}){4}(?!\d)"
         r"|(?<![\d(+])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]))",
-        r"(?P<card>(?<![\d-])(?:\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}(?:(?P=gap)\d{3})?"
-        r"|\d{4}(?P<wide>[ -])\d{6}(?P=wide)\d{5}|\d{13,19})(?!\d))",
+        r"(?P<card>(?<![\d-])(?:\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}(?:(?P=gap)\d{1,3})?"
+        r"|\d{4}(?P<wide>[ -])\d{6}(?P=wide)\d{4,5}|\d{12,19})(?!\d))",
     )
 )
 # Where a number may begin; the long alternation is tried only there.
@@ -44,7 +44,10 @@ NUMBER_START = re.compile(r"[+(]?\d|[A-Z]{2}\d{2}")
 NUMBER, TOKEN, MAIL, ASSIGNED = (re.compile(p) for p in (NUMBERS, SECRET, EMAIL, NAMED))
 PLACES = T.ArrayType(T.StructType().add("kind", "string").add("first", "integer").add("last", "integer"))
 # First digits of payment cards and their lengths.
-CARDS = re.compile(r"(?:4\d{12}(?:\d{3}(?:\d{3})?)?|(?:5[1-5]|2[2-7])\d{14}|3[47]\d{13}|(?:6011|64[4-9]\d|65\d\d)\d{12}|35\d{14})$")
+CARDS = re.compile(
+    r"(?:4\d{12}(?:\d{3}(?:\d{3})?)?|(?:5[1-5]|2[2-7])\d{14}|3[47]\d{13}|3[0689]\d{12,17}|35\d{14,17}|81\d{14,17}"
+    r"|(?:50|5[6-8]|6\d)\d{10,17})$"
+)
 
 
 class Permutation:
@@ -53,8 +56,10 @@ class Permutation:
     def __init__(self, key: bytes):
         self.key = blake2b(key, digest_size=32).digest()
 
-    def noise(self, kind: str, turn: int, half: str) -> int:
-        return int.from_bytes(blake2b(f"{kind}|{turn}|{half}".encode(), key=self.key, digest_size=16).digest(), "big")
+    def noise(self, kind: str, turn: int, half: str, bits: int = 128) -> int:
+        """A keyed hash of as many bits at least, so that no digit of a long value stays."""
+        said = [f"{kind}|{turn}|{half}", *(f"{kind}|{turn}|{half}|{i}" for i in range(1, -(-bits // 128)))]
+        return int.from_bytes(b"".join(blake2b(s.encode(), key=self.key, digest_size=16).digest() for s in said), "big")
 
     def string(self, text: str, alphabet: str, kind: str, back: bool = False) -> str:
         """A string of the same length over the same alphabet: two halves take turns in adding a keyed hash of the
@@ -79,7 +84,7 @@ class Permutation:
         for turn in reversed(range(ROUNDS)) if back else range(ROUNDS):
             side = turn % 2
             changed, other = halves[side], halves[1 - side]
-            shift = self.noise(kind, turn, other)
+            shift = self.noise(kind, turn, other, len(changed) * (size - 1).bit_length())
             value = number(changed) + (-shift if back else shift)
             halves[side] = digits(value % size ** len(changed), len(changed))
         return "".join(halves)

@@ -68,3 +68,17 @@ def test_documents(spark):
     assert out[1].text is None and out[0].text == out[3].text
     kept = pii.with_length(pii.pseudonymised(docs, KEY))
     assert kept.columns == docs.columns and pii.private_documents(docs.limit(0), KEY).count() == 0
+
+
+@pytest.mark.parametrize("payload", ["620000000000000", "3012345678901", "3612345678901", "501234567890123", "601234567890123456", "56123456789", "62123456789012345"])
+def test_cards_of_other_issuers_and_lengths(payload):
+    number = payload + pii.luhn_digit(payload)
+    new, places = THERE.replaced(f"card {number}.")
+    assert [p[0] for p in places] == ["card"] and number not in new and BACK.replaced(new)[0] == f"card {number}."
+
+
+def test_long_hexadecimal_secrets_change_throughout():
+    secret = "0123456789abcdef" * 20
+    new, places = THERE.replaced(secret)
+    assert [p[0] for p in places] == ["secret"] and BACK.replaced(new)[0] == secret
+    assert all(new[i : i + 16] != secret[i : i + 16] for i in range(0, 320, 16))
