@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ramparts.llm import bpe, chat, decontaminate, pii, quality, simhash, substrings, token_store, urls, warc
+from ramparts.llm import (
+    bpe, chat, decontaminate, infill, pii, quality, runs, simhash, substrings, token_store, toxicity, urls, warc,
+)
 from ramparts.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +74,18 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+@registered
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_report(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_report(table(spark, sf_dir, "documents"))

@@ -1,6 +1,6 @@
 """DuckDB SQL for the results of those queries that SQL can express.
 
-Fingerprints, mined rules, token ids and pseudonyms are beyond it; tests/llm compares these with plain Python.
+Fingerprints, mined rules, token ids, pseudonyms and learnt scores are beyond it; tests/llm compares these with plain Python.
 """
 
 from __future__ import annotations
@@ -152,10 +152,78 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0
 FROM docs LEFT JOIN lists USING (r) LEFT JOIN texts USING (r)
 """
 
+# The CRC-32 of the id is folded from its digits, bit by bit.
+RUNS = r"""
+WITH drawn AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        xor(4294967295, list_reduce(
+            list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+            lambda c, b: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295)) AS h
+    FROM documents
+), placed AS (
+    SELECT r, doc_id, words, len(words) AS n, h % 10 = 0 AND len(words) > 0 AS periodic, h // 10 AS g,
+        CASE WHEN len(words) > 0 THEN (h // 10) % len(words) ELSE 0 END AS a
+    FROM drawn
+), numbered AS (
+    SELECT r, n, words, periodic, a, 1 + (n - a) // (3 + g % 8) AS p, unnest(range(n)) AS i FROM placed
+), said AS MATERIALIZED (
+    SELECT r, n, i, words[1 + CASE WHEN periodic AND i >= a THEN a + (i - a) % p ELSE i END] AS w FROM numbered
+), alike AS (
+    SELECT y.r, y.i, y.i - x.i AS lag FROM said AS x JOIN said AS y USING (r, w) WHERE y.i > x.i AND 4 * (y.i - x.i) <= y.n
+), diagonals AS (
+    SELECT r, lag, i, i - row_number() OVER (PARTITION BY r, lag ORDER BY i) AS stretch FROM alike
+), stretches AS (
+    SELECT r, lag, min(i) - lag AS start, count(*) + lag AS length FROM diagonals GROUP BY r, lag, stretch
+), runs AS MATERIALIZED (
+    SELECT r, start, length, min(lag) AS period FROM stretches WHERE length >= greatest(6, 4 * lag) GROUP BY r, start, length
+), listed AS (
+    SELECT r, CAST(count(*) AS BIGINT) AS n_runs, min(struct_pack(l := -length, s := start, p := period)) AS best,
+        string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY r
+), dropped AS (
+    SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+    SELECT r, string_agg(w, ' ' ORDER BY i) AS collapsed FROM said ANTI JOIN dropped USING (r, i) GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(-best.l AS BIGINT) AS length,
+    CAST(best.p AS BIGINT) AS period, CAST(-1000 * best.l // best.p AS BIGINT) AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM placed LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""
+
+INFILL = r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h,
+        regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines
+    FROM documents
+), numbers AS (
+    SELECT doc_id, text, lines, CAST(len(lines) AS BIGINT) AS n,
+        CAST('0x' || h[1:8] AS BIGINT) % (len(lines) + 1) AS u, CAST('0x' || h[9:16] AS BIGINT) % (len(lines) + 1) AS v,
+        CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 AS suffix_first,
+        text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') AS stays
+    FROM drawn
+), parts AS (
+    SELECT *, array_to_string(lines[1:least(u, v)], '') AS prefix,
+        array_to_string(lines[least(u, v) + 1:greatest(u, v)], '') AS middle,
+        array_to_string(lines[greatest(u, v) + 1:], '') AS suffix
+    FROM numbers
+)
+SELECT doc_id, n, CASE WHEN stays THEN 'plain' WHEN suffix_first THEN 'spm' ELSE 'psm' END AS form,
+    CASE WHEN NOT stays THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+    CASE WHEN NOT stays THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+    sha256(CASE WHEN stays THEN text
+        WHEN suffix_first THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+        ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
 STATEMENTS: dict[str, str] = {
     "op4_quality_rules": QUALITY,
     "op5_benchmark_decontamination": CONTAMINATION,
     "op6_chat_formatting": CHAT,
     "op8_warc_archives": ARCHIVES,
     "op10_repeated_passages": PASSAGES,
+    "op11_periodic_runs": RUNS,
+    "op13_fill_in_middle": INFILL,
 }

@@ -30,3 +30,27 @@ def test_run_against_plain_python(spark, sf_dir):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_duplicates", "decontamination", "private_values", "encoding",
     ]
+
+
+def test_rows_of_every_kind(spark, sf_dir, tmp_path):
+    """Nulls, empty and long texts, repeated rows and a column with a name that stages use: none is lost or made up."""
+    docs = table(spark, sf_dir, "documents")
+    prose = next(r.text for r in quality.clean_documents(docs.orderBy("doc_id")).collect() if len(r.text) > 400)
+    rows = [
+        (1, prose, "en", "s", len(prose), "x"), (1, prose, "en", "s", len(prose), "x"), (2, prose + " Extra.", "en", "s", 0, None),
+        (3, None, None, None, None, None), (4, "", "en", "s", 0, "x"), (None, prose, "en", "s", None, "y"),
+        (5, "Some words that never end, one after the other. " * 4000, "en", "s", 1, "z"),
+    ]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, Fingerprint string"
+    spark.createDataFrame(rows, kinds).write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, sf_dir, "benchmark").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.columns == [*kinds.replace(",", "").split()[::2], "ids", "n_tokens", "decodes"]
+    kept = found.collect()
+    assert [r.doc_id for r in kept] == [1] and kept[0].decodes and kept[0].Fingerprint == "x"
+
+
+def test_empty_tables(spark, sf_dir, tmp_path):
+    for name in ("documents", "benchmark"):
+        table(spark, sf_dir, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
