@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -104,6 +105,28 @@ def error_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in both spellings of the keys, some cut short, counted by what different scans of them read."""
+    rows = derived.events(spark, sf_dir)
+    root = scratch_path(spark, "lines")
+    lines = derived.spelled_lines(rows)
+    lines.write.partitionBy(*PARTITIONS).option("compression", "gzip").text(root)
+    logs = read_logs(spark, root, with_corrupt=True)
+    good = read_logs(spark, root)
+    counts = {
+        "nothing": good.select(F.lit(None).cast("string").alias("value")),
+        "action": good.select(F.col("action").alias("value")),
+        "client": good.select(F.col("httprequest.clientip").alias("value")),
+        "errors": logs.filter(F.col(CORRUPT).isNotNull()).select(F.length(CORRUPT).cast("string").alias("value")),
+    }
+    counted = [
+        rows.groupBy("value").agg(F.count(F.lit(1)).alias("lines")).select(F.lit(name).alias("read"), "value", "lines")
+        for name, rows in counts.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @registered
 def retained_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derived.events(spark, sf_dir)

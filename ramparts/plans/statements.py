@@ -224,6 +224,11 @@ SELECT CASE WHEN {_NOT_BROKEN} THEN 'logs' ELSE 'errors' END AS destination,
   CASE WHEN {_NOT_BROKEN} THEN action END AS action, CAST(count(*) AS BIGINT) AS lines,
   CAST(max(CASE WHEN NOT ({_NOT_BROKEN}) THEN 40 END) AS INTEGER) AS longest_error
 FROM log GROUP BY ALL""",
+    "whole_lines": f"""{_LOG}
+SELECT 'nothing' AS read, CAST(NULL AS VARCHAR) AS value, CAST(count(*) AS BIGINT) AS lines FROM log WHERE {_NOT_BROKEN}
+UNION ALL SELECT 'action', action, CAST(count(*) AS BIGINT) FROM log WHERE {_NOT_BROKEN} GROUP BY action
+UNION ALL SELECT 'client', clientip, CAST(count(*) AS BIGINT) FROM log WHERE {_NOT_BROKEN} GROUP BY clientip
+UNION ALL SELECT 'errors', '40', CAST(count(*) AS BIGINT) FROM log WHERE NOT ({_NOT_BROKEN})""",
     "retained_partitions": f"""{_LOG}
 SELECT year, month, day, hour, CAST(count(*) AS BIGINT) AS requests FROM log
 WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) - 7 FROM events) GROUP BY ALL""",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ramparts.session import use_utc
 from ramparts.sources.logs import to_lines, with_hour_partition
 from ramparts.sources.reference_sets import CASES, RATE_CASE
-from ramparts.sources.schema import CONTRACT
+from ramparts.sources.schema import CONTRACT, PARTITIONS
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 URL = "https://app.example.com"
@@ -152,6 +152,18 @@ def log_lines(event_rows: DataFrame) -> DataFrame:
     return lines.select(F.when(F.col("broken"), F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value"))
 
 
+def spelled_lines(event_rows: DataFrame) -> DataFrame:
+    """``log_lines`` by day of delivery, every third with its keys in lower case: (value, year, month, day, hour)."""
+    logs = decision_log(event_rows)
+    request_id = F.col("httprequest.requestid").cast("bigint")
+    lower = F.to_json(F.struct(*[F.col(n).alias("timestamp" if n == "ts_ms" else n) for n in CONTRACT.names]))
+    both = to_lines(
+        logs.select("*", lower.alias("lower"), request_id.alias("id")).withColumn("hour", F.lit("00")), "lower", "id", *PARTITIONS
+    )
+    line = F.when(F.col("id") % 3 == 0, F.col("lower")).otherwise(F.col("value"))
+    return both.select(F.when(F.col("id") % 50 == 7, F.substring(line, 1, 40)).otherwise(line).alias("value"), *PARTITIONS)
+
+
 def test_results(event_rows: DataFrame) -> DataFrame:
     """Recorded test results, a run for each fourteen events; a third of them are responses to the rate probe."""
     probed = _keyed(event_rows).withColumn("case_no", F.expr(f"CASE WHEN k % 3 = 0 THEN {PROBE_NO} ELSE case_no END"))

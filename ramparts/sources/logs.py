@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ramparts.sources.deliveries import counted, published, within
 from ramparts.sources.schema import CONTRACT, CORRUPT, PARTITION_FIELDS, PARTITIONS, WIRE, contract_name
 
 # The years that a scan of delivered logs shows and a sink accepts, unless it is told others.
@@ -15,10 +16,39 @@ YEARS = (2020, 2030)
 LISTED_DAYS = 400
 
 
-def _to_contract(wire: DataFrame, *extra: str) -> DataFrame:
-    """Lower-case names. A struct cast renames nested fields by position and moves no data."""
-    columns = [F.col(f.name).cast(c.dataType).alias(c.name) for f, c in zip(WIRE, CONTRACT)]
-    return wire.select(*columns, *extra)
+# The line as a VARIANT while its columns are taken out of it.
+LINE = "_line"
+
+
+def _parsed(lines: DataFrame, line: str, *extra: str) -> DataFrame:
+    """Each line that is not blank, parsed once as a VARIANT in ``_line``; NULL there if it is no JSON object.
+
+    Unpacked from an array of one, the VARIANT counts as a stored value: a filter on it is not rewritten into one that
+    parses the line once more.
+    """
+    parsed = F.when(F.ltrim(line).startswith("{"), F.try_parse_json(line))
+    return lines.filter(F.trim(line) != "").select(line, *extra, F.explode(F.array(parsed)).alias(LINE))
+
+
+def _is_record() -> Column:
+    """Whether ``_line`` is a JSON object whose time, if it has one, is a number. Whichever columns are read, this alone
+    decides whether a line is a row."""
+    said, time = (F.try_variant_get(LINE, "$.timestamp", kind) for kind in ("string", "bigint"))
+    return F.col(LINE).isNotNull() & (said.isNull() | time.isNotNull())
+
+
+def _column(field: T.StructField, contract: T.StructField) -> Column:
+    """A column of the contract out of ``_line``. Keys are spelled as on the wire or all in lower case; a value of
+    another type is NULL."""
+    value = F.try_variant_get(LINE, f"$.{field.name}", field.dataType.simpleString()).cast(contract.dataType)
+    if field.name != field.name.lower():
+        lower = F.try_variant_get(LINE, f"$.{field.name.lower()}", contract.dataType.simpleString())
+        value = F.coalesce(value, lower)
+    return value.alias(contract.name)
+
+
+def _to_contract(parsed: DataFrame, *extra: str) -> DataFrame:
+    return parsed.select(*[_column(f, c) for f, c in zip(WIRE, CONTRACT)], *extra)
 
 
 def _to_wire(logs: DataFrame, *extra: str) -> DataFrame:
@@ -33,15 +63,11 @@ def to_lines(logs: DataFrame, *extra: str) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Parse JSON text under the wire schema, batch or stream.
+    """Parse JSON text into the contract columns, batch or stream.
 
-    Gives the contract columns and ``_corrupt_record``, which holds the text of
-    a line that does not fit the schema and is NULL otherwise.
+    ``_corrupt_record`` holds the text of a line that is no record and is NULL otherwise. Blank lines are left out.
     """
-    schema = T.StructType([*WIRE.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = lines.select(F.from_json(line, schema, options).alias("record")).select("record.*")
-    return _to_contract(parsed, CORRUPT)
+    return _to_contract(_parsed(lines, line), F.when(~_is_record(), F.col(line)).alias(CORRUPT))
 
 
 def error_records(parsed: DataFrame, moment: Column | None = None, years: tuple[int, int] = YEARS) -> DataFrame:
@@ -112,33 +138,31 @@ def read_logs(
 
     ``start`` and ``end`` (UTC, both inclusive) choose delivery hours. When both are
     given, only those days' folders are listed, which matters in a bucket with
-    millions of objects. ``errors/`` is never read. ``with_corrupt`` keeps broken
-    lines with their text in ``_corrupt_record``; without it they are dropped. Spark
-    judges a line by the columns that the query reads.
+    millions of objects. ``errors/`` is never read, nor are files of deliveries that are not published. A line
+    that is a record is a row, whatever columns are read; ``with_corrupt`` keeps the other lines too, with their text
+    in ``_corrupt_record``.
     """
-    corrupt = [T.StructField(CORRUPT, T.StringType())] if with_corrupt else []
-    schema = T.StructType([*WIRE.fields, *corrupt, *PARTITION_FIELDS])
+    schema = T.StructType([T.StructField("value", T.StringType()), *PARTITION_FIELDS])
     root = root.rstrip("/")
     if start is not None and end is not None and end < start:
         raise ValueError("end is before start")
+    first, last = ("".join(_hour_values(m)) if m is not None else None for m in (start, end))
+    tags = [delivery.tag for delivery in within(published(spark, root), first, last)]
     try:
-        wire = (
-            spark.read.schema(schema)
-            .option("basePath", root)
-            .option("mode", "PERMISSIVE" if with_corrupt else "DROPMALFORMED")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .json(f"{root}/{_listing(start, end)}")
-        )
+        lines = spark.read.schema(schema).option("basePath", root).text(f"{root}/{_listing(start, end)}").filter(counted(tags))
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        wire = spark.createDataFrame([], schema)
-    wire = visible_partitions(wire, years)
+        lines = spark.createDataFrame([], schema)
+    lines = visible_partitions(lines, years)
     if start is not None:
-        wire = wire.filter(_tuple_bound(_hour_values(start), at_least=True))
+        lines = lines.filter(_tuple_bound(_hour_values(start), at_least=True))
     if end is not None:
-        wire = wire.filter(_tuple_bound(_hour_values(end), at_least=False))
-    return _to_contract(wire, *(f.name for f in corrupt), *PARTITIONS)
+        lines = lines.filter(_tuple_bound(_hour_values(end), at_least=False))
+    parsed = _parsed(lines, "value", *PARTITIONS)
+    if with_corrupt:
+        return _to_contract(parsed, F.when(~_is_record(), F.col("value")).alias(CORRUPT), *PARTITIONS)
+    return _to_contract(parsed.filter(_is_record()), *PARTITIONS)
 
 
 def with_hour_partition(
@@ -154,13 +178,16 @@ def with_hour_partition(
     return logs.withColumns({name: F.date_format(moment, form) for name, form in forms.items()})
 
 
-def append_hours(logs: DataFrame, root: str, mode: str = "append", in_time_order: bool = False) -> None:
+def append_hours(
+    logs: DataFrame, root: str, mode: str = "append", in_time_order: bool = False, file_names: str | None = None
+) -> None:
     """Write contract rows that carry their hour partition as gzip JSON lines.
 
     The rebalance gathers each hour's rows, splits an hour too big for one file and
     merges small ones, all by measured size; without it every task would
     write a file for every hour it meets. Rows that come in time order, each task's in few
-    hours, need no such shuffle.
+    hours, need no such shuffle. ``file_names`` is what names begin with; tasks then place their own files, as such files
+    count only when published (see ``deliveries``), and the driver does not go through them at the end.
     """
     wire = _to_wire(logs, *PARTITIONS)
     if not in_time_order:
@@ -168,6 +195,9 @@ def append_hours(logs: DataFrame, root: str, mode: str = "append", in_time_order
     writer = wire.write.mode(mode).partitionBy(*PARTITIONS).option("compression", "gzip")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
+    if file_names:
+        writer = writer.option("mapreduce.output.basename", file_names)
+        writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     writer.option("ignoreNullFields", "true").json(root)
 
 

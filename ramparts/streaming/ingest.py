@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ramparts.operators.governance import filter_logged, redact
+from ramparts.sources.deliveries import Delivery, published, publish
 from ramparts.sources.logs import YEARS, append_hours, parse_lines, refused, with_hour_partition, write_errors
-from ramparts.sources.schema import CORRUPT
+from ramparts.sources.schema import CORRUPT, PARTITIONS
 
 # Fixed value: how long deliveries are gathered before they are written.
 FLUSH = "5 minutes"
-# Folder per micro-batch, for errors and for batches on their way into the log.
+# Folder per micro-batch of refused text.
 DELIVERY = "delivery"
 # What one micro-batch takes from the landing folder, unless it is told otherwise.
 BATCH_BYTES = 8 << 30
@@ -38,21 +43,28 @@ def ingest(
     """Parse, filter, redact and store a stream of lines. Text that does not parse, and records without a time inside
     ``years``, go to ``errors_root``.
 
-    Files stand in the hour's folder like those of every other sink, so scans and tables see them. A micro-batch first
-    removes what an earlier run of it may have left: its files carry the batch in their names, which are kept in a
-    list beside the checkpoint. So every line is stored once. ``moment`` dates the partition and must not depend on
-    the clock for that to hold; it is the event time unless given. Each batch is gathered by hour before it is written.
+    A micro-batch writes its files once, where they stay, under names that carry the batch and the attempt; a scan sees
+    them when the batch is published by the creation of one small file. What an attempt leaves that ended before
+    is never seen, and a batch run again after it was published writes nothing. So every line is stored once,
+    whatever ``moment`` dates its partition by (the event time unless given). Each batch is gathered by hour.
     """
-    folder = f"{checkpoint.rstrip('/')}-deliveries"
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    spark = lines.sparkSession
+    done: set[int] | None = None
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        nonlocal done
+        if done is None:
+            done = {delivery.batch for delivery in published(spark, root) if delivery.stream == stream}
+        if batch_id in done:
+            return
         parsed = parse_lines(batch)
         good = parsed.filter(~refused(parsed, moment, years)).drop(CORRUPT)
         if filtered:
             good = redact(filter_logged(good))
-        good = with_hour_partition(good, moment, years)
-        deliver(good, root, f"{folder}/{DELIVERY}={batch_id}", f"batch-{batch_id:012d}-")
-        write_errors(parsed, f"{errors_root.rstrip('/')}/{DELIVERY}={batch_id}", "overwrite", moment, years)
+        deliver(with_hour_partition(good, moment, years), root, stream, batch_id, lambda: write_errors(
+            parsed, f"{errors_root.rstrip('/')}/{DELIVERY}={batch_id}", "overwrite", moment, years
+        ))
 
     return (
         lines.writeStream.foreachBatch(store)
@@ -62,51 +74,26 @@ def ingest(
     )
 
 
-def deliver(logs: DataFrame, root: str, staging: str, prefix: str) -> None:
-    """Write rows by hour under ``staging``, then move the files into the hours of ``root`` under names that begin
-    with ``prefix``, in place of all files so named. Run again after a failure, it leaves the same files.
+def deliver(logs: DataFrame, root: str, stream: str, batch: int, before_publishing=lambda: None) -> Delivery:
+    """Write rows by hour into ``root`` under names of an attempt of their own, then publish the attempt.
 
-    Only names pass through the driver, a file for each hour of the batch or part of it.
+    Nothing is listed, moved or deleted. The hours that the rows cover are observed while they are written.
     """
-    spark = logs.sparkSession
-    files, target = _files(spark, staging), _files(spark, root)
-    files.delete("")
-    append_hours(logs, staging, "append")
-    for hour in {name.rpartition("/")[0] for name in files.list("")}:
-        for old in target.list(hour):
-            if old.rpartition("/")[2].startswith(prefix):
-                target.delete(old)
-    for number, name in enumerate(sorted(files.list(""))):
-        hour, _, leaf = name.rpartition("/")
-        suffix = leaf.partition(".")[2]
-        files.move(name, f"{root.rstrip('/')}/{hour}", f"{prefix}{number:06d}.{suffix}")
-    files.delete("")
-
-
-class _files:
-    """Names below a folder, by Hadoop's file system, whatever store it is."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.path = spark._jvm.org.apache.hadoop.fs.Path
-        self.folder = folder.rstrip("/")
-        self.system = self.path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def list(self, below: str) -> list[str]:
-        start = self.path(f"{self.folder}/{below}".rstrip("/"))
-        if not self.system.exists(start):
-            return []
-        base, found = self.system.makeQualified(self.path(self.folder)).toString(), []
-        entries = self.system.listFiles(start, True)
-        while entries.hasNext():
-            name = entries.next().getPath().toString().removeprefix(base).lstrip("/")
-            if not name.rpartition("/")[2].startswith(("_", ".")):
-                found.append(name)
-        return found
-
-    def delete(self, below: str) -> None:
-        self.system.delete(self.path(f"{self.folder}/{below}".rstrip("/")), True)
-
-    def move(self, name: str, folder: str, leaf: str) -> None:
-        self.system.mkdirs(self.path(folder))
-        if not self.system.rename(self.path(f"{self.folder}/{name}"), self.path(f"{folder}/{leaf}")):
-            raise OSError(f"cannot move {name} to {folder}/{leaf}")
+    attempt = uuid.uuid4().hex
+    covered = Observation()
+    hour = F.concat(*PARTITIONS)
+    rows = logs.observe(covered, F.min(hour).alias("first"), F.max(hour).alias("last"))
+    append_hours(rows, root, file_names=Delivery(stream, batch, attempt).file_names)
+    before_publishing()
+    hours = _observed(covered)
+    delivery = Delivery(stream, batch, attempt, hours.get("first") or "", hours.get("last") or "")
+    publish(logs.sparkSession, root, delivery)
+    return delivery
+
+
+def _observed(covered: Observation) -> dict:
+    try:
+        return covered.get
+    except Py4JJavaError:
+        # Rows known to be none while the write was planned are planned away, and what observes them too.
+        return {}

@@ -114,6 +114,29 @@ def test_broken_lines(spark, delivered):
     assert [tuple(row) for row in broken.collect()] == [(None, '{"timestamp": 17')]
 
 
+def test_a_line_is_judged_as_a_whole(spark, tmp_path, rows):
+    """Which lines are rows does not depend on the columns read; the spelling of the keys makes no difference."""
+    folder = tmp_path / "year=2024" / "month=01" / "day=05" / "hour=03"
+    folder.mkdir(parents=True)
+    lower = {"timestamp": 2, "action": "BLOCK", "terminatingruleid": "r", "rulegrouplist": [{"rulegroupid": "g"}],
+             "httprequest": {"clientip": "10.0.0.2", "headers": [{"name": "n", "value": "v"}]}}
+    camel = {"timestamp": 1, "action": "BLOCK", "terminatingRuleId": "r", "ruleGroupList": [{"ruleGroupId": "g"}],
+             "httpRequest": {"clientIp": "10.0.0.2", "headers": [{"name": "n", "value": "v"}]}}
+    odd = ['{"timestamp": 3, "action": ["no text"], "formatVersion": "x"}', '{"action": "COUNT"', '{"timestamp": "late"}',
+           '["no object"]', "  ", '{"action": 1, "action": 2}', '{"timestamp": null, "httpRequest": "no struct"}']
+    (folder / "part.json").write_text("\n".join([json.dumps(lower), json.dumps(camel), *odd, "7"]) + "\n")
+    logs = read_logs(spark, str(tmp_path))
+    assert logs.count() == 4
+    for columns in (["action"], ["ts_ms"], ["ts_ms", "action"], ["httprequest"], ["formatversion", "hour"], logs.columns):
+        assert len(logs.select(*columns).collect()) == 4, columns
+    found = {r.ts_ms: r for r in logs.collect()}
+    assert found[1].asDict() == {**found[2].asDict(), "ts_ms": 1}
+    assert found[2].httprequest.clientip == "10.0.0.2" and found[2].rulegrouplist[0].rulegroupid == "g"
+    assert found[3].action is not None and found[3].formatversion is None and found[None].httprequest is None
+    broken = read_logs(spark, str(tmp_path), with_corrupt=True).filter("_corrupt_record IS NOT NULL")
+    assert [r[0] for r in rows(broken, "_corrupt_record")] == sorted([odd[1], odd[2], odd[3], odd[5], "7"], key=lambda t: repr((t,)))
+
+
 def test_headers_by_name(spark, delivered):
     logs = read_logs(spark, delivered).filter("httprequest.requestid = 'full'")
     headers = F.col("httprequest.headers")
@@ -137,7 +160,9 @@ def test_range_of_hours(spark, delivered):
 def test_scan_prunes(spark, delivered, plan):
     logs = read_logs(spark, delivered, datetime(2024, 1, 5, 3), datetime(2024, 1, 5, 3))
     text = plan(logs.select("action"))
-    assert "ReadSchema: struct<action:string>" in text
+    assert "ReadSchema: struct<value:string>" in text
+    assert text.count("parseJson") == 1, text
+    assert "$.action" in text and "$.httpRequest" not in text
     assert "(year#" in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
 
 

@@ -1,8 +1,11 @@
 import json
 import os
 import shutil
+import sys
+from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from samples import log_rows, requests
 from test_logs import LINES
@@ -16,10 +19,12 @@ from ramparts import (
     traffic_overview,
     write_logs,
 )
+from ramparts.sources.deliveries import Delivery, abandoned_files, publish, published, within
 from ramparts.sources.derived import events_stream
-from ramparts.sources.logs import to_lines
+from ramparts.sources.logs import to_lines, with_hour_partition
 from ramparts.sources.schema import CONTRACT
 from ramparts.streaming import drained, line_stream
+from ramparts.streaming.ingest import deliver
 
 FIVE = 300_000
 
@@ -130,18 +135,75 @@ def test_ingest(spark, tmp_path):
     assert len(read_logs(spark, str(tmp_path / "log")).collect()) == 5
 
 
-def test_repeated_batch_replaces_itself(spark, tmp_path):
-    """A batch whose commit was lost is run again from the checkpoint and leaves no copies."""
+def log_files(tmp_path):
+    return sorted(str(p) for p in (tmp_path / "log").rglob("delivery.*.gz") if not p.name.startswith("."))
+
+
+def test_batch_run_again_after_it_was_published(spark, tmp_path):
+    """A batch whose commit was lost is run again from the checkpoint: it writes nothing."""
     land(tmp_path / "landing", "1.json", *(json.dumps(line) for line in LINES), "broken")
     run_ingest(spark, tmp_path, filtered=False)
-    commits = tmp_path / "state" / "commits"
-    for name in os.listdir(commits):
-        os.remove(commits / name)
+    written = log_files(tmp_path)
+    for name in os.listdir(tmp_path / "state" / "commits"):
+        os.remove(tmp_path / "state" / "commits" / name)
     run_ingest(spark, tmp_path, filtered=False)
+    assert log_files(tmp_path) == written
     assert len(read_logs(spark, str(tmp_path / "log")).collect()) == 4
     assert spark.read.text(str(tmp_path / "errors/*")).count() == 1
 
 
+def test_batch_killed_before_it_was_published(spark, tmp_path, monkeypatch):
+    """Files of an attempt that ended early are never seen, and the next attempt moves or deletes nothing."""
+    module = sys.modules[deliver.__module__]
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    land(tmp_path / "landing", "1.json", *(json.dumps(line) for line in LINES), "broken")
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "publish", killed)
+        with pytest.raises(StreamingQueryException):
+            run_ingest(spark, tmp_path, filtered=False)
+    left = log_files(tmp_path)
+    assert left and read_logs(spark, str(tmp_path / "log")).count() == 0
+    run_ingest(spark, tmp_path, filtered=False)
+    assert set(left) < set(log_files(tmp_path))
+    logs = read_logs(spark, str(tmp_path / "log"))
+    assert logs.count() == 4 and sorted(row.ts_ms % 10 for row in logs.collect()) == [0, 1, 2, 3]
+    hour = datetime(2024, 1, 5, 3)
+    assert read_logs(spark, str(tmp_path / "log"), hour, hour).count() == 4
+    found = abandoned_files(spark, str(tmp_path / "log"), datetime(2100, 1, 1)).collect()
+    assert sorted(r.path.removeprefix("file:") for r in found) == left
+    assert abandoned_files(spark, str(tmp_path / "log"), datetime(2000, 1, 1)).count() == 0
+    assert spark.read.text(str(tmp_path / "errors/*")).count() == 1
+
+
+def test_published_deliveries(spark, tmp_path):
+    root = str(tmp_path / "log")
+    assert published(spark, root) == []
+    first = Delivery("s", 3, "aa", "2024010500", "2024010502")
+    for delivery in (first, Delivery("s", 3, "bb", "2024010500", "2024010502"), Delivery("t", 3, "cc"), Delivery("s", 4, "dd", "2024010600", "2024010600")):
+        publish(spark, root, delivery)
+    (tmp_path / "log" / "_deliveries" / "no-manifest").write_text("")
+    found = published(spark, root)
+    assert len(found) == 3 and first in found
+    assert [d.attempt for d in within(found, "2024010502", "2024010523")] == ["aa"]
+    assert sorted(d.attempt for d in within(found, None, None)) == ["aa", "dd"]
+    with pytest.raises(Exception, match="exist"):
+        publish(spark, root, first)
+
+
+def test_delivery_lists_and_moves_nothing(spark, tmp_path):
+    """Two streams write into the same hours under the same batch numbers; all is seen, once."""
+    one, two = log(spark, (1_704_423_600_000, "BLOCK", "a")), log(spark, (1_704_423_600_001, "BLOCK", "b"))
+    root = str(tmp_path / "log")
+    made = [deliver(with_hour_partition(rows), root, stream, 0) for rows, stream in ((one, "x"), (two, "y"))]
+    assert [(d.first, d.last) for d in made] == [("2024010503", "2024010503")] * 2
+    assert {r.ts_ms for r in read_logs(spark, root).collect()} == {1_704_423_600_000, 1_704_423_600_001}
+    empty = deliver(with_hour_partition(one.limit(0)), root, "x", 1)
+    assert (empty.first, empty.last) == ("", "") and read_logs(spark, root).count() == 2
+
+
 def test_ingest_by_arrival(spark, tmp_path):
     land(tmp_path / "landing", "1.json", json.dumps(LINES[1]))
     run_ingest(spark, tmp_path, moment=F.lit("2024-02-03 04:05:06").cast("timestamp"))
