@@ -27,6 +27,8 @@ BITS = 18
 LEAST_DOCS, LEAST_ERRORS = 5, 4.0
 ROUNDS, RIDGE, START, STEEPEST = 30, 1.0, -5.0, 15.0
 WORDS_HELD = 1 << 20
+# Labels are sent to where the texts are while there are no more than these; beyond that, texts are shuffled, once.
+SENT_LABELS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -163,7 +165,8 @@ def fitted(rows: DataFrame, rounds: int = ROUNDS) -> Model:
     with labels of one kind alone, there are no features and the bias alone is fitted. A null text is an empty one.
     """
     wanted = _screened(rows)
-    kept = Kept(_instances(rows, wanted), "instances")
+    # Every round is a task for each file, and a task costs more than its sums: small files are put together.
+    kept = Kept(_instances(rows, wanted).hint("rebalance"), "instances")
     model = Model(dict.fromkeys(wanted, 0.0))
     for _ in range(rounds):
         now = model
@@ -190,9 +193,11 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """(label, text) of the documents that ``labels`` (key, toxic) names. A key with several labels is toxic if one of
     them is; null keys and null labels name nothing."""
     known = labels.filter(F.col("toxic").isNotNull()).groupBy(F.col(f"`{key}`").alias("k"))
-    known = known.agg(F.max((F.col("toxic") > 0).cast("int")).alias("label"))
+    known = Kept(known.agg(F.max((F.col("toxic") > 0).cast("int")).alias("label")), "labels").rows
     texts = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("text"))
-    return texts.join(known, "k").select("label", "text")
+    if known.count() <= SENT_LABELS:
+        return texts.join(F.broadcast(known), "k").select("label", "text")
+    return Kept(texts.join(known, "k").select("label", "text"), "labelled").rows
 
 
 SCORES = (

@@ -97,10 +97,12 @@ def test_rows_of_every_kind(spark, trained):
     assert with_scores(empty, trained).count() == 0 and offending_sentences(empty, trained).count() == 0
 
 
-def test_labels_of_every_kind(spark):
+def test_labels_of_every_kind(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, None), (3, None), (None, 1)], "doc_id long, toxic int")
     assert sorted(map(tuple, labelled(docs, labels).collect())) == [(0, "c"), (1, "a"), (1, "b")]
+    monkeypatch.setattr(toxicity, "SENT_LABELS", 0)
+    assert sorted(map(tuple, labelled(docs, labels).collect())) == [(0, "c"), (1, "a"), (1, "b")]
     nothing = toxicity.toxicity_report(docs, labels.limit(0))
     assert nothing.count() == 5 and nothing.filter("predicted = 1").count() == 0
     of_one_kind = fitted(spark.createDataFrame([(1, "x y"), (1, "z")], "label int, text string"), 5)
