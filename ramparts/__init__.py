@@ -1,11 +1,11 @@
 """Analytics over HTTP request and web-firewall decision logs, as Spark DataFrames and streams."""
 
+from ramparts.operators.decision import rule_decision, rule_hits, with_emergency_rules
 from ramparts.operators.detection import (
     emergency_blocks,
     emergency_rules,
     emergency_uri,
     override_actions,
-    rule_decision,
     rule_flags,
 )
 from ramparts.operators.governance import filter_logged, redact
@@ -78,6 +78,7 @@ __all__ = [
     "register_logs",
     "retain",
     "rule_decision",
+    "rule_hits",
     "rule_flags",
     "rule_group_matches",
     "run_severity",
@@ -92,4 +93,5 @@ __all__ = [
     "write_logs",
     "write_retained",
     "write_suites",
+    "with_emergency_rules",
 ]

@@ -1,4 +1,4 @@
-"""Signature rules as Column predicates, and the decision by rule priority.
+"""Signature rules as Column predicates, and what the log says of emergency rules.
 
 Everything here is row-local: no rule causes a shuffle.
 """
@@ -23,9 +23,6 @@ EMERGENCY_TRANSFORMS = ("URL_DECODE", "LOWERCASE")
 # Limits past which headers are too large to inspect, which counts as a match.
 INSPECTED_BYTES, INSPECTED_HEADERS = 8192, 200
 
-TERMINATING = ("BLOCK", "ALLOW")
-DEFAULT_RULE, DEFAULT_ACTION = "Default_Action", "ALLOW"
-
 
 def any_of(*conditions: Column) -> Column:
     hit = F.lit(False)
@@ -142,28 +139,6 @@ def rule_flags(requests: DataFrame) -> DataFrame:
     return requests.withColumns(decoded).withColumns(dict(zip(SIGNATURE_RULES, flags))).drop(*decoded)
 
 
-def rule_decision(flags: DataFrame, rules: DataFrame) -> DataFrame:
-    """Add ``terminatingruleid`` and ``action``: the lowest-priority-number rule whose flag is set decides.
-
-    ``rules`` has name, priority, action. A rule counts here only if ``flags`` has a
-    column of its name, so at most as many rules as columns reach the driver. A COUNT
-    rule does not terminate. Without a match the request is allowed.
-    """
-    known = (
-        rules.filter(F.col("name").isin(flags.columns) & F.col("action").isin(*TERMINATING))
-        .groupBy("name")
-        .agg(F.min_by("action", "priority").alias("action"), F.min("priority").alias("priority"))
-        .orderBy("priority", "name")
-        .collect()
-    )
-    rule, action = F.lit(DEFAULT_RULE), F.lit(DEFAULT_ACTION)
-    for row in reversed(known):
-        hit = F.coalesce(F.col(f"`{row['name']}`"), F.lit(False))
-        rule = F.when(hit, F.lit(row["name"])).otherwise(rule)
-        action = F.when(hit, F.lit(row["action"])).otherwise(action)
-    return flags.withColumns({"terminatingruleid": rule, "action": action})
-
-
 def override_actions(matches: DataFrame, counted: tuple[str, ...] = COUNTED_RULES) -> DataFrame:
     """Replace the action of the listed rules by COUNT, in rows with ``ruleid`` and ``action``."""
     action = F.when(F.col("ruleid").isin(*counted), F.lit("COUNT")).otherwise(F.col("action"))

@@ -37,9 +37,10 @@ def rejection(ip: Column, pattern: Column) -> Column:
 
 def validate_indicators(feed: DataFrame) -> DataFrame:
     """Add ``valid``, ``reason`` and ``cidr``, the range to block with a bare address as /32."""
-    judged = feed.withColumn("reason", rejection(F.col("ip"), F.col("uri_pattern")))
+    # Unpacked from an array of one, the verdict counts as a stored value: it is not made anew at each mention.
+    reason = F.explode(F.array(rejection(F.col("ip"), F.col("uri_pattern")))).alias("reason")
     valid = F.col("reason").isNull()
-    return judged.withColumns({"valid": valid, "cidr": F.when(valid, to_range(F.col("ip")))})
+    return feed.select("*", reason).withColumns({"valid": valid, "cidr": F.when(valid, to_range(F.col("ip")))})
 
 
 def merge_indicators(feed: DataFrame, existing: DataFrame, order: str | None = None) -> DataFrame:

@@ -2,43 +2,85 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ramparts.functions.network import ipv4_number, is_ipv4_range, range_key, to_range
 from ramparts.functions.text import lowercase
 from ramparts.operators.detection import decoded_path
 
-NO_RANGE = -1
 # Characters by which a pattern is first looked up.
 ANCHOR_LENGTH = 8
+# Addresses and ranges meet by the leading bits of a /16: such a bin holds 65,536 addresses and twice as many ranges.
+BIN_BITS = 16
 
 
-def range_set(cidrs: DataFrame) -> DataFrame:
-    """IPv4 ranges as (range_key, prefix_length), each once; bare addresses count as /32.
+def range_set(cidrs: DataFrame, *keep: str) -> DataFrame:
+    """The valid IPv4 ranges among ``cidr`` as (number, prefix_length) of their first address, beside the columns to keep.
 
-    An invalid range gets a key that no address has, and a NULL length. The key
-    is never NULL, so the joins on it add no NULL test that would parse every range twice.
+    A bare address counts as /32. Unpacked from an array of one, the parsed range counts as a stored value, so that no
+    later filter parses it again.
     """
-    text = to_range(F.col("cidr"))
-    length = F.when(is_ipv4_range(F.col("cidr")), F.substring_index(text, "/", -1).try_cast("int"))
-    parsed = cidrs.select("cidr").distinct().withColumns(
-        {"prefix_length": length, "number": ipv4_number(F.substring_index("cidr", "/", 1))}
-    )
-    key = F.coalesce(range_key(F.col("number"), F.col("prefix_length")), F.lit(NO_RANGE).cast("bigint"))
-    return parsed.select(key.alias("range_key"), "prefix_length").distinct()
+    text = F.when(is_ipv4_range(F.col("cidr")), to_range(F.col("cidr")))
+    length = F.substring_index(text, "/", -1).cast("int")
+    parsed = F.struct(ipv4_number(F.substring_index(text, "/", 1)).alias("number"), length.alias("prefix_length"))
+    ranges = cidrs.select(*keep, F.inline(F.array(parsed))).filter(F.col("prefix_length").isNotNull())
+    free = F.lit(32) - F.col("prefix_length")
+    first = F.call_function("shiftleft", F.call_function("shiftright", F.col("number"), free), free)
+    return ranges.withColumn("number", first)
 
 
-def _ranges_of_clients(requests: DataFrame, cidrs: DataFrame) -> DataFrame:
-    """(clientip, prefix_length): the narrowest range that holds each distinct client address, where one does.
+def _leading(number: Column, length: int) -> Column:
+    return F.shiftright(number, 32 - length)
+
+
+def owners(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``addresses`` (with ``number``) that a range holds, with ``owner``, the least owner of the ranges that hold it.
 
-    Membership is equality of (prefix length, network), tried for each of the 33 lengths. Only distinct addresses meet
-    the ranges; what is small enough to broadcast is seen when it has been computed.
+    ``ranges`` has number, prefix_length and owner; ranges may nest or be repeated. A sweep over each bin meets ranges and
+    addresses in their order. Ranges of one length lie apart, so of each length the last one begun is the only one that
+    can hold an address, and the sweep carries these sixteen. Ranges wider than a bin are joined to the bins of the
+    addresses, of which there are 65,536 at most. So an address is one row throughout, however many ranges hold it.
     """
-    addresses = requests.select("clientip").distinct().withColumn("number", ipv4_number(F.col("clientip")))
-    keys = F.array(*[range_key(F.col("number"), length) for length in range(33)])
-    tried = addresses.filter(F.col("number").isNotNull()).select("clientip", F.explode(keys).alias("range_key"))
-    found = tried.join(range_set(cidrs).filter(F.col("prefix_length").isNotNull()), "range_key")
-    return found.groupBy("clientip").agg(F.max("prefix_length").alias("prefix_length"))
+    fields = addresses.columns
+    kept = ranges.groupBy("number", "prefix_length").agg(F.min("owner").alias("owner"))
+    binned = F.shiftright("number", 32 - BIN_BITS)
+    address = F.struct(*fields).alias("address")
+    narrow = kept.filter(F.col("prefix_length") > BIN_BITS).select(
+        binned.alias("bin"), "number", "prefix_length", "owner", F.lit(None).cast(addresses.schema).alias("address")
+    )
+    asked = addresses.select(
+        binned.alias("bin"), "number", F.lit(None).cast("int").alias("prefix_length"),
+        F.lit(None).cast(kept.schema["owner"].dataType).alias("owner"), address,
+    )
+    sweep = Window.partitionBy("bin").orderBy("number", F.col("address").isNotNull())
+    sweep = sweep.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lengths = range(BIN_BITS + 1, 33)
+    begun = {
+        f"_{n}": F.last(F.when(F.col("prefix_length") == n, F.struct("number", "owner")), ignorenulls=True).over(sweep)
+        for n in lengths
+    }
+    swept = narrow.unionByName(asked).withColumns(begun).filter(F.col("address").isNotNull())
+    holding = [
+        F.when(_leading(F.col("number"), n) == _leading(F.col(f"_{n}.number"), n), F.col(f"_{n}.owner")) for n in lengths
+    ]
+    wide = kept.filter(F.col("prefix_length") <= BIN_BITS).select(range_key(F.col("number"), F.col("prefix_length")).alias("key"), "owner")
+    bins = addresses.select(binned.alias("bin")).distinct()
+    keys = F.array(*[range_key(F.shiftleft("bin", 32 - BIN_BITS), n) for n in range(BIN_BITS + 1)])
+    over = bins.select("bin", F.explode(keys).alias("key")).join(wide, "key").groupBy("bin").agg(F.min("owner").alias("over"))
+    owned = swept.join(F.broadcast(over), "bin", "left").select("address.*", F.least(*holding, "over").alias("owner"))
+    return owned.filter(F.col("owner").isNotNull())
+
+
+def owners_of_clients(requests: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(clientip, owner) for each distinct client address that a range of ``ranges`` holds."""
+    addresses = requests.select("clientip").distinct().select("clientip", F.explode(F.array(ipv4_number(F.col("clientip")))).alias("number"))
+    return owners(addresses.filter(F.col("number").isNotNull()), ranges).select("clientip", "owner")
+
+
+def _ranges_of_clients(requests: DataFrame, cidrs: DataFrame) -> DataFrame:
+    """(clientip, prefix_length): the narrowest range that holds each distinct client address, where one does."""
+    ranges = range_set(cidrs.select("cidr").distinct()).withColumn("owner", -F.col("prefix_length"))
+    return owners_of_clients(requests, ranges).select("clientip", (-F.col("owner")).alias("prefix_length"))
 
 
 def with_ip_set_flag(requests: DataFrame, cidrs: DataFrame, flag: str) -> DataFrame:
@@ -84,34 +126,39 @@ def geo_blocked(requests: DataFrame, countries: DataFrame) -> DataFrame:
     return requests.filter(outside_countries(countries))
 
 
-def _pieces(text: Column, size: int) -> Column:
-    """Every place in the text with the ``size`` characters that start there, fewer near its end."""
-    places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    return F.transform(places, lambda at: F.struct(at.alias("at"), F.substr(text, at, F.lit(size)).alias("anchor")))
+def _anchor_lengths(patterns: DataFrame) -> list[int]:
+    """The lengths at which the patterns' first characters are looked up: eight at most."""
+    lengths = patterns.select(F.least(F.length("pattern"), F.lit(ANCHOR_LENGTH)).alias("n")).distinct()
+    return sorted(row["n"] for row in lengths.collect())
 
 
-def uri_pattern_hits(requests: DataFrame, patterns: DataFrame, normalize_pattern: bool = False) -> DataFrame:
-    """(request_id, pattern) for each distinct pattern contained in the decoded, lower-cased path.
+def patterns_of_paths(requests: DataFrame, patterns: DataFrame, normalize_pattern: bool = False) -> DataFrame:
+    """(uri, pattern) for each distinct path and each distinct pattern contained in it, decoded and lower-cased.
 
     A pattern is looked up by its first few characters, then by all of them. The first lookup brings the lengths to
     try at that place, not the patterns: however many of them begin alike, a place in a path gives at most one row
-    per length. Only distinct paths are looked at.
+    per length. Only those anchor lengths are tried that some pattern has.
     """
     pattern = lowercase(F.col("pattern")) if normalize_pattern else F.col("pattern")
     wanted = patterns.select(pattern.alias("pattern")).filter(F.length("pattern") > 0).distinct()
     anchored = wanted.withColumn("anchor", F.substring("pattern", 1, ANCHOR_LENGTH))
     anchors = anchored.groupBy("anchor").agg(F.collect_set(F.length("pattern")).alias("lengths"))
-    paths = requests.select("uri").distinct().withColumn("_path", decoded_path(F.col("uri")))
-    starts = F.array_distinct(
-        F.flatten(F.array(*[_pieces(F.col("_path"), size) for size in range(1, ANCHOR_LENGTH + 1)]))
-    )
+    paths = requests.select("uri").distinct().select("uri", F.explode(F.array(decoded_path(F.col("uri")))).alias("_path"))
+    sizes = _anchor_lengths(wanted)
+    places = F.sequence(F.lit(1), F.length("_path"))
+    placed = paths.filter(F.length("_path") > 0).select("uri", "_path", F.explode(places).alias("at"))
+    pieces = F.array_distinct(F.array(*[F.substr("_path", F.col("at"), F.lit(size)) for size in sizes or [ANCHOR_LENGTH]]))
     tried = (
-        paths.filter(F.col("_path").isNotNull())
-        .select("uri", "_path", F.inline(starts))
+        placed.select("uri", "_path", "at", F.explode(pieces).alias("anchor"))
         .join(anchors, "anchor")
         .select("uri", "_path", "at", F.explode("lengths").alias("length"))
         .select("uri", F.substr("_path", F.col("at"), F.col("length")).alias("pattern"))
         .distinct()
     )
-    found = tried.join(wanted, "pattern", "left_semi").select("uri", "pattern")
+    return tried.join(wanted, "pattern", "left_semi").select("uri", "pattern")
+
+
+def uri_pattern_hits(requests: DataFrame, patterns: DataFrame, normalize_pattern: bool = False) -> DataFrame:
+    """(request_id, pattern) for each distinct pattern contained in the decoded, lower-cased path."""
+    found = patterns_of_paths(requests, patterns, normalize_pattern)
     return requests.select("request_id", "uri").join(found, "uri").select("request_id", "pattern")

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ramparts.operators import detection, governance, indicators, kpi, lists, nested, rate, scorecard, series
+from ramparts.operators import decision, detection, governance, indicators, kpi, lists, nested, rate, scorecard, series
 from ramparts.operators.requests import as_requests, header_value
 from ramparts.session import scratch_path
 from ramparts.sources import derived, reference_sets
@@ -23,6 +23,8 @@ from ramparts.streaming import drained, ingest, line_stream, stream_rate_limit
 BLOCKED_RANGES = ["10.0.0.0/28", "10.0.0.77/32", "10.0.1.0/24"]
 URI_PATTERNS = ["etc/passwd", "user/login", "Admin/Backdoor"]
 RETAINED_DAYS = 7
+# Stands for the last event time where there are no events.
+NO_EVENT = datetime(2020, 1, 2)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -46,8 +48,8 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _latest(rows: DataFrame) -> datetime:
-    """The table's last event time. Known before the report is planned, so that it prunes the scan."""
-    return rows.agg(F.max("ts")).first()[0]
+    """The table's last event time, or that of no table. Known before the report is planned, so that it prunes the scan."""
+    return rows.agg(F.max("ts")).first()[0] or NO_EVENT
 
 
 def _trailing_day(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, datetime]:
@@ -77,7 +79,7 @@ def log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derived.events(spark, sf_dir)
     root = scratch_path(spark, "log")
     write_logs(derived.decision_log(derived.in_time_order(rows)), root, in_time_order=True)
-    first = rows.agg(F.min("ts")).first()[0]
+    first = rows.agg(F.min("ts")).first()[0] or NO_EVENT
     logs = read_logs(spark, root, first + timedelta(days=3), first + timedelta(days=12))
     return as_requests(logs, "action", "terminatingruleid", *PARTITIONS).select(
         "request_id",
@@ -208,17 +210,31 @@ def rule_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def rule_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signature, rate, country and address rules together; the rate limit is lowered to fit the data."""
+    """Emergency, signature, rate, country and address rules together; the rate limit is lowered to fit the data.
+
+    Emergency rules are those that the last day's feed has for single addresses.
+    """
     requests = _requests(spark, sf_dir)
     flags = rate.with_rate_flag(detection.rule_flags(requests), limit=6, window_ms=86_400_000)
     flags = lists.with_ip_set_flag(flags, reference_sets.blocked_ranges(spark, BLOCKED_RANGES), "IPReputationRule")
     outside = lists.outside_countries(reference_sets.allowed_countries(spark))
-    decided = detection.rule_decision(
-        flags.withColumn("GeoRestrictionRule", outside), reference_sets.rule_list(spark)
-    )
+    rows = derived.events(spark, sf_dir)
+    recent = rows.filter(F.col("ts") >= F.lit(_latest(rows) - timedelta(days=1)).cast("timestamp_ntz"))
+    feed = derived.indicator_feed(recent).filter(F.col("ip").endswith("/32") | ~F.col("ip").contains("/"))
+    rules = decision.with_emergency_rules(reference_sets.rule_list(spark, emergency=()), feed, order="seq")
+    decided = decision.rule_decision(flags.withColumn("GeoRestrictionRule", outside), rules)
     return decided.select("request_id", "terminatingruleid", "action")
 
 
+@registered
+def emergency_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The emergency rule that decides each request, by the whole feed, ranges and paths."""
+    none = reference_sets.rule_list(spark, emergency=()).limit(0)
+    feed = derived.indicator_feed(derived.events(spark, sf_dir))
+    hits = decision.rule_hits(_requests(spark, sf_dir), decision.with_emergency_rules(none, feed, order="seq"))
+    return hits.select("request_id", F.col("_hit.name").alias("rule"), F.col("_hit.priority").alias("priority"))
+
+
 @registered
 def ip_set_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = lists.ip_set_hits(_requests(spark, sf_dir), reference_sets.blocked_ranges(spark, BLOCKED_RANGES))

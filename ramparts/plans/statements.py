@@ -253,18 +253,53 @@ FROM log WHERE action = 'BLOCK' GROUP BY terminatingruleid""",
     "rule_flags": f"{_LOG} SELECT request_id, "
     + ", ".join(f"({test}) AS {rule}" for rule, test in _SIGNATURES.items())
     + " FROM log",
-    "rule_decision": f"""{_window_counts(86_400_000)},
+    "rule_decision": f"""{_FEED}, latest AS (SELECT max(ts) AS last FROM events),
+hosts AS (
+  SELECT ip, name, seq FROM validated v JOIN log ON log.event_id = v.seq, latest
+  WHERE log.ts >= last - INTERVAL 1 DAY AND valid AND (ip NOT LIKE '%/%' OR ip LIKE '%/32') AND name NOT IN
+    ('JuiceShopSQLiRule', 'PathTraversalRule', 'RFIProtectionRule', 'CommandInjectionRule', 'LargeHeaderRule')
+),
+emergency AS (
+  SELECT string_split(first(ip ORDER BY seq), '/')[1] AS clientip, name FROM hosts GROUP BY name
+),
+by_client AS (SELECT clientip, min(name) AS emergency FROM emergency GROUP BY clientip),
+counts AS (
+  SELECT *, count(*) OVER (PARTITION BY clientip ORDER BY ts_ms RANGE BETWEEN 86399999 PRECEDING AND CURRENT ROW)
+    AS window_count
+  FROM log WHERE NOT contains(lower(uri), 'healthcheck')
+),
 decided AS (
-  SELECT request_id, CASE
+  SELECT request_id, CASE WHEN emergency IS NOT NULL THEN emergency
     {' '.join(f"WHEN ({test}) THEN '{rule}'" for rule, test in _SIGNATURES.items())}
     WHEN window_count > 6 THEN 'RateLimitRule'
     WHEN {_OUTSIDE} THEN 'GeoRestrictionRule'
     WHEN {_IN_BLOCKED_RANGE} THEN 'IPReputationRule'
     ELSE 'Default_Action' END AS terminatingruleid
-  FROM counts
+  FROM counts LEFT JOIN by_client USING (clientip)
 )
 SELECT request_id, terminatingruleid,
   CASE WHEN terminatingruleid = 'Default_Action' THEN 'ALLOW' ELSE 'BLOCK' END AS action FROM decided""",
+    "emergency_decision": f"""{_FEED}, rules AS (
+  SELECT name, cidr, uri_pattern, CASE WHEN k % 10 = 8 THEN 0 ELSE user_id + 10 * 16777216 END AS address
+  FROM validated v WHERE valid AND seq = (SELECT min(seq) FROM validated w WHERE w.valid AND w.name = v.name)
+),
+ranges AS (
+  SELECT address, CAST(string_split(cidr, '/')[2] AS INTEGER) AS len, min(name) AS name FROM rules WHERE cidr IS NOT NULL
+  GROUP BY ALL
+),
+by_client AS (
+  SELECT clientip, min(name) AS name FROM (SELECT DISTINCT clientip, user_id + 10 * 16777216 AS address FROM log) a
+  JOIN ranges r ON a.address // CAST(pow(2, 32 - r.len) AS BIGINT) = r.address // CAST(pow(2, 32 - r.len) AS BIGINT)
+  GROUP BY clientip
+),
+by_path AS (
+  SELECT uri, min(name) AS name FROM (SELECT DISTINCT uri FROM log) p
+  JOIN (SELECT uri_pattern, min(name) AS name FROM rules WHERE uri_pattern IS NOT NULL GROUP BY uri_pattern) r
+  ON contains(lower(url_decode(uri)), uri_pattern) GROUP BY uri
+)
+SELECT request_id, least(by_client.name, by_path.name) AS rule,
+  CASE WHEN coalesce(by_client.name, by_path.name) IS NOT NULL THEN 50 END AS priority
+FROM log LEFT JOIN by_client USING (clientip) LEFT JOIN by_path USING (uri)""",
     "ip_set_hits": f"{_LOG} SELECT request_id, clientip FROM log WHERE {_IN_BLOCKED_RANGE}",
     "geo_blocked": f"{_LOG} SELECT request_id, country FROM log WHERE {_OUTSIDE}",
     "uri_pattern_hits": f"""{_LOG}, patterns(pattern) AS (VALUES ('etc/passwd'), ('user/login'), ('Admin/Backdoor'))

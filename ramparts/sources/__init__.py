@@ -20,7 +20,6 @@ from ramparts.sources.logs import (
 from ramparts.sources.reference_sets import (
     allowed_countries,
     blocked_ranges,
-    fitted,
     literal_table,
     rule_list,
     request_cases,
@@ -33,7 +32,6 @@ __all__ = [
     "blocked_ranges",
     "compact_logs",
     "error_records",
-    "fitted",
     "literal_table",
     "parse_lines",
     "read_compacted",

@@ -1,25 +1,11 @@
-"""Small fixed sets as tables, and the size check that guards every broadcast."""
+"""Small fixed sets as tables."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType, _parse_datatype_string
-
-# What a broadcast side may hold.
-BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
-# Reckoned per value, beside the text in it.
-VALUE_BYTES = 16
-
-
-def fitted(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast if ``df`` is measured to be small enough; otherwise leave the join to a shuffle."""
-    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, StringType)]
-    text_bytes = F.sum(sum(texts, F.lit(0))) if texts else F.lit(0)
-    rows, in_text = df.agg(F.count(F.lit(1)), F.coalesce(text_bytes, F.lit(0))).first()
-    fits = rows <= max_rows and in_text + rows * VALUE_BYTES * len(df.columns) <= max_bytes
-    return F.broadcast(df) if fits else df
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 
 def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:

@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 from samples import log_rows, requests
 
-from ramparts import emergency_blocks, emergency_uri, override_actions, rule_decision, rule_flags
-from ramparts.operators.detection import all_of, any_of, none_of
+from ramparts import emergency_blocks, emergency_uri, override_actions, rule_decision, rule_flags, with_emergency_rules
+from ramparts.operators.detection import SIGNATURE_RULES, all_of, any_of, none_of
 from ramparts.sources import literal_table, rule_list
 from ramparts.sources.reference_sets import CASES
 
@@ -20,7 +20,7 @@ RULES = list(ANSWERED.values())
 
 def decided(spark, *records):
     flags = rule_flags(requests(spark, *records))
-    result = rule_decision(flags, rule_list(spark)).orderBy(F.col("request_id").cast("int"))
+    result = rule_decision(flags, rule_list(spark).filter(F.col("name").isin(*SIGNATURE_RULES))).orderBy(F.col("request_id").cast("int"))
     return [row.terminatingruleid for row in result.collect()]
 
 
@@ -72,7 +72,7 @@ def test_decision_follows_priority_and_skips_counting_rules(spark, rows):
         [("1", True, True), ("2", False, True), ("3", None, None)], "request_id string, a boolean, b boolean"
     )
     schema = "name string, priority int, action string"
-    rules = literal_table(spark, [("b", 1, "COUNT"), ("a", 2, "BLOCK"), ("c", 0, "BLOCK")], schema)
+    rules = literal_table(spark, [("b", 1, "COUNT"), ("a", 2, "BLOCK"), ("c", 0, "NONE")], schema)
     assert rows(rule_decision(flags, rules), "request_id", "terminatingruleid", "action") == [
         ("1", "a", "BLOCK"), ("2", "Default_Action", "ALLOW"), ("3", "Default_Action", "ALLOW"),
     ]
@@ -82,6 +82,46 @@ def test_decision_follows_priority_and_skips_counting_rules(spark, rows):
     ]
 
 
+def test_a_terminating_rule_that_nothing_evaluates_raises(spark):
+    flags = spark.createDataFrame([("1", True)], "request_id string, a boolean")
+    for action in ("BLOCK", "ALLOW"):
+        rules = literal_table(spark, [("a", 1, "BLOCK"), ("unknown", 9, action)], "name string, priority int, action string")
+        with pytest.raises(ValueError, match="unknown"):
+            rule_decision(flags, rules)
+
+
+def test_rules_by_address_and_path_decide_by_priority(spark, rows):
+    flags = spark.createDataFrame(
+        [("1", "10.0.0.1", "/a", True), ("2", "10.0.0.9", "/x/Secret%2Fy", True), ("3", "10.9.9.9", "/none", True),
+         ("4", "10.9.9.9", "/a", False), ("5", None, None, None), ("6", "10.0.0.2", "/secret/", False)],
+        "request_id string, clientip string, uri string, a boolean",
+    )
+    listed = [
+        ("a", 60, "BLOCK", None, None), ("wide", 50, "BLOCK", "10.0.0.0/24", None), ("host", 40, "ALLOW", "10.0.0.2", None),
+        ("also wide", 50, "BLOCK", "10.0.0.0/8", None), ("path", 45, "BLOCK", None, "secret/"), ("path", 70, "BLOCK", None, "/a"),
+        ("counted", 1, "COUNT", "0.0.0.0/0", None), ("bad", 2, "BLOCK", "no range", None),
+    ]
+    rules = literal_table(spark, listed, "name string, priority int, action string, cidr string, uri_pattern string")
+    decided = rule_decision(flags, rules)
+    assert decided.columns == [*flags.columns, "terminatingruleid", "action"]
+    assert rows(decided, "request_id", "terminatingruleid", "action") == [
+        ("1", "also wide", "BLOCK"), ("2", "path", "BLOCK"), ("3", "also wide", "BLOCK"), ("4", "also wide", "BLOCK"),
+        ("5", "Default_Action", "ALLOW"), ("6", "host", "ALLOW"),
+    ]
+
+
+def test_feed_becomes_rules(spark, rows):
+    feed = spark.createDataFrame(
+        [(2, "n", "10.0.0.2", None), (1, "n", "10.0.0.1", None), (3, "p", None, "admin/x"), (4, "bad", "0.0.0.0/0", None),
+         (5, "a", "10.0.0.5", None)],
+        "seq int, name string, ip string, uri_pattern string",
+    )
+    listed = literal_table(spark, [("a", 7, "ALLOW")], "name string, priority int, action string")
+    assert rows(with_emergency_rules(listed, feed, "seq")) == [
+        ("a", 7, "ALLOW", None, None), ("n", 50, "BLOCK", "10.0.0.1/32", None), ("p", 50, "BLOCK", None, "admin/x"),
+    ]
+
+
 def test_combinators_take_null_as_false(spark):
     null = F.lit(None).cast("boolean")
     row = spark.range(1).select(any_of(null, F.lit(True)), all_of(null, F.lit(True)), none_of(null)).first()

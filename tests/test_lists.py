@@ -5,7 +5,7 @@ import pytest
 from samples import requests
 
 from ramparts import geo_blocked, ip_set_hits, uri_pattern_hits
-from ramparts.operators.lists import narrowest_range, with_ip_set_flag
+from ramparts.operators.lists import narrowest_range, owners_of_clients, range_set, with_ip_set_flag
 from ramparts.sources import allowed_countries, blocked_ranges, uri_patterns
 
 
@@ -35,6 +35,22 @@ def test_ip_set_against_ipaddress(spark):
     assert got == sorted(c for c in clients if any(ipaddress.ip_address(c) in n for n in networks))
 
 
+def test_nested_ranges_in_one_bin_and_across_bins(spark):
+    """Of all ranges that hold an address the least owner counts, and the narrowest range is the longest prefix."""
+    draw = random.Random(8)
+    cidrs = [f"{draw.choice([9, 10])}.{draw.randrange(3)}.{draw.randrange(256)}.{draw.randrange(256)}/{draw.randrange(4, 33)}" for _ in range(400)]
+    clients = [f"{draw.choice([9, 10])}.{draw.randrange(4)}.{draw.randrange(256)}.{draw.randrange(256)}" for _ in range(300)]
+    clients += [c.partition("/")[0] for c in cidrs[:50]]
+    networks = [(ipaddress.ip_network(c, strict=False), draw.randrange(1000)) for c in cidrs]
+    asked = requests(spark, *({"clientip": c} for c in clients))
+    ranges = range_set(spark.createDataFrame([(c, o) for c, (_, o) in zip(cidrs, networks)], "cidr string, owner int"), "owner")
+    found = {r.clientip: r.owner for r in owners_of_clients(asked, ranges).collect()}
+    holding = {c: [(o, n.prefixlen) for n, o in networks if ipaddress.ip_address(c) in n] for c in clients}
+    assert found == {c: min(h)[0] for c, h in holding.items() if h}
+    narrow = {r.clientip: r.prefix_length for r in narrowest_range(asked, blocked_ranges(spark, cidrs)).collect()}
+    assert narrow == {c: max(p for _, p in h) for c, h in holding.items() if h}
+
+
 def test_ranges_are_met_by_equality(spark, plan, sf_dir):
     from ramparts.plans import QUERIES
 
