@@ -18,7 +18,7 @@ from ramparts.session import scratch_path
 from ramparts.sources import derived, reference_sets
 from ramparts.sources.logs import parse_lines, read_logs, retain, with_hour_partition, write_logs
 from ramparts.sources.schema import CORRUPT, PARTITIONS
-from ramparts.streaming import drained, ingest, line_stream, stream_rate_limit
+from ramparts.streaming import drained, ingest, line_stream, rocksdb, stream_rate_limit, stream_request_rates
 
 BLOCKED_RANGES = ["10.0.0.0/28", "10.0.0.77/32", "10.0.1.0/24"]
 URI_PATTERNS = ["etc/passwd", "user/login", "Admin/Backdoor"]
@@ -326,6 +326,17 @@ def stream_rate_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_ms(drained(stream_rate_limit(requests, limit=1), f"{work}/out", f"{work}/state"))
 
 
+@registered
+def stream_request_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests that are more than the first of their client in five minutes, by a stream's verdict on each."""
+    stream = as_requests(derived.decision_log(derived.events_stream(spark, sf_dir)))
+    work = scratch_path(spark, "requests")
+    with rocksdb(spark):
+        rates = drained(stream_request_rates(stream), f"{work}/out", f"{work}/state")
+    counted = _requests(spark, sf_dir).filter(rate.is_counted()).select("request_id", "clientip", "ts_ms")
+    return counted.join(rates.filter("window_count > 1"), ["clientip", "ts_ms"])
+
+
 # --- scorecard ---------------------------------------------------------------------------
 
 

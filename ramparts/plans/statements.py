@@ -306,6 +306,7 @@ FROM log LEFT JOIN by_client USING (clientip) LEFT JOIN by_path USING (uri)""",
 SELECT request_id, pattern FROM log, patterns WHERE contains(lower(url_decode(uri)), pattern)""",
     "rate_limit_breaches": _breaches(1, 300_000),
     "rate_limit_daily": _breaches(6, 86_400_000),
+    "stream_request_breaches": _breaches(1, 300_000),
     "overridden_actions": f"""{_LOG}, groups AS (
   SELECT 'AWS#' || terminatingruleid AS rulegroupid,
     CASE WHEN terminatingruleid = 'AWSManagedRulesSQLiRuleSet' THEN 'SQLi_QUERYARGUMENTS'

@@ -45,7 +45,7 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None
 
 
 def drained(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Run a stream of windows over everything there is now and read back what they gave.
+    """Run a stream of windows, or of moments, over everything there is now and read back what they gave.
 
     Windows that the watermark has not closed when the input ends count too: each micro-batch writes the windows it
     has changed to a folder of its own, which a repeated batch replaces, and the last state of a window holds.
@@ -64,7 +64,7 @@ def drained(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     query.awaitTermination()
     spark, schema = stream.sparkSession, stream.schema
     written = StructType([*schema.fields, StructField(BATCH, LongType())])
-    keys = [name for name in ("window_start", "window_end", "clientip") if name in schema.names]
+    keys = [name for name in ("window_start", "window_end", "clientip", "ts_ms") if name in schema.names]
     values = [name for name in schema.names if name not in keys]
     last = F.max(F.struct(BATCH, *[f"`{name}`" for name in values])).alias("last")
     states = spark.read.schema(written).option("basePath", path).parquet(f"{path}/{BATCH}=*")

@@ -1,3 +1,5 @@
+import random
+import time
 from collections import Counter
 
 import pytest
@@ -6,6 +8,8 @@ from samples import requests
 
 from ramparts import rate_limit_breaches
 from ramparts.operators.rate import client_rates, with_rate_flag
+from ramparts.streaming import drained, rocksdb, stream_request_rates
+from ramparts.streaming.rates import window_counts
 
 
 def brute(moments, window):
@@ -82,3 +86,33 @@ def test_copies_are_summed_before_the_window(spark, plan):
     assert hits.count() == 100_000 and hits.filter("window_count = 100000").count() == 100_000
     text = plan(client_rates(asked))
     assert text.index("Window") < text.index("HashAggregate") and "partial_count" in text
+
+
+def test_stream_gives_the_verdict_of_the_batch(spark, tmp_path, rows):
+    """However the requests are cut into micro-batches, late ones included, the last count of a moment is that of the batch."""
+    draw = random.Random(2)
+    start = 1_704_423_600_000
+    asked = [(f"c{draw.randrange(4)}", start + draw.randrange(0, 2000) * draw.choice([1, 7, 300]), "/") for _ in range(400)]
+    asked += [("c1", start, "/healthcheck"), (None, start, "/"), ("c1", start, "/"), ("c1", start, "/")]
+    schema = "clientip string, ts_ms bigint, uri string"
+    for batches in (1, 5):
+        folder = tmp_path / f"in{batches}"
+        for n in range(batches):
+            part = spark.createDataFrame(asked[n::batches], schema).coalesce(1)
+            part.write.mode("append").parquet(str(folder / f"part={n}"))
+            time.sleep(1.1)
+        stream = spark.readStream.schema(f"{schema}, part int").option("maxFilesPerTrigger", 1).parquet(str(folder)).drop("part")
+        with rocksdb(spark):
+            found = drained(
+                stream_request_rates(stream, 60_000, "1 day"), str(tmp_path / f"out{batches}"), str(tmp_path / f"state{batches}")
+            )
+        assert rows(found, "clientip", "ts_ms", "window_count") == rows(
+            client_rates(spark.createDataFrame(asked, schema), 60_000), "clientip", "ts_ms", "window_count"
+        )
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_window_counts_reach_back_one_window():
+    moments = [(0, 2), (5, 1), (10, 1), (14, 3), (30, 1)]
+    assert list(window_counts(moments, [0, 5, 10, 14, 30], 10)) == [(0, 2), (5, 3), (10, 2), (14, 5), (30, 1)]
+    assert list(window_counts(moments, [5], 10)) == [(5, 3), (10, 2), (14, 5)]
