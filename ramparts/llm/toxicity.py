@@ -172,16 +172,19 @@ def fitted(rows: DataFrame, rounds: int = ROUNDS) -> Model:
         now = model
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # The bias, feature -1, has the last place. What a task meets is summed up before it is sent.
+            slope, curve = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
             for batch in batches:
-                if batch.num_rows:
-                    lists = batch.column("sizes")
-                    found = slopes(
-                        batch.column("label").to_numpy(), batch.column("bare").to_numpy(), lists.flatten().to_numpy(),
-                        lists.value_lengths().to_numpy(), batch.column("features").flatten().to_numpy(), now,
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found[0], pa.int32()), *map(pa.array, found[1:])], names=["feature", "slope", "curve"]
-                    )
+                lists = batch.column("sizes")
+                named, slopes_of, curves_of = slopes(
+                    batch.column("label").to_numpy(), batch.column("bare").to_numpy(), lists.flatten().to_numpy(),
+                    lists.value_lengths().to_numpy(), batch.column("features").flatten().to_numpy(), now,
+                )
+                slope[named] += slopes_of
+                curve[named] += curves_of
+            met = np.flatnonzero(curve)
+            columns = [pa.array(np.where(met == 1 << BITS, -1, met), pa.int32()), pa.array(slope[met]), pa.array(curve[met])]
+            yield pa.RecordBatch.from_arrays(columns, names=["feature", "slope", "curve"])
 
         sums = map_in_arrow(kept.rows, partial, "feature int, slope double, curve double").groupBy("feature")
         model = _stepped(now, sums.agg(F.sum("slope").alias("slope"), F.sum("curve").alias("curve")).toArrow())
