@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ramparts.llm.shared import free_name, map_batches
+from ramparts.llm.shared import KEPT_BY_WORKER, free_name, map_batches
 
 # Limits of what a worker keeps between texts; beyond them a table starts anew, which changes no result.
 MOST_STATES, MOST_PAIRS, MOST_CHUNKS, LONGEST_CHUNK = 200_000, 1_000_000, 250_000, 64
@@ -314,6 +314,14 @@ def encoder_of(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
+def _let_go() -> None:
+    encoder_of.cache_clear()
+    Transducer.halves.cache_clear()
+
+
+KEPT_BY_WORKER[__name__] = _let_go
+
+
 def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (token ids of the text), ``n_tokens`` and ``decodes`` (whether the ids give the text back),
     under free names. A null or empty text has no ids; a null one decodes to nothing, which counts as given back."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -49,13 +50,34 @@ def partitions(spark: SparkSession, rows_per_key: int = 1) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * rows_per_key
 
 
-def map_in_arrow(rows: DataFrame, run: Callable, schema) -> DataFrame:
-    """``mapInArrow`` whose Python workers find this package where the driver has it, unless it is installed."""
+# What the operators keep from task to task in a Python worker, by module: how to let go of it.
+KEPT_BY_WORKER: dict[str, Callable[[], None]] = {}
+
+
+def _let_go_of_others(owner: str) -> None:
+    """A worker serves one stage after another; what an earlier operator keeps in it is of no use to this one."""
+    for module, let_go in list(KEPT_BY_WORKER.items()):
+        if module != owner:
+            let_go()
+    gc.collect()
+
+
+def map_in_arrow(rows: DataFrame, run: Callable, schema, owner: str = "") -> DataFrame:
+    """``mapInArrow`` whose Python workers find this package where the driver has it, unless it is installed.
+
+    ``owner`` is the module whose caches the worker keeps, that of ``run`` unless given.
+    """
+    owner = owner or run.__module__
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _let_go_of_others(owner)
+        yield from run(batches)
+
     environment = rows.sparkSession.sparkContext.environment
     folders = environment.get("PYTHONPATH", "").split(os.pathsep)
     if HOME not in folders:
         environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, folders)])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(alone, schema)
 
 
 def map_batches(
@@ -67,7 +89,7 @@ def map_batches(
         for batch in batches:
             yield from function(batch)
 
-    return map_in_arrow(rows, run, schema)
+    return map_in_arrow(rows, run, schema, function.__module__)
 
 
 def texts_of(column: pa.Array) -> Iterator[bytes]:
