@@ -450,6 +450,11 @@ def matched_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.matched_data(_logs(spark, sf_dir))
 
 
+@registered
+def excluded_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.excluded_rules(_logs(spark, sf_dir))
+
+
 @registered
 def rate_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.rate_rules(_logs(spark, sf_dir))

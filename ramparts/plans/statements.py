@@ -410,11 +410,28 @@ SELECT request_id, 'AWS#' || terminatingruleid AS rulegroupid,
   CASE WHEN k % 3 = 0 THEN 'NoUserAgent_HEADER' END AS inner_ruleid,
   CASE WHEN k % 3 = 0 THEN 'COUNT' END AS inner_action
 FROM log WHERE starts_with(terminatingruleid, 'AWSManaged')""",
-    "matched_data": f"""{_LOG}
-SELECT request_id, terminatingruleid,
-  CASE WHEN contains(terminatingruleid, 'SQLi') THEN 'SQL_INJECTION' ELSE 'XSS' END AS conditiontype,
-  'ALL_QUERY_ARGS' AS location, unnest(['k' || CAST(k AS VARCHAR), event_type]) AS datum
-FROM log WHERE contains(terminatingruleid, 'SQLi') OR contains(terminatingruleid, 'XSS')""",
+    "matched_data": f"""{_LOG}, groups AS (
+  SELECT *, 'AWS#' || terminatingruleid AS rulegroupid,
+    CASE WHEN terminatingruleid = 'AWSManagedRulesSQLiRuleSet' THEN 'SQLi_QUERYARGUMENTS'
+      WHEN k % 4 = 2 THEN 'SizeRestrictions_BODY' ELSE 'CrossSiteScripting_QUERYARGUMENTS' END AS ruleid
+  FROM log WHERE starts_with(terminatingruleid, 'AWSManaged')
+)
+SELECT request_id, terminatingruleid, 'terminatingrulematchdetails' AS source, CAST(NULL AS VARCHAR) AS rulegroupid,
+  terminatingruleid AS ruleid, CASE WHEN contains(terminatingruleid, 'SQLi') THEN 'SQL_INJECTION' ELSE 'XSS' END AS conditiontype,
+  'HIGH' AS sensitivitylevel, 'ALL_QUERY_ARGS' AS location, unnest(['k' || CAST(k AS VARCHAR), event_type]) AS datum
+FROM log WHERE contains(terminatingruleid, 'SQLi') OR contains(terminatingruleid, 'XSS')
+UNION ALL
+SELECT request_id, terminatingruleid, 'rulegrouplist.terminatingrule.rulematchdetails', rulegroupid, ruleid,
+  'XSS', 'LOW', 'BODY', 'g' || CAST(k AS VARCHAR) FROM groups WHERE k % 4 = 1
+UNION ALL
+SELECT request_id, terminatingruleid, 'rulegrouplist.nonterminatingmatchingrules.rulematchdetails', rulegroupid,
+  'NoUserAgent_HEADER', 'XSS', 'LOW', 'HEADER', unnest(['i' || CAST(k AS VARCHAR), event_type]) FROM groups WHERE k % 6 = 0
+UNION ALL
+SELECT request_id, terminatingruleid, 'nonterminatingmatchingrules.rulematchdetails', NULL, 'SizeRestrictions_BODY',
+  'XSS', 'LOW', 'BODY', 'n' || CAST(k AS VARCHAR) FROM log WHERE counted AND k % 10 = 0""",
+    "excluded_rules": f"""{_LOG}
+SELECT request_id, 'AWS#' || terminatingruleid AS rulegroupid, 'EXCLUDED_AS_COUNT' AS exclusiontype,
+  'GenericRFI_BODY' AS ruleid FROM log WHERE starts_with(terminatingruleid, 'AWSManaged') AND k % 5 = 0""",
     "rate_rules": f"""{_LOG}
 SELECT 'RateLimitRule' AS ratebasedruleid, 'IP' AS limitkey, CAST(50 AS INTEGER) AS maxrateallowed,
   CAST(count(*) AS BIGINT) AS requests

@@ -23,6 +23,9 @@ RULE_OF_BLOCK = [
     "CommandInjectionRule", "RFIProtectionRule", "LargeHeaderRule", "CustomSQLiRule", None,
 ]
 
+# A rule that some rule groups leave out.
+EXCLUDED = '[{"exclusionType":"EXCLUDED_AS_COUNT","ruleId":"GenericRFI_BODY"}]'
+
 PROBE_NO = next(number for number, case in enumerate(CASES) if case[0] == RATE_CASE)
 
 # The properties are one flat object, {"k": n}; no need for a JSON parser per row.
@@ -68,12 +71,18 @@ def _keyed(event_rows: DataFrame) -> DataFrame:
     return keyed.selectExpr("*", f"{CASE_NO} AS case_no")
 
 
-def _match(rule: str, action: str) -> str:
-    details = CONTRACT["nonterminatingmatchingrules"].dataType.elementType["rulematchdetails"].dataType
-    return (
-        f"named_struct('ruleid', {rule}, 'action', '{action}', "
-        f"'rulematchdetails', cast(array() AS {details.simpleString()}))"
+def _details(condition: str, location: str, *data: str) -> str:
+    """SQL for match details: one, where the condition holds."""
+    kind = CONTRACT["terminatingrulematchdetails"].dataType.simpleString()
+    detail = (
+        f"named_struct('conditiontype', 'XSS', 'sensitivitylevel', 'LOW', 'location', '{location}', "
+        f"'matcheddata', array({', '.join(data)}))"
     )
+    return f"CASE WHEN {condition} THEN array({detail}) ELSE cast(array() AS {kind}) END"
+
+
+def _match(rule: str, action: str, details: str) -> str:
+    return f"named_struct('ruleid', {rule}, 'action', '{action}', 'rulematchdetails', {details})"
 
 
 def _list_if(condition: str, item: str, column: str) -> str:
@@ -95,11 +104,15 @@ def decision_log(event_rows: DataFrame) -> DataFrame:
         "CASE WHEN terminatingruleid = 'AWSManagedRulesSQLiRuleSet' THEN 'SQLi_QUERYARGUMENTS' "
         "WHEN k % 4 = 2 THEN 'SizeRestrictions_BODY' ELSE 'CrossSiteScripting_QUERYARGUMENTS' END"
     )
+    ending = _match(inner_rule, "BLOCK", _details("k % 4 = 1", "BODY", "concat('g', k)"))
+    inner = _match("'NoUserAgent_HEADER'", "COUNT", _details("k % 2 = 0", "HEADER", "concat('i', k)", "event_type"))
     group = (
-        f"named_struct('rulegroupid', concat('AWS#', terminatingruleid), 'terminatingrule', {_match(inner_rule, 'BLOCK')}, "
-        f"'nonterminatingmatchingrules', CASE WHEN k % 3 = 0 THEN array({_match("'NoUserAgent_HEADER'", 'COUNT')}) "
-        f"ELSE cast(array() AS {_type('nonterminatingmatchingrules')}) END, 'excludedrules', cast(NULL AS string))"
+        f"named_struct('rulegroupid', concat('AWS#', terminatingruleid), 'terminatingrule', {ending}, "
+        f"'nonterminatingmatchingrules', CASE WHEN k % 3 = 0 THEN array({inner}) "
+        f"ELSE cast(array() AS {_type('nonterminatingmatchingrules')}) END, 'excludedrules', "
+        f"CASE WHEN k % 5 = 0 THEN '{EXCLUDED}' END)"
     )
+    counted = _match("'SizeRestrictions_BODY'", "COUNT", _details("k % 10 = 0", "BODY", "concat('n', k)"))
     detail = (
         f"named_struct('conditiontype', CASE WHEN {injection} THEN 'SQL_INJECTION' ELSE 'XSS' END, "
         "'sensitivitylevel', 'HIGH', 'location', 'ALL_QUERY_ARGS', 'matcheddata', array(concat('k', k), event_type))"
@@ -132,7 +145,7 @@ def decision_log(event_rows: DataFrame) -> DataFrame:
         ),
         _list_if(
             "event_type = 'signup' OR k % 20 = 0",
-            _match("'SizeRestrictions_BODY'", "COUNT"),
+            counted,
             "nonterminatingmatchingrules",
         ),
         "cast(NULL AS string) AS requestheadersinserted",

@@ -1,7 +1,7 @@
 from samples import log_rows
 
 from ramparts import count_matches_by_rule, label_counts, matched_data, rate_rules, rule_group_matches
-from ramparts.operators.nested import rule_matches, with_label
+from ramparts.operators.nested import excluded_rules, rule_matches, with_label
 
 
 def match(rule, action="COUNT"):
@@ -49,8 +49,47 @@ def test_rule_groups(spark, rows):
     ]
 
 
+def test_details_of_every_place(spark, rows):
+    def with_detail(rule, *data):
+        detail = {"conditiontype": "C", "sensitivitylevel": None, "location": "L", "matcheddata": list(data)}
+        return {"ruleid": rule, "action": "COUNT", "rulematchdetails": [detail]}
+
+    group = {"rulegroupid": "g", "terminatingrule": with_detail("x", "1"), "excludedrules": None,
+             "nonterminatingmatchingrules": [with_detail("y", "2", "3"), match("none"), None]}
+    bare = {"rulegroupid": "h", "terminatingrule": None, "nonterminatingmatchingrules": None, "excludedrules": None}
+    found = matched_data(
+        log_rows(
+            spark,
+            {"httprequest": {"requestid": "1"}, "terminatingruleid": "t", "rulegrouplist": [group, bare, None],
+             "nonterminatingmatchingrules": [with_detail("z", "4")]},
+            {"httprequest": {"requestid": "2"}, "terminatingruleid": "t"},
+        )
+    )
+    assert rows(found, "request_id", "source", "rulegroupid", "ruleid", "datum") == sorted(
+        [
+            ("1", "rulegrouplist.terminatingrule.rulematchdetails", "g", "x", "1"),
+            ("1", "rulegrouplist.nonterminatingmatchingrules.rulematchdetails", "g", "y", "2"),
+            ("1", "rulegrouplist.nonterminatingmatchingrules.rulematchdetails", "g", "y", "3"),
+            ("1", "nonterminatingmatchingrules.rulematchdetails", None, "z", "4"),
+        ],
+        key=repr,
+    )
+
+
+def test_excluded_rules(spark, rows):
+    def group(name, text):
+        return {"rulegroupid": name, "terminatingrule": None, "nonterminatingmatchingrules": None, "excludedrules": text}
+
+    two = '[{"exclusionType":"E","ruleId":"a"},{"exclusionType":"E","ruleId":"b"}]'
+    asked = log_rows(spark, {"httprequest": {"requestid": "1"}, "rulegrouplist": [group("g", two), group("h", None), group("i", "no list")]})
+    assert rows(excluded_rules(asked)) == [("1", "g", "E", "a"), ("1", "g", "E", "b")]
+
+
 def test_data_rates_labels(spark, rows):
-    assert rows(matched_data(logs(spark))) == [("1", "t", "XSS", "URI", "<"), ("1", "t", "XSS", "URI", "script")]
+    found = matched_data(logs(spark))
+    assert rows(found, "request_id", "source", "ruleid", "conditiontype", "location", "datum") == [
+        ("1", "terminatingrulematchdetails", "t", "XSS", "URI", "<"), ("1", "terminatingrulematchdetails", "t", "XSS", "URI", "script"),
+    ]
     assert rows(rate_rules(logs(spark))) == [("r", "IP", 50, 2)]
     assert rows(label_counts(logs(spark))) == [("l1", 2), ("l2", 1)]
     assert with_label(logs(spark), "l1").count() == 2

@@ -31,3 +31,20 @@ def test_query(spark, sf_dir, connection, name):
     assert names == expected_names
     assert types == [SQL_TYPES.get(t, t) for t in expected_types]
     assert rows == expected
+
+
+@pytest.fixture(scope="module")
+def empty_dir(spark, sf_dir, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("empty")
+    spark.read.parquet(f"{sf_dir}/events.parquet").limit(0).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_without_events(spark, empty_dir, name):
+    """Nothing crashes without a row; the report still has its row of totals."""
+    rows = QUERIES[name](spark, empty_dir).collect()
+    if name == "kpi_report":
+        assert [(r.metric_type, r.total_requests) for r in rows] == [("CORE", None)] or len(rows) == 1
+    elif name in ("merged_indicators", "emergency_blocks"):
+        assert rows
