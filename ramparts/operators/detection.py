@@ -150,7 +150,7 @@ def emergency_rules(rules: DataFrame) -> DataFrame:
 
 
 def emergency_blocks(logs: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every emergency rule with the number of log rows it terminated, 0 included.
+    """Every emergency rule, with its metric where it is known, and the number of log rows it terminated, 0 included.
 
     Rows of other rules are dropped at the scan by the word their names lack, and the
     rest is reduced to one row per rule before it meets the rule list.
@@ -160,7 +160,8 @@ def emergency_blocks(logs: DataFrame, rules: DataFrame) -> DataFrame:
         .groupBy("terminatingruleid")
         .agg(F.count(F.lit(1)).alias("blocks"))
     )
-    listed = emergency_rules(rules).select("name", "priority", "action")
+    shown = ["name", "priority", "action", *[c for c in rules.columns if c == "metric_name"]]
+    listed = emergency_rules(rules).select(*shown)
     return listed.join(hits, listed["name"] == hits["terminatingruleid"], "left").select(
-        "name", "priority", "action", F.coalesce("blocks", F.lit(0).cast("bigint")).alias("blocks")
+        *shown, F.coalesce("blocks", F.lit(0).cast("bigint")).alias("blocks")
     )

@@ -19,9 +19,12 @@ FIREWALL_TEXTS = ("request blocked", "access denied", "waf", "cloudfront")
 PROBE_BLOCKS = 3
 
 RUN = ["url", "run_ts"]
+# Fixed value: what the result of the rate probe says of itself.
+PROBE_TEXT = "Rate limiting test - %d/%d requests blocked"
 NOT_BLOCKED, FALSE_POSITIVE = "attack not blocked", "false positive"
 RESULT_COLUMNS = [
     "test_name",
+    "description",
     "expected_status",
     "actual_status",
     "response_time",
@@ -48,17 +51,19 @@ def blocked_by_firewall(status: Column, headers: Column, body: Column) -> Column
 
 
 def score_results(cases: DataFrame, results: DataFrame, rate_case: str = RATE_CASE) -> DataFrame:
-    """Every result with its expectation, verdict and firewall sign.
+    """Every result with its description, expectation, verdict and firewall sign.
 
     The responses of the rate probe are one result with the probe's own verdict. A case without a result in a run
     is added with status 0, which means no answer and fails; so is a probe that got no response recorded.
     Which cases a run has is gathered as a set, at most as large as the case list.
     """
-    expected = cases.select("test_name", "expected_status")
+    told = F.col("description") if "description" in cases.columns else F.lit(None).cast("string")
+    expected = cases.select("test_name", "expected_status", told.alias("description"))
     single = results.filter(F.col("test_name") != rate_case)
     scored = single.join(expected, "test_name").select(
         *RUN,
         "test_name",
+        "description",
         "expected_status",
         "actual_status",
         "response_time",
@@ -70,6 +75,7 @@ def score_results(cases: DataFrame, results: DataFrame, rate_case: str = RATE_CA
     probes = rate_probe(results, rate_case).withColumns(
         {
             "test_name": F.lit(rate_case),
+            "description": F.format_string(PROBE_TEXT, "blocked_count", "sent"),
             "error": F.lit(None).cast("string"),
             "response_headers": F.lit(None).cast("map<string,string>"),
         }
@@ -85,6 +91,7 @@ def score_results(cases: DataFrame, results: DataFrame, rate_case: str = RATE_CA
         .select(
             *RUN,
             "test_name",
+            "description",
             "expected_status",
             F.lit(0).alias("actual_status"),
             F.lit(None).cast("double").alias("response_time"),

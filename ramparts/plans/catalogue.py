@@ -16,7 +16,8 @@ from ramparts.operators import decision, detection, governance, indicators, kpi,
 from ramparts.operators.requests import as_requests, header_value
 from ramparts.session import scratch_path
 from ramparts.sources import derived, reference_sets
-from ramparts.sources.logs import parse_lines, read_logs, retain, with_hour_partition, write_logs
+from ramparts.sources.logs import compact_logs, parse_lines, read_compacted, read_logs, retain, with_hour_partition, write_logs
+from ramparts.sources.retention import expire
 from ramparts.sources.schema import CORRUPT, PARTITIONS
 from ramparts.streaming import drained, ingest, line_stream, rocksdb, stream_rate_limit, stream_request_rates
 
@@ -136,6 +137,16 @@ def retained_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("requests"))
 
 
+@registered
+def expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stored columnar log has left, by partition, after its expired folders were removed."""
+    rows = derived.events(spark, sf_dir)
+    root = scratch_path(spark, "expiring")
+    compact_logs(derived.decision_log(derived.in_time_order(rows)), root)
+    expire(spark, root, _latest(rows), RETAINED_DAYS)
+    return read_compacted(spark, root).groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("requests"))
+
+
 @registered
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land lines as text, ingest them as a stream, read back what was stored and what was refused."""
@@ -345,7 +356,7 @@ def score_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results per run, test and verdict, absent tests included."""
     return (
         _scored(spark, sf_dir)
-        .groupBy("run_ts", "test_name", "expected_status", "actual_status", "passed", "blocked_by_waf", "error")
+        .groupBy("run_ts", "test_name", "description", "expected_status", "actual_status", "passed", "blocked_by_waf", "error")
         .agg(F.count(F.lit(1)).alias("results"))
     )
 
@@ -390,6 +401,19 @@ def suite_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def suite_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suite documents written as JSON, one line a run, and read back: results per description and verdict."""
+    path = scratch_path(spark, "suites")
+    scored = _scored(spark, sf_dir)
+    scorecard.write_suites(scored, path)
+    documents = spark.read.schema(scorecard.suite_documents(scored).schema).json(path)
+    tests = documents.select("url", F.explode("tests").alias("t"))
+    return tests.groupBy("url", "t.test_name", "t.description", "t.passed", "t.error", "t.blocked_by_waf").agg(
+        F.count(F.lit(1)).alias("results"), F.count("t.response_time").alias("timed")
+    )
+
+
 # --- indicators --------------------------------------------------------------------------
 
 

@@ -143,10 +143,23 @@ SELECT {_WINDOW} AS window_start, {_WINDOW} + 300000 AS window_end, {columns}
 FROM log WHERE action = 'BLOCK' AND terminatingruleid IN {_CHARTED} AND {where} GROUP BY ALL"""
 
 
-_RESULTS = f"""{_LOG},
+# What each request case is about.
+_DESCRIPTIONS = """
+described(case_no, description) AS (VALUES
+  (0, 'Basic homepage access should be allowed'), (1, 'Products page should be accessible'),
+  (2, 'Login page should be accessible'), (3, 'Legitimate product search should work'),
+  (4, 'Juice Shop specific SQL injection should be blocked'),
+  (5, 'Classic SQL injection UNION attack should be blocked'), (6, 'XSS script tag injection should be blocked'),
+  (7, 'Path traversal attack should be blocked'), (8, 'Remote file inclusion attempt should be blocked'),
+  (9, 'Command injection attempt should be blocked'), (10, 'High rate requests should eventually be blocked'),
+  (11, 'Requests with suspicious user agents should be blocked'),
+  (12, 'Requests with oversized headers should be blocked'), (13, 'SQL injection in POST body should be blocked')
+)"""
+
+_RESULTS = f"""{_LOG}, {_DESCRIPTIONS},
 results AS (
   SELECT 'https://app.example.com' AS url, lpad(CAST(event_id // 14 AS VARCHAR), 12, '0') AS run_ts,
-    cases.test_name, cases.expected_status, k,
+    cases.case_no, cases.test_name, cases.expected_status, k,
     CASE event_type WHEN 'error' THEN 403 WHEN 'signup' THEN 500 WHEN 'purchase' THEN 0 ELSE 200 END AS actual_status,
     value / 100 AS response_time,
     CASE WHEN event_type = 'purchase' THEN 'request failed' END AS error
@@ -160,17 +173,18 @@ probes AS (
 ),
 runs AS (SELECT DISTINCT url, run_ts FROM results),
 scored AS (
-  SELECT url, run_ts, test_name, expected_status, actual_status, response_time, error,
+  SELECT url, run_ts, test_name, description, expected_status, actual_status, response_time, error,
     actual_status = expected_status AS passed,
     actual_status = 403 OR k % 10 IN (0, 1) AS blocked_by_waf
-  FROM results WHERE test_name <> 'rate_limit_test'
+  FROM results JOIN described USING (case_no) WHERE test_name <> 'rate_limit_test'
   UNION ALL
-  SELECT url, run_ts, 'rate_limit_test', CASE WHEN blocked_count < 3 THEN 200 ELSE 403 END,
+  SELECT url, run_ts, 'rate_limit_test',
+    'Rate limiting test - ' || CAST(blocked_count AS VARCHAR) || '/' || CAST(sent AS VARCHAR) || ' requests blocked', CASE WHEN blocked_count < 3 THEN 200 ELSE 403 END,
     CASE WHEN blocked_count = 0 THEN 200 ELSE 403 END, response_time, NULL, blocked_count >= 3, blocked_count > 0
   FROM probes
   UNION ALL
-  SELECT r.url, r.run_ts, c.test_name, c.expected_status, 0, NULL, 'no result recorded', false, false
-  FROM runs r CROSS JOIN cases c
+  SELECT r.url, r.run_ts, c.test_name, d.description, c.expected_status, 0, NULL, 'no result recorded', false, false
+  FROM runs r CROSS JOIN cases c JOIN described d USING (case_no)
   WHERE NOT EXISTS (
     SELECT 1 FROM results x WHERE x.url = r.url AND x.run_ts = r.run_ts AND x.test_name = c.test_name)
 )"""
@@ -231,6 +245,9 @@ UNION ALL SELECT 'client', clientip, CAST(count(*) AS BIGINT) FROM log WHERE {_N
 UNION ALL SELECT 'errors', '40', CAST(count(*) AS BIGINT) FROM log WHERE NOT ({_NOT_BROKEN})""",
     "retained_partitions": f"""{_LOG}
 SELECT year, month, day, hour, CAST(count(*) AS BIGINT) AS requests FROM log
+WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) - 7 FROM events) GROUP BY ALL""",
+    "expired_partitions": f"""{_LOG}
+SELECT year, month, day, hour, CAST(count(*) AS BIGINT) AS requests FROM log
 WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) - 7 FROM events) GROUP BY ALL""",
     "stream_ingest": f"""{_LOG}
 SELECT 'logs' AS destination, year || '-' || month || '-' || day AS day, action, 'REDACTED' AS cookie,
@@ -337,7 +354,7 @@ SELECT request_id, name, value FROM headers""",
 SELECT window_start, window_start + 300000 AS window_end, clientip, CAST(count(*) AS BIGINT) AS requests
 FROM placed GROUP BY ALL HAVING count(*) > 1""",
     "score_results": f"""{_RESULTS}
-SELECT run_ts, test_name, expected_status, actual_status, passed, blocked_by_waf, error,
+SELECT run_ts, test_name, description, expected_status, actual_status, passed, blocked_by_waf, error,
   CAST(count(*) AS BIGINT) AS results FROM scored GROUP BY ALL""",
     "run_summary": f"""{_RESULTS}
 SELECT url, run_ts, CAST(count(*) AS BIGINT) AS total_tests, CAST(count(*) FILTER (passed) AS BIGINT) AS passed_tests,
@@ -369,6 +386,9 @@ SELECT url, run_ts, CASE WHEN bool_or(NOT passed AND expected_status = 403) THEN
 SELECT s.url, s.run_ts AS timestamp, CAST(n AS BIGINT) AS total_tests, CAST(p AS BIGINT) AS passed_tests,
   test_name, CAST(count(*) AS BIGINT) AS results, CAST(count(*) FILTER (passed) AS BIGINT) AS passed
 FROM scored s JOIN sized z ON z.url = s.url AND z.run_ts = s.run_ts GROUP BY ALL""",
+    "suite_files": f"""{_RESULTS}
+SELECT url, test_name, description, passed, error, blocked_by_waf, CAST(count(*) AS BIGINT) AS results,
+  CAST(count(response_time) AS BIGINT) AS timed FROM scored GROUP BY ALL""",
     "indicator_validation": f"{_FEED} SELECT seq, name, ip, uri_pattern, valid, reason, cidr FROM validated",
     "merged_indicators": f"""{_FEED}, {_RULES}
 SELECT name, NULL::VARCHAR AS cidr, NULL::VARCHAR AS uri_pattern FROM rules
@@ -392,7 +412,7 @@ narrowest AS (
 SELECT clientip, prefix_length, CAST(count(*) AS BIGINT) AS requests FROM log JOIN narrowest USING (clientip)
 GROUP BY clientip, prefix_length""",
     "emergency_blocks": f"""{_LOG}, {_RULES}
-SELECT name, priority, action,
+SELECT name, priority, action, name AS metric_name,
   (SELECT CAST(count(*) AS BIGINT) FROM log WHERE log.terminatingruleid = rules.name) AS blocks
 FROM rules WHERE priority <= 100 AND name LIKE '%Emergency%'""",
     "acl_scope": f"""{_LOG}

@@ -71,6 +71,15 @@ def published(spark: SparkSession, root: str) -> list[Delivery]:
     return list({(d.stream, d.batch): d for d in reversed(found)}.values())
 
 
+def forget(spark: SparkSession, root: str, before: str) -> None:
+    """Remove what published deliveries that end before the hour ``before``, whose files are gone. Deliveries without
+    rows stay, as they tell a stream which batches it has delivered."""
+    system, folder = _manifests(spark, root)
+    for delivery in published(spark, root):
+        if delivery.last and delivery.last < before:
+            system.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, delivery.manifest), False)
+
+
 def within(deliveries: Iterable[Delivery], first: str | None, last: str | None) -> Iterator[Delivery]:
     """Those that cover an hour from ``first`` to ``last`` (yyyyMMddHH, both inclusive, None for open)."""
     for delivery in deliveries:

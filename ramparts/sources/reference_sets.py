@@ -66,11 +66,35 @@ CASES = [
 ]
 RATE_CASE = "rate_limit_test"
 
+# What each request case is about, in the order of the cases.
+DESCRIPTIONS = [
+    "Basic homepage access should be allowed",
+    "Products page should be accessible",
+    "Login page should be accessible",
+    "Legitimate product search should work",
+    "Juice Shop specific SQL injection should be blocked",
+    "Classic SQL injection UNION attack should be blocked",
+    "XSS script tag injection should be blocked",
+    "Path traversal attack should be blocked",
+    "Remote file inclusion attempt should be blocked",
+    "Command injection attempt should be blocked",
+    "High rate requests should eventually be blocked",
+    "Requests with suspicious user agents should be blocked",
+    "Requests with oversized headers should be blocked",
+    "SQL injection in POST body should be blocked",
+]
+# Fixed value: what stands behind the name in the metric of a managed rule set.
+MANAGED_METRIC = "Metric"
+
 
 def rule_list(spark: SparkSession, emergency: Sequence[str] = ("Emergency-IP-Block-1",)) -> DataFrame:
-    """Rules as (name, priority, action), with emergency rules at their own priority."""
-    rows = [*RULES, *((name, EMERGENCY_PRIORITY, "BLOCK") for name in emergency)]
-    return literal_table(spark, rows, "name string, priority int, action string")
+    """Rules as (name, priority, action, metric_name), with emergency rules at their own priority.
+
+    A rule's metric has its name; that of a managed set, which takes no action of its own, has a word behind it.
+    """
+    listed = [*RULES, *((name, EMERGENCY_PRIORITY, "BLOCK") for name in emergency)]
+    rows = [(name, at, action, name + MANAGED_METRIC * (action == "NONE")) for name, at, action in listed]
+    return literal_table(spark, rows, "name string, priority int, action string, metric_name string")
 
 
 def allowed_countries(spark: SparkSession, countries: Sequence[str] = COUNTRIES) -> DataFrame:
@@ -88,11 +112,11 @@ def uri_patterns(spark: SparkSession, patterns: Sequence[str]) -> DataFrame:
 def request_cases(spark: SparkSession) -> DataFrame:
     """The request cases, one row each; ``special`` marks the rate probe."""
     rows = [
-        (no, *case, "rate_limit" if case[0] == RATE_CASE else None)
+        (no, *case, "rate_limit" if case[0] == RATE_CASE else None, DESCRIPTIONS[no])
         for no, case in enumerate(CASES)
     ]
     schema = (
         "case_no int, test_name string, expected_status int, method string, uri string, args string, "
-        "header_name string, header_value string, body string, special string"
+        "header_name string, header_value string, body string, special string, description string"
     )
     return literal_table(spark, rows, schema)

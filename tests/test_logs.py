@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import shutil
 from datetime import date, datetime
 
 import pytest
@@ -20,8 +21,11 @@ from ramparts import (
     write_logs,
     write_retained,
 )
+from ramparts.sources.deliveries import published
 from ramparts.sources.logs import parse_lines, with_hour_partition
+from ramparts.sources.retention import expire, expired_folders
 from ramparts.sources.schema import CONTRACT, WIRE
+from ramparts.streaming.ingest import deliver
 
 MATCH = {"ruleId": "r1", "action": "COUNT", "ruleMatchDetails": []}
 DETAIL = {"conditionType": "XSS", "sensitivityLevel": "HIGH", "location": "URI", "matchedData": ["<", "script"]}
@@ -255,6 +259,30 @@ def test_columnar_copy_and_retention(spark, delivered, tmp_path, rows):
     assert read_compacted(spark, str(tmp_path / "kept")).count() == 4
 
 
+def test_expiry_touches_no_file_that_stays(spark, tmp_path, rows):
+    """Expired days go, whole months and years at once; a run cut short is made good by the next; the table follows."""
+    moments = ["2023-03-01 05", "2023-12-31 23", "2024-01-04 00", "2024-01-31 10", "2024-02-08 23", "2024-02-09 00", "2024-02-10 01"]
+    stamps = [int(datetime.strptime(m + " +0000", "%Y-%m-%d %H %z").timestamp() * 1000) for m in moments]
+    root = str(tmp_path / "log")
+    write_logs(log_rows(spark, *({"ts_ms": t, "action": "BLOCK"} for t in stamps)), root)
+    deliver(with_hour_partition(log_rows(spark, {"ts_ms": stamps[0], "action": "ALLOW"})), root, "s", 0)
+    register_log_table(spark, root, "expiring")
+    before = {str(p): p.stat().st_mtime_ns for p in (tmp_path / "log").rglob("*.gz")}
+    oldest = date(2024, 2, 9)
+    assert expired_folders(spark, root, oldest) == ["year=2023", "year=2024/month=01", "year=2024/month=02/day=08"]
+    shutil.rmtree(tmp_path / "log" / "year=2024" / "month=01")
+    assert expire(spark, root, datetime(2024, 2, 16, 12), 7, "expiring") == ["year=2023", "year=2024/month=02/day=08"]
+    after = {str(p): p.stat().st_mtime_ns for p in (tmp_path / "log").rglob("*.gz")}
+    assert len(after) == 2 and all(before[name] == at for name, at in after.items())
+    assert rows(read_logs(spark, root), "ts_ms") == [(stamps[5],), (stamps[6],)]
+    assert published(spark, root) == []
+    kept = {r[0] for r in spark.sql("SHOW PARTITIONS expiring").collect()}
+    assert kept >= {"year=2024/month=02/day=09/hour=00", "year=2024/month=02/day=10/hour=01"} and not any("2023" in p for p in kept)
+    assert expire(spark, root, datetime(2024, 2, 16, 12), 7, "expiring") == []
+    assert expire(spark, str(tmp_path / "none"), datetime(2024, 2, 16), 7) == []
+    spark.sql("DROP TABLE expiring")
+
+
 def test_retention_reads_only_partitions_it_keeps(spark, delivered, plan):
     text = plan(retain(read_logs(spark, delivered), date(2024, 4, 4)).select("action"))
     assert "> 2024" in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]

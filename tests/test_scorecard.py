@@ -124,6 +124,9 @@ def test_probe_responses_are_one_result(spark, rows):
         (403, 403, True)
     ]
     assert suite_documents(scored).select(F.size("tests")).first()[0] == 14
+    described = {r.test_name: r.description for r in scored.collect()}
+    assert described["rate_limit_test"] == "Rate limiting test - 3/53 requests blocked"
+    assert described["login_page"] == "Login page should be accessible"
 
     weak = score_results(table, results(spark, *single, *probe[:-1]))
     assert rows(run_severity(weak), "severity") == [(1,)]
@@ -137,6 +140,7 @@ def test_case_table(spark):
     table = request_cases(spark)
     assert table.count() == 14
     assert table.filter("special = 'rate_limit'").select("test_name").first()[0] == "rate_limit_test"
+    assert table.filter("test_name = 'xss_script_tag'").first().description == "XSS script tag injection should be blocked"
     assert table.filter("expected_status = 403").count() == 9
     assert table.filter("body IS NOT NULL").first().method == "POST"
     assert table.filter("length(header_value) = 8192").first().test_name == "large_header"
