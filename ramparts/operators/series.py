@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ramparts.functions.acl import acl_part
+
 PERIOD = "5 minutes"
 # How late a streamed event may come and still be counted.
 LATENESS = "10 minutes"
@@ -55,3 +57,42 @@ def blocked_by_rule(
         .agg(*[F.count_if(F.col("terminatingruleid") == rule).alias(rule) for rule in rules])
     )
     return _bounds(series, *[f"`{rule}`" for rule in rules])
+
+
+def period_counts(logs: DataFrame, period: str = "1 hour") -> DataFrame:
+    """(period_start, acl_name, ruleid, allowed_requests, blocked_requests): what longer series are added up from.
+
+    One aggregate over the log. Rows of one key can be added, so series per web ACL, per rule and in total, of any
+    longer period, come from these rows and never from the log again.
+    """
+    named = timed(logs).withColumn("acl_name", acl_part(F.col("webaclid"), 2))
+    counts = named.groupBy(F.window("ts", period).alias("w"), "acl_name", F.col("terminatingruleid").alias("ruleid"))
+    counted = counts.agg(
+        F.count_if(F.col("action") == "ALLOW").alias("allowed_requests"),
+        F.count_if(F.col("action") == "BLOCK").alias("blocked_requests"),
+    )
+    return counted.select(F.col("w.start").alias("period_start"), "acl_name", "ruleid", "allowed_requests", "blocked_requests")
+
+
+def write_period_counts(counts: DataFrame, path: str) -> None:
+    """Keep the counts by day. Counts of a day replace those that stand there, so a day that got late deliveries is
+    counted again by itself, and a run that was cut short is repeated."""
+    dated = counts.withColumn("day", F.date_format("period_start", "yyyy-MM-dd"))
+    writer = dated.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day").parquet(path)
+
+
+def acl_series(counts: DataFrame, period: str = "1 day") -> DataFrame:
+    """Series per web ACL and rule, per web ACL, per rule and in total, from one pass over ``period_counts``.
+
+    ``all_acls`` and ``all_rules`` tell rows that add up over these from rows whose web ACL or rule is unknown (NULL).
+    """
+    rows = counts.select(F.window("period_start", period).alias("window"), *[c for c in counts.columns if c != "period_start"])
+    sets = [["window", "acl_name", "ruleid"], ["window", "acl_name"], ["window", "ruleid"], ["window"]]
+    summed = rows.groupingSets(sets, "window", "acl_name", "ruleid").agg(
+        (F.grouping("acl_name") == 1).alias("all_acls"),
+        (F.grouping("ruleid") == 1).alias("all_rules"),
+        F.sum("allowed_requests").alias("allowed_requests"),
+        F.sum("blocked_requests").alias("blocked_requests"),
+    )
+    return _bounds(summed, "acl_name", "ruleid", "all_acls", "all_rules", "allowed_requests", "blocked_requests")

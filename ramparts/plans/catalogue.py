@@ -314,6 +314,15 @@ def blocked_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_ms(series.blocked_by_rule(_logs(spark, sf_dir)))
 
 
+@registered
+def acl_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily series per web ACL and rule with their totals, from hourly counts that are stored and read back."""
+    path = scratch_path(spark, "hourly")
+    counts = series.period_counts(_logs(spark, sf_dir))
+    series.write_period_counts(counts, path)
+    return _in_ms(series.acl_series(spark.read.schema(counts.schema).parquet(path)))
+
+
 @registered
 def stream_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The traffic series as a stream, windows that are open when the input ends included."""

@@ -345,6 +345,15 @@ SELECT rulegroupid, ruleid, CASE WHEN ruleid = 'SizeRestrictions_BODY' THEN 'COU
 SELECT request_id, name, value FROM headers""",
     "traffic_overview": _overview("true"),
     "blocked_by_rule": _by_rule("true"),
+    "acl_series": f"""{_LOG}, named AS (
+  SELECT *, ts_ms - ts_ms % 86400000 AS window_start, terminatingruleid AS ruleid,
+    CASE WHEN k % 5 <> 1 THEN 'app-' || CAST(user_id % 4 AS VARCHAR) END AS acl_name
+  FROM log
+)
+SELECT window_start, window_start + 86400000 AS window_end, acl_name, ruleid, grouping(acl_name) = 1 AS all_acls,
+  grouping(ruleid) = 1 AS all_rules, CAST(count(*) FILTER (action = 'ALLOW') AS BIGINT) AS allowed_requests,
+  CAST(count(*) FILTER (action = 'BLOCK') AS BIGINT) AS blocked_requests
+FROM named GROUP BY GROUPING SETS ((window_start, acl_name, ruleid), (window_start, acl_name), (window_start, ruleid), (window_start))""",
     "stream_overview": _overview("true"),
     "stream_blocked_by_rule": _by_rule("true"),
     "stream_rate_breaches": f"""{_LOG}, placed AS (

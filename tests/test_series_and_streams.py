@@ -19,6 +19,7 @@ from ramparts import (
     traffic_overview,
     write_logs,
 )
+from ramparts.operators.series import acl_series, period_counts, write_period_counts
 from ramparts.sources.deliveries import Delivery, abandoned_files, publish, published, within
 from ramparts.sources.derived import events_stream
 from ramparts.sources.logs import to_lines, with_hour_partition
@@ -52,6 +53,33 @@ def test_overview(spark, rows):
     assert in_ms(rows, series, "allowed_requests", "blocked_requests") == [(0, 1, 1), (FIVE, 0, 1), (9 * FIVE, 0, 1)]
 
 
+def test_series_per_web_acl(spark, rows, tmp_path):
+    """Stored hours add up to days, with totals apart from unknown names; a day counted again replaces itself."""
+    day, hour = 86_400_000, 3_600_000
+    arn = "arn:aws:wafv2:r:1:regional/webacl/{}/i"
+    asked = [(0, "ALLOW", "d", arn.format("a")), (hour, "ALLOW", "d", arn.format("a")), (2 * hour, "BLOCK", "r", arn.format("b")),
+             (3 * hour, "BLOCK", None, "short"), (day, "BLOCK", "r", arn.format("a"))]
+    logs = log_rows(spark, *({"ts_ms": t, "action": a, "terminatingruleid": r, "webaclid": w} for t, a, r, w in asked))
+    path = str(tmp_path / "hours")
+    write_period_counts(period_counts(logs), path)
+    write_period_counts(period_counts(logs.filter(f"ts_ms >= {day}")), path)
+    counts = spark.read.parquet(path).drop("day")
+    assert counts.count() == 5
+    found = acl_series(counts)
+    columns = ["acl_name", "ruleid", "all_acls", "all_rules", "allowed_requests", "blocked_requests"]
+    first = found.filter(F.unix_millis("window_start") == 0)
+    assert rows(first, *columns) == sorted(
+        [
+            ("a", "d", False, False, 2, 0), ("b", "r", False, False, 0, 1), (None, None, False, False, 0, 1),
+            ("a", None, False, True, 2, 0), ("b", None, False, True, 0, 1), (None, None, False, True, 0, 1),
+            (None, "d", True, False, 2, 0), (None, "r", True, False, 0, 1), (None, None, True, False, 0, 1),
+            (None, None, True, True, 2, 2),
+        ],
+        key=repr,
+    )
+    assert found.count() == 14
+
+
 def test_by_rule(spark, rows):
     series = blocked_by_rule(log(spark, *ENTRIES))
     assert series.columns[2:] == [
