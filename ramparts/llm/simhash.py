@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from xxhash import xxh64_intdigest
 
 from ramparts.llm.components import components
@@ -178,7 +178,25 @@ def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text")
     tagged = Kept(with_fingerprints(docs, text, name), "fingerprints").rows
     groups = print_groups(tagged, name).withColumnRenamed("root", free_name(tagged.columns, "root"))
     root = F.coalesce(F.col(f"`{groups.columns[1]}`"), F.col(f"`{name}`"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    order = F.struct(F.col(f"`{key}`").isNull(), F.col(f"`{key}`"), F.col(f"`{text}`"))
-    first = tagged.join(groups, name, "left").groupBy(root.alias("r")).agg(F.min_by(row, order).alias("row"))
-    return first.select("row.*")
+    # One struct is what rows are ordered by and what is kept, so that a text is held and shuffled once. Columns that
+    # have no order are carried beside it.
+    others = [c for c in docs.columns if c not in (key, text)]
+    first, beside = [key, text], []
+    for c in others:
+        (first if _has_order(docs.schema[c].dataType) else beside).append(c)
+    order = F.struct(F.col(f"`{key}`").isNull().alias("unnamed"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(first)])
+    if beside:
+        kept = F.min_by(F.struct(order.alias("first"), F.struct(*[F.col(f"`{c}`") for c in beside]).alias("beside")), order)
+    else:
+        kept = F.struct(F.min(order).alias("first"))
+    rows = tagged.join(groups, name, "left").groupBy(root.alias("r")).agg(kept.alias("row"))
+    place = {c: f"row.first.c{i}" for i, c in enumerate(first)} | {c: f"row.beside.`{c}`" for c in beside}
+    return rows.select(*[F.col(place[c]).alias(c) for c in docs.columns])
+
+
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))

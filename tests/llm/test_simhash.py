@@ -50,6 +50,14 @@ def test_one_document_of_each_group_stays(spark):
     )
 
 
+def test_columns_without_an_order_are_kept(spark):
+    docs = spark.createDataFrame([(2, "a b c", {"x": 1}, [1]), (1, "a b c", {"y": 2}, [2]), (3, "q", None, None)],
+                                 "doc_id long, text string, tags map<string,int>, `my list` array<int>")
+    kept = one_of_each_group(docs)
+    assert kept.schema.simpleString() == docs.schema.simpleString()
+    assert sorted((r.doc_id, r.tags, r["my list"]) for r in kept.collect()) == [(1, {"y": 2}, [2]), (3, None, None)]
+
+
 @pytest.mark.parametrize("size", [1, 2, 40, 1500])
 def test_tree_finds_all_near_prints(size):
     draw = np.random.default_rng(size)
