@@ -11,12 +11,13 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ramparts.llm.shared import Kept, free_name, map_batches, map_in_arrow
+from ramparts.llm.shared import KEPT_BY_WORKER, Kept, free_name, map_batches, map_in_arrow
 
 SENTENCE, WORD = re.compile(r"[^.!?…。！？\n]+"), re.compile(r"\w+")
 # A word counts as itself and by its first letters, so that inflected forms share what they have in common.
@@ -26,7 +27,7 @@ BITS = 18
 # A word is a feature if documents with and without it differ by this many standard errors in their labels.
 LEAST_DOCS, LEAST_ERRORS = 5, 4.0
 ROUNDS, RIDGE, START, STEEPEST = 30, 1.0, -5.0, 15.0
-WORDS_HELD = 1 << 20
+WORDS_HELD = 1 << 19
 # Labels are sent to where the texts are while there are no more than these; beyond that, texts are shuffled, once.
 SENT_LABELS = 1_000_000
 
@@ -55,12 +56,22 @@ class Features(dict):
         return made
 
 
+@lru_cache(maxsize=1)
+def features_among(wanted: frozenset[int]) -> Features:
+    """One for each worker, which keeps its words from task to task."""
+    return Features(wanted)
+
+
+KEPT_BY_WORKER[__name__] = features_among.cache_clear
+
+
 def sentences(text: str, features: Features) -> Iterator[tuple[int, int, set[int]]]:
     """(start, end, features) of each sentence that has a word."""
+    made = features.__getitem__
     for match in SENTENCE.finditer(text):
         words = WORD.findall(match[0].lower())
         if words:
-            yield match.start(), match.end(), {f for w in words if (made := features[w]) for f in made}
+            yield match.start(), match.end(), set().union(*filter(None, map(made, words)))
 
 
 def sentence_odds(model: Model, found: set[int]) -> float:
@@ -105,7 +116,7 @@ def _instances(rows: DataFrame, wanted: list[int]) -> DataFrame:
     """(label, bare, sizes, features) of each document: its sentences' features among ``wanted``; ``bare`` have none."""
 
     def made(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        features, bare, sizes, listed = Features(frozenset(wanted)), [], [], []
+        features, bare, sizes, listed = features_among(frozenset(wanted)), [], [], []
         for text in batch.column("text"):
             found = [f for _, _, f in sentences(text.as_py() or "", features)] or [set()]
             full = [f for f in found if f]
@@ -224,7 +235,7 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", threshold: fl
         schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(frozenset(model.weights))
+        features = features_among(frozenset(model.weights))
         for batch in batches:
             made = [scored(value.as_py() or "", model, features, threshold) for value in batch.column(text)]
             parts = zip(*made) if made else ([] for _ in SCORES)
@@ -252,7 +263,7 @@ def offending_sentences(docs: DataFrame, model: Model, key: str = "doc_id", text
     schema = T.StructType([docs.schema[key]]).add("start", "long").add("sentence", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(frozenset(model.weights))
+        features = features_among(frozenset(model.weights))
         for batch in batches:
             rows, kept = [], []
             for at, value in enumerate(batch.column(text)):
