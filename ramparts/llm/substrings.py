@@ -1,12 +1,12 @@
-"""Repeated passages: documents are factored against an index of all documents' 35-word windows.
+"""Repeated passages, found in an index of all documents' 35-word windows.
 
-The index is dealt into reference blocks by content, so that a window meets all its occurrences in one place, and each
-document is factored against every block that can hold one of its windows. In a first round a window is filed under
+This is no Lempel-Ziv parse: nothing is matched greedily against reference blocks. The index is dealt by content, so
+that a window meets all its occurrences in one place. In a first round a window is filed under
 its minimizer, the smallest hash of its 8-word runs. Neighbouring windows with one minimizer make a passage. A
 minimizer with one passage has nothing repeated; if all its passages have the same windows, all of these are repeated;
-only where passages differ are the windows themselves counted, in a second round. A document's repeated windows, in
-order, are its factors: each starts where none is open and runs on while the next window, which straddles the factor's
-end by one word, is in the index too.
+only where passages differ are the windows themselves counted, in a second round. A document's repeated
+windows, in order, make its passages: each starts where none is open and runs on while the next window, which reaches one word
+beyond it, is in the index too.
 """
 
 from __future__ import annotations
