@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-SHAPE, RANGE_SHAPE = r"\A\d{1,3}(\.\d{1,3}){3}\z", r"\A\d{1,3}(\.\d{1,3}){3}(/\d{1,2})?\z"
+SHAPE, RANGE_SHAPE = r"\A\d{1,3}(\.\d{1,3}){3}\z", r"\A\d{1,3}(\.\d{1,3}){3}(/(0|[1-9]\d?))?\z"
 
 
 def ipv4_number(address: Column) -> Column:
@@ -19,7 +19,7 @@ def ipv4_number(address: Column) -> Column:
 
 
 def is_ipv4_range(text: Column) -> Column:
-    """True for ``a.b.c.d`` and ``a.b.c.d/0`` to ``/32``; a trailing newline is not accepted."""
+    """True for ``a.b.c.d`` and ``a.b.c.d/0`` to ``/32``; a trailing newline is not accepted, nor is a prefix with a leading zero."""
     prefix = F.substring_index(text, "/", -1).try_cast("int")
     fits = F.when(text.contains("/"), prefix <= 32).otherwise(F.lit(True))
     number = ipv4_number(F.substring_index(text, "/", 1))

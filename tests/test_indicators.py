@@ -14,6 +14,8 @@ FEED = "name string, ip string, uri_pattern string"
         ("10.0.0.0/8", "", None, "10.0.0.0/8"),
         ("256.1.1.1", None, "invalid range", None),
         ("1.2.3.4/33", None, "invalid range", None),
+        ("1.2.3.4/05", None, "invalid range", None),
+        ("1.2.3.0/0", None, None, "1.2.3.0/0"),
         ("1.2.3.4\n", None, "invalid range", None),
         ("::1", None, "invalid range", None),
         ("0.0.0.0/0", None, "protected range", None),
