@@ -56,26 +56,47 @@ class Features(dict):
         return made
 
 
+class Pieces(dict):
+    """Features of what stands between blanks, in front of those of its words; None for a piece without a word. Words
+    reach across no blank, so the features of a text are those of its pieces."""
+
+    def __init__(self, features: Features):
+        super().__init__()
+        self.features = features
+
+    def __missing__(self, piece: str) -> tuple[int, ...] | None:
+        if len(self) >= WORDS_HELD:
+            self.clear()
+        words = WORD.findall(piece.lower())
+        if len(words) == 1:
+            made = self.features[words[0]]
+        else:
+            made = tuple(sorted({f for word in words for f in self.features[word]})) if words else None
+        self[piece] = made
+        return made
+
+
 @lru_cache(maxsize=1)
-def features_among(wanted: frozenset[int]) -> Features:
+def pieces_among(wanted: frozenset[int]) -> Pieces:
     """One for each worker, which keeps its words from task to task."""
-    return Features(wanted)
+    return Pieces(Features(wanted))
 
 
-KEPT_BY_WORKER[__name__] = features_among.cache_clear
+KEPT_BY_WORKER[__name__] = pieces_among.cache_clear
 
 
-def sentences(text: str, features: Features) -> Iterator[tuple[int, int, set[int]]]:
+def sentences(text: str, pieces: Pieces) -> Iterator[tuple[int, int, set[int]]]:
     """(start, end, features) of each sentence that has a word."""
-    made = features.__getitem__
+    made = pieces.__getitem__
     for match in SENTENCE.finditer(text):
-        words = WORD.findall(match[0].lower())
-        if words:
-            yield match.start(), match.end(), set().union(*filter(None, map(made, words)))
+        found = set(map(made, match[0].split()))
+        found.discard(None)
+        if found:
+            yield match.start(), match.end(), set().union(*found)
 
 
 def sentence_odds(model: Model, found: set[int]) -> float:
-    return model.bias + sum(model.weights[f] for f in sorted(found))
+    return model.bias + sum(model.weights[f] for f in sorted(found)) if found else model.bias
 
 
 def noisy_or(odds: np.ndarray) -> float:
@@ -116,9 +137,9 @@ def _instances(rows: DataFrame, wanted: list[int]) -> DataFrame:
     """(label, bare, sizes, features) of each document: its sentences' features among ``wanted``; ``bare`` have none."""
 
     def made(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        features, bare, sizes, listed = features_among(frozenset(wanted)), [], [], []
+        pieces, bare, sizes, listed = pieces_among(frozenset(wanted)), [], [], []
         for text in batch.column("text"):
-            found = [f for _, _, f in sentences(text.as_py() or "", features)] or [set()]
+            found = [f for _, _, f in sentences(text.as_py() or "", pieces)] or [set()]
             full = [f for f in found if f]
             bare.append(len(found) - len(full))
             sizes.append([len(f) for f in full])
@@ -235,9 +256,9 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", threshold: fl
         schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = features_among(frozenset(model.weights))
+        pieces = pieces_among(frozenset(model.weights))
         for batch in batches:
-            made = [scored(value.as_py() or "", model, features, threshold) for value in batch.column(text)]
+            made = [scored(value.as_py() or "", model, pieces, threshold) for value in batch.column(text)]
             parts = zip(*made) if made else ([] for _ in SCORES)
             more = [pa.array(p, pa.float64() if kind == "double" else pa.int64()) for p, (_, kind) in zip(parts, SCORES)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=schema.names)
@@ -245,9 +266,9 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", threshold: fl
     return map_in_arrow(docs, run, schema)
 
 
-def scored(text: str, model: Model, features: Features, threshold: float = 0.5) -> tuple:
+def scored(text: str, model: Model, pieces: Pieces, threshold: float = 0.5) -> tuple:
     """A row of ``SCORES``. Scores have nine decimals, as sums of floating-point numbers depend on their order."""
-    found = [(start, end, sentence_odds(model, f)) for start, end, f in sentences(text, features)]
+    found = [(start, end, sentence_odds(model, f)) for start, end, f in sentences(text, pieces)]
     if not found:
         return round(noisy_or(np.array([model.bias])), 9), 0, 0, None, None, None
     odds = np.array([o for _, _, o in found])
@@ -263,12 +284,12 @@ def offending_sentences(docs: DataFrame, model: Model, key: str = "doc_id", text
     schema = T.StructType([docs.schema[key]]).add("start", "long").add("sentence", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = features_among(frozenset(model.weights))
+        pieces = pieces_among(frozenset(model.weights))
         for batch in batches:
             rows, kept = [], []
             for at, value in enumerate(batch.column(text)):
                 whole = value.as_py() or ""
-                for start, end, f in sentences(whole, features):
+                for start, end, f in sentences(whole, pieces):
                     chance = float(1 / (1 + np.exp(-sentence_odds(model, f))))
                     if chance >= threshold:
                         rows.append(at)

@@ -6,7 +6,7 @@ import pytest
 
 from ramparts.llm import toxicity
 from ramparts.llm.shared import table
-from ramparts.llm.toxicity import Features, Model, fitted, labelled, offending_sentences, scored, slopes, with_scores
+from ramparts.llm.toxicity import Features, Model, Pieces, fitted, labelled, offending_sentences, scored, slopes, with_scores
 
 NASTY = "grimwort slagbeard fouljaw".split()
 
@@ -78,12 +78,21 @@ def test_slopes_are_those_of_the_loss():
 
 def test_noisy_or_of_sentences():
     weights = {f: 2.0 for f in Features()["bad"]}
-    features, model = Features(frozenset(weights)), Model(weights, -3.0)
+    pieces, model = Pieces(Features(frozenset(weights))), Model(weights, -3.0)
     p, q = 1 / (1 + np.exp(3 - 2)), 1 / (1 + np.exp(3))
-    row = scored("Fine here. Bad, bad! \nfine", model, features)
+    row = scored("Fine here. Bad, bad! \nfine", model, pieces)
     assert row == (pytest.approx(1 - (1 - p) * (1 - q) ** 2, abs=1e-8), 3, 0, 10, 9, pytest.approx(p, abs=1e-8))
     for text in ("", " \n", "?!"):
-        assert scored(text, model, features) == (pytest.approx(q, abs=1e-8), 0, 0, None, None, None)
+        assert scored(text, model, pieces) == (pytest.approx(q, abs=1e-8), 0, 0, None, None, None)
+
+
+def test_pieces_have_the_features_of_their_words():
+    text = "ΑΣ ΣΑΣ, ΣΣ'ς İstanbul x\x1cy\x85z _a_ don't-stop -- e\u0301a\u3000b foulmouthed. Bad bad\n!? ab.cd"
+    words, pieces = Features(), Pieces(Features())
+    plain = [toxicity.WORD.findall(s[0].lower()) for s in toxicity.SENTENCE.finditer(text)]
+    expected = [{f for word in found for f in words[word]} for found in plain if found]
+    assert [f for _, _, f in toxicity.sentences(text, pieces)] == expected
+    assert pieces["--"] is None and len(expected) == 4
 
 
 def test_rows_of_every_kind(spark, trained):
