@@ -11,6 +11,13 @@ from ramparts.operators.detection import (
 from ramparts.operators.governance import filter_logged, redact
 from ramparts.operators.indicators import acl_scope, merge_indicators, validate_indicators
 from ramparts.operators.kpi import attack_label, core_metrics, kpi_report, top_attack_vectors
+from ramparts.operators.kpi_states import (
+    hourly_states,
+    kpi_report_from_states,
+    read_hourly_states,
+    refresh_hourly_states,
+    write_hourly_states,
+)
 from ramparts.operators.lists import geo_blocked, ip_set_hits, uri_pattern_hits
 from ramparts.operators.nested import (
     count_matches_by_rule,
@@ -60,9 +67,11 @@ __all__ = [
     "filter_logged",
     "geo_blocked",
     "header_value",
+    "hourly_states",
     "ingest",
     "ip_set_hits",
     "kpi_report",
+    "kpi_report_from_states",
     "label_counts",
     "matched_data",
     "merge_indicators",
@@ -72,8 +81,10 @@ __all__ = [
     "rate_probe",
     "rate_rules",
     "read_compacted",
+    "read_hourly_states",
     "read_logs",
     "redact",
+    "refresh_hourly_states",
     "register_log_table",
     "register_logs",
     "retain",
@@ -90,6 +101,7 @@ __all__ = [
     "traffic_overview",
     "uri_pattern_hits",
     "validate_indicators",
+    "write_hourly_states",
     "write_logs",
     "write_retained",
     "write_suites",

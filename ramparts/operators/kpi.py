@@ -42,6 +42,7 @@ def _is(action: str) -> Column:
 
 # How long after its event a record may be delivered.
 DELIVERY_DELAY_HOURS = 24
+EPOCH = datetime(1970, 1, 1)
 
 
 def trailing(
@@ -67,27 +68,40 @@ def trailing(
         return logs.filter(near & second.between(start, as_of))
     if as_of.tzinfo is not None:
         as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
+    return between(logs, *bounds_ms(as_of, hours), delay_hours)
+
+
+def bounds_ms(as_of: datetime, hours: int) -> tuple[int, int]:
+    """First millisecond of [as_of - hours, as_of] at whole seconds, and the one after its last. UTC."""
     start = as_of - timedelta(hours=hours)
-    low, high = (int((moment - datetime(1970, 1, 1)) / timedelta(microseconds=1)) for moment in (start, as_of))
+    low, high = (int((moment - EPOCH) / timedelta(microseconds=1)) for moment in (start, as_of))
     # second >= low and second <= high, both in microseconds, said of the raw column
-    first_ms = -(-low // 1_000_000) * 1000
-    end_ms = (high // 1_000_000 + 1) * 1000
+    return -(-low // 1_000_000) * 1000, (high // 1_000_000 + 1) * 1000
+
+
+def delivered_on(first_ms: int, end_ms: int, delay_hours: int) -> Column:
+    """Whether a folder's day can hold events of these milliseconds, as comparisons that prune."""
+    first = (EPOCH + timedelta(milliseconds=first_ms)).date()
+    last = (EPOCH + timedelta(milliseconds=end_ms - 1, hours=delay_hours)).date()
+    on_days = F.lit(False)
+    for n in range((last - first).days + 1):
+        day = first + timedelta(n)
+        on_days = on_days | (
+            (F.col("year") == day.strftime("%Y"))
+            & (F.col("month") == day.strftime("%m"))
+            & (F.col("day") == day.strftime("%d"))
+        )
+    return on_days
+
+
+def between(logs: DataFrame, first_ms: int, end_ms: int, delay_hours: int = DELIVERY_DELAY_HOURS) -> DataFrame:
+    """Rows of first_ms <= ts_ms < end_ms, delivered up to ``delay_hours`` later."""
     kept = logs.filter((F.col("ts_ms") >= first_ms) & (F.col("ts_ms") < end_ms))
-    if partitioned:
-        days = ((as_of + timedelta(hours=delay_hours)).date() - start.date()).days
-        on_days = F.lit(False)
-        for n in range(days + 1):
-            day = start.date() + timedelta(n)
-            on_days = on_days | (
-                (F.col("year") == day.strftime("%Y"))
-                & (F.col("month") == day.strftime("%m"))
-                & (F.col("day") == day.strftime("%d"))
-            )
-        kept = kept.filter(on_days)
-    return kept
-
-
-def _per_action_and_rule(logs: DataFrame) -> DataFrame:
+    partitioned = {"year", "month", "day"} <= set(logs.columns)
+    return kept.filter(delivered_on(first_ms, end_ms, delay_hours)) if partitioned else kept
+
+
+def per_action_and_rule(logs: DataFrame) -> DataFrame:
     """The one pass over the log. Its small shuffle is reused by every branch of the report."""
     return logs.groupBy("action", "terminatingruleid").agg(F.count(F.lit(1)).alias("n"))
 
@@ -123,12 +137,16 @@ def core_metrics(logs: DataFrame, as_of: datetime | Column, hours: int = 24) ->
 def top_attack_vectors(logs: DataFrame, as_of: datetime | Column, hours: int = 24, top: int = 5) -> DataFrame:
     """Rules with the most blocks. Grouped by rule id, so two ids with one label stay two rows."""
     blocked = trailing(logs, as_of, hours).filter(_is("BLOCK"))
-    return _vectors(_per_action_and_rule(blocked), top)
+    return _vectors(per_action_and_rule(blocked), top)
 
 
 def kpi_report(logs: DataFrame, as_of: datetime | Column, hours: int = 24, top: int = 5) -> DataFrame:
     """Core row first, then the top rules by block count."""
-    counts = _per_action_and_rule(trailing(logs, as_of, hours))
+    return report_of(per_action_and_rule(trailing(logs, as_of, hours)), top)
+
+
+def report_of(counts: DataFrame, top: int) -> DataFrame:
+    """The report out of counts ``n`` by action and terminating rule."""
     zero = F.lit(0).cast("bigint")
     core = _core(counts).select(
         F.lit(CORE).alias("metric_type"),

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ramparts.operators import decision, detection, governance, indicators, kpi, lists, nested, rate, scorecard, series
+from ramparts.operators import decision, detection, governance, indicators, kpi, kpi_states, lists, nested, rate, scorecard, series
 from ramparts.operators.requests import as_requests, header_value
 from ramparts.session import scratch_path
 from ramparts.sources import derived, reference_sets
@@ -192,6 +192,21 @@ def kpi_by_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.kpi_report(with_hour_partition(logs, delivered), as_of)
 
 
+@registered
+def kpi_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from stored counts per delivered hour of the whole log; the last half day is counted a second time, as
+    after late deliveries. Only the ends of the period are read from the log."""
+    rows = derived.events(spark, sf_dir)
+    as_of, path = _latest(rows), scratch_path(spark, "kpi-states")
+    delivered = F.timestamp_millis(F.col("ts_ms") + F.pmod("ts_ms", F.lit(90)) * 60_000)
+    logs = with_hour_partition(governance.filter_logged(derived.decision_log(rows)), delivered)
+    counted = kpi_states.hourly_states(logs)
+    kpi_states.write_hourly_states(counted, path)
+    half = (as_of - timedelta(hours=12)).strftime("%Y-%m-%d-%H")
+    kpi_states.write_hourly_states(counted.filter(F.concat_ws("-", *PARTITIONS) >= half), path)
+    return kpi_states.kpi_report_from_states(kpi_states.read_hourly_states(spark, path), logs, as_of)
+
+
 @registered
 def core_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.core_metrics(*_trailing_day(spark, sf_dir))

@@ -472,3 +472,4 @@ WHERE country IS NOT NULL GROUP BY ALL""",
 
 # Folders by delivery change nothing in the report.
 STATEMENTS["kpi_by_delivery"] = STATEMENTS["kpi_report"]
+STATEMENTS["kpi_from_states"] = STATEMENTS["kpi_report"]
