@@ -18,6 +18,8 @@ from ramparts.llm.shared import KEPT_BY_WORKER, free_name, map_batches
 
 # Limits of what a worker keeps between texts; beyond them a table starts anew, which changes no result.
 MOST_STATES, MOST_PAIRS, MOST_CHUNKS, LONGEST_CHUNK = 200_000, 1_000_000, 250_000, 64
+# Where ids are added to whole rows: documents whose ids are held at once, and chunks kept, as rows need memory too.
+ROWS_AT_ONCE, CHUNKS_BESIDE_ROWS = 500, 125_000
 SETTLED_AFTER = 4096
 DECODED_AT_ONCE = 8192
 
@@ -207,9 +209,9 @@ class Chunks(dict):
     """Token ids of text chunks, with their decimal form: a bounded table in front of the transducer. When it is full
     it becomes the older one, from which chunks still in use come back."""
 
-    def __init__(self, encoder: Encoder, blank: str):
+    def __init__(self, encoder: Encoder, blank: str, most: int):
         super().__init__()
-        self.encoder, self.blank, self.older = encoder, blank, {}
+        self.encoder, self.blank, self.most, self.older = encoder, blank, most, {}
 
     def __missing__(self, chunk: str) -> tuple[str, tuple[int, ...]]:
         found = self.older.get(chunk)
@@ -219,7 +221,7 @@ class Chunks(dict):
                 ids += self.encoder.encode_piece(piece.encode())
             found = " ".join(map(str, ids)), tuple(ids)
         if len(chunk) <= LONGEST_CHUNK:
-            if len(self) >= MOST_CHUNKS:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[chunk] = found
@@ -229,14 +231,15 @@ class Chunks(dict):
 class Encoder:
     """Texts to token ids: the pattern's matches are encoded one by one, without special tokens."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, chunks: int = 0):
+        chunks = chunks or MOST_CHUNKS
         self.transducer = Transducer(ranks)
         self.matches = regex.compile(pattern).findall
         self.careful = None
         self.pattern = pattern
         self.unknown = re.compile(f"[{UNKNOWN_LETTERS}]").search
         self.unclean = re.compile(r"\s |\s$| \s|^\s").search
-        self.first, self.later = Chunks(self, ""), Chunks(self, " ")
+        self.first, self.later = Chunks(self, "", chunks), Chunks(self, " ", chunks)
 
     def pieces(self, text: str) -> list[str]:
         if not self.unknown(text):
@@ -309,9 +312,9 @@ def decoded(tokens: dict[int, bytes], ids: Iterable[int]) -> Iterator[str]:
 
 
 @lru_cache(maxsize=2)
-def encoder_of(path: str, pattern: str) -> Encoder:
-    """One for each worker, vocabulary and pattern."""
-    return Encoder(read_ranks(path), pattern)
+def encoder_of(path: str, pattern: str, chunks: int = 0) -> Encoder:
+    """One for each worker, vocabulary, pattern and number of chunks kept (0: ``MOST_CHUNKS``)."""
+    return Encoder(read_ranks(path), pattern, chunks)
 
 
 def _let_go() -> None:
@@ -331,7 +334,11 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Dat
         schema = schema.add(name, kind)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path, pattern)
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield part(batch.slice(at, ROWS_AT_ONCE))
+
+    def part(batch: pa.RecordBatch) -> pa.RecordBatch:
+        encoder = encoder_of(path, pattern, CHUNKS_BESIDE_ROWS)
         tokens = encoder.transducer.bytes
         ids, back = [], []
         for value in batch.column(text):
@@ -343,7 +350,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Dat
         values = pa.array(np.concatenate([np.empty(0, np.int32), *ids]))
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths).astype(np.int32)), values)
         columns = [*batch.columns, lists, pa.array(lengths[1:]), pa.array(back, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return map_batches(docs, run, schema)
 
