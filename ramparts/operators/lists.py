@@ -17,13 +17,15 @@ BIN_BITS = 16
 def range_set(cidrs: DataFrame, *keep: str) -> DataFrame:
     """The valid IPv4 ranges among ``cidr`` as (number, prefix_length) of their first address, beside the columns to keep.
 
-    A bare address counts as /32. Unpacked from an array of one, the parsed range counts as a stored value, so that no
-    later filter parses it again.
+    A bare address counts as /32. Unpacked from an array of one, first the text found valid and then the parsed range count
+    as stored values, so that no later expression judges or parses it again. Written into one expression, the judgement
+    stood in it at each mention of the text, in a method too long for the JVM to compile.
     """
     text = F.when(is_ipv4_range(F.col("cidr")), to_range(F.col("cidr")))
-    length = F.substring_index(text, "/", -1).cast("int")
-    parsed = F.struct(ipv4_number(F.substring_index(text, "/", 1)).alias("number"), length.alias("prefix_length"))
-    ranges = cidrs.select(*keep, F.inline(F.array(parsed))).filter(F.col("prefix_length").isNotNull())
+    valid = cidrs.select(*keep, F.explode(F.array(text)).alias("_range")).filter(F.col("_range").isNotNull())
+    length = F.substring_index("_range", "/", -1).cast("int")
+    parsed = F.struct(ipv4_number(F.substring_index("_range", "/", 1)).alias("number"), length.alias("prefix_length"))
+    ranges = valid.select(*keep, F.inline(F.array(parsed)))
     free = F.lit(32) - F.col("prefix_length")
     first = F.call_function("shiftleft", F.call_function("shiftright", F.col("number"), free), free)
     return ranges.withColumn("number", first)

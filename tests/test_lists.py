@@ -99,3 +99,10 @@ def test_long_list_has_no_cross_join(spark, plan):
 
 def test_no_patterns(spark, rows):
     assert rows(uri_pattern_hits(requests(spark, {"uri": "/a"}), uri_patterns(spark, ["", None]))) == []
+
+
+def test_a_range_is_judged_once(spark, plan):
+    """However often the parsed range mentions its text, the judgement of the text stands in the plan a few times only."""
+    ranges = range_set(spark.createDataFrame([("10.0.0.9/24",), ("10.0.0.300",), (None,)], "cidr string"))
+    assert [tuple(r) for r in ranges.collect()] == [(10 << 24, 24)]
+    assert plan(ranges).upper().count("RLIKE(") < 50
