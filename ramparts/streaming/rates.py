@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -21,7 +23,7 @@ RATES = "clientip string, ts_ms bigint, window_count bigint"
 
 @contextmanager
 def rocksdb(spark: SparkSession):
-    """Streams started within keep their state in RocksDB, which state by map and timer needs."""
+    """Streams started within keep their state in RocksDB, which state with timers needs."""
     before = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, ROCKSDB)
     try:
@@ -50,8 +52,10 @@ class RateRing(StatefulProcessor):
     """The requests of one client by millisecond, as far back as a window that can still change.
 
     State is a count for each millisecond with a request, so no more than the window and the lateness have
-    milliseconds, however many requests come. What the watermark has left behind by a whole window goes when the client is
-    next seen, or by a timer.
+    milliseconds, however many requests come. It is one value, read and written once for each micro-batch that the client is
+    seen in: a call for each millisecond would cost more than all the rest. What the watermark has left behind by a
+    whole window goes when the client is next seen, or by a timer. A client with state has one timer, at or before
+    the moment its state may go.
     """
 
     def __init__(self, window_ms: int):
@@ -59,39 +63,37 @@ class RateRing(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.moments = handle.getMapState("moments", "ts_ms bigint", "n bigint")
-
-    def _kept(self, watermark: int) -> list[tuple[int, int]]:
-        kept = []
-        for (moment,), (n,) in list(self.moments.iterator()):
-            if moment <= watermark - self.window_ms:
-                self.moments.removeKey((moment,))
-            else:
-                kept.append((moment, n))
-        return sorted(kept)
-
-    def _wake(self, kept: list[tuple[int, int]]) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if kept:
-            self.handle.registerTimer(kept[-1][0] + self.window_ms)
+        self.ring = handle.getValueState("ring", "moments binary")
+
+    def _kept(self, state: tuple | None, fresh: Counter[int], watermark: int) -> list[tuple[int, int]]:
+        """Stored and fresh moments with their requests, in order, without those that no window needs any more."""
+        packed = array("q", state[0] if state else b"")
+        counts = Counter(dict(zip(packed[::2], packed[1::2])))
+        counts.update(fresh)
+        return sorted((moment, n) for moment, n in counts.items() if moment > watermark - self.window_ms)
+
+    def _keep(self, kept: list[tuple[int, int]]) -> None:
+        self.ring.update((array("q", chain.from_iterable(kept)).tobytes(),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         fresh: Counter[int] = Counter()
         for row in rows:
             fresh[row.ts_ms] += row.n
-        for moment, n in fresh.items():
-            known = self.moments.getValue((moment,)) if self.moments.containsKey((moment,)) else (0,)
-            self.moments.updateValue((moment,), (known[0] + n,))
-        kept = self._kept(timerValues.getCurrentWatermarkInMs())
-        self._wake(kept)
+        state = self.ring.get()
+        kept = self._kept(state, fresh, timerValues.getCurrentWatermarkInMs())
+        self._keep(kept)
+        if state is None:
+            self.handle.registerTimer(max(fresh) + self.window_ms)
         for moment, count in window_counts(kept, sorted(fresh), self.window_ms):
             yield Row(clientip=key[0], ts_ms=moment, window_count=count)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        kept = self._kept(timerValues.getCurrentWatermarkInMs())
+        kept = self._kept(self.ring.get(), Counter(), timerValues.getCurrentWatermarkInMs())
         if kept:
-            self._wake(kept)
+            self._keep(kept)
+            self.handle.registerTimer(kept[-1][0] + self.window_ms)
+        else:
+            self.ring.clear()
         return iter([])
 
     def close(self) -> None:

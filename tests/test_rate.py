@@ -1,6 +1,7 @@
 import random
 import time
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -9,7 +10,7 @@ from samples import requests
 from ramparts import rate_limit_breaches
 from ramparts.operators.rate import client_rates, with_rate_flag
 from ramparts.streaming import drained, rocksdb, stream_request_rates
-from ramparts.streaming.rates import window_counts
+from ramparts.streaming.rates import RateRing, window_counts
 
 
 def brute(moments, window):
@@ -116,3 +117,39 @@ def test_window_counts_reach_back_one_window():
     moments = [(0, 2), (5, 1), (10, 1), (14, 3), (30, 1)]
     assert list(window_counts(moments, [0, 5, 10, 14, 30], 10)) == [(0, 2), (5, 3), (10, 2), (14, 5), (30, 1)]
     assert list(window_counts(moments, [5], 10)) == [(5, 3), (10, 2), (14, 5)]
+
+
+def test_a_client_costs_few_state_calls():
+    """A micro-batch reads and writes a client's state once, however many moments it brings; one timer stands for it."""
+    calls, held = Counter(), {}
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            calls["get"] += 1
+            return held.get("value")
+
+        def update(self, value):
+            calls["update"] += 1
+            held["value"] = value
+
+        def clear(self):
+            held.clear()
+
+        def registerTimer(self, moment):
+            calls[moment] += 1
+
+    def at(watermark):
+        return SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark)
+
+    ring = RateRing(10)
+    ring.init(Handle())
+    first = list(ring.handleInputRows(("a",), [SimpleNamespace(ts_ms=t, n=1) for t in range(100)], at(0)))
+    assert len(first) == 100 and calls == {"get": 1, "update": 1, 109: 1}
+    late = list(ring.handleInputRows(("a",), [SimpleNamespace(ts_ms=95, n=2)], at(90)))
+    assert [(r.ts_ms, r.window_count) for r in late] == [(t, 12) for t in range(95, 100)]
+    assert calls == {"get": 2, "update": 2, 109: 1}
+    assert list(ring.handleExpiredTimer(("a",), at(108), None)) == [] and held and calls[109] == 2
+    assert list(ring.handleExpiredTimer(("a",), at(109), None)) == [] and not held
