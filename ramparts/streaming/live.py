@@ -11,6 +11,8 @@ from ramparts.operators.series import LATENESS, PERIOD, timed
 
 # Folder per micro-batch.
 BATCH = "batch"
+# Sliding windows that are counted in one row, at most.
+GROUPED = 16
 
 
 def stream_rate_limit(
@@ -18,20 +20,36 @@ def stream_rate_limit(
 ) -> DataFrame:
     """Clients with more than ``limit`` counted requests in a window that moves by ``slide``.
 
-    State is one count per client and open window, dropped as the watermark passes. Counts are
-    summed before the shuffle, so a client with very many requests costs no more than others.
-    Batch input gives the same windows.
+    Windows are counted in groups: one row of state holds the counts of a client in all the windows that begin within a
+    stretch as long as a window, so a request is in two rows of state, not in one for each window that holds it. Counts are
+    summed before the shuffle, so a client with very many requests costs no more than others. State is dropped
+    as the watermark passes a group's last window; only then does append mode give the group, and until then a late request
+    counts in all of its windows. Batch input gives the same windows.
     """
-    counts = (
-        timed(stream.filter(is_counted()), lateness)
-        .groupBy(F.window("ts", window, slide), "clientip")
-        .agg(F.count(F.lit(1)).alias("requests"))
-    )
-    return counts.filter(F.col("requests") > limit).select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "clientip", "requests"
+    window_ms, slide_ms = _millis(stream, window, slide)
+    starts = range(0, slide_ms * min(-(-window_ms // slide_ms), GROUPED), slide_ms)
+    group = F.window("ts", f"{starts[-1] + window_ms} milliseconds", f"{len(starts) * slide_ms} milliseconds")
+    at = F.col("ts_ms") - F.unix_millis("group.start")
+    held = [F.count_if((at >= start) & (at < start + window_ms)).alias(f"_{start}") for start in starts]
+    grouped = timed(stream.filter(is_counted()), lateness).withColumn("group", group).groupBy("group", "clientip").agg(*held)
+    counts = F.array(*[F.col(f"_{start}") for start in starts])
+    over = grouped.filter(F.array_max(counts) > limit).select("group", "clientip", F.posexplode(counts).alias("no", "requests"))
+    begin = F.unix_millis("group.start") + F.col("no") * slide_ms
+    return over.filter(F.col("requests") > limit).select(
+        F.timestamp_millis(begin).alias("window_start"),
+        F.timestamp_millis(begin + window_ms).alias("window_end"),
+        "clientip",
+        "requests",
     )
 
 
+def _millis(rows: DataFrame, *spans: str) -> list[int]:
+    """Lengths of intervals, as ``F.window`` takes them, in milliseconds."""
+    epoch = F.timestamp_millis(F.lit(0))
+    lengths = [F.unix_millis(epoch + F.lit(span).cast("interval")) for span in spans]
+    return list(rows.sparkSession.range(1).select(*lengths).first())
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Append finished windows to Parquet files, each exactly once."""
     return (

@@ -268,3 +268,24 @@ def test_one_root_for_all_sinks(spark, tmp_path):
     register_log_table(spark, root, "mixed_root")
     assert spark.table("mixed_root").count() == 2
     spark.sql("DROP TABLE mixed_root")
+
+
+def test_a_request_is_in_two_rows_of_state(spark, rows, tmp_path):
+    """Not in one for each of the ten windows that hold it."""
+    requests(spark, {"clientip": "a", "ts_ms": 100_000}).write.parquet(str(tmp_path / "source"))
+    stream = spark.readStream.schema(requests(spark, {}).schema).parquet(str(tmp_path / "source"))
+    query = (
+        stream_rate_limit(stream, limit=0)
+        .writeStream.format("memory").queryName("rate_state").outputMode("update").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.table("rate_state").count() == 10
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) == 2
+
+
+def test_uneven_slides_give_plain_windows(spark, rows):
+    asked = requests(spark, *({"clientip": "a", "ts_ms": t * 7_001 - 40_000} for t in range(40)))
+    for window, slide in (("1 minute", "45 seconds"), ("1 minute", "1 minute"), ("2 minutes", "5 seconds")):
+        plain = asked.withColumn("ts", F.timestamp_millis("ts_ms")).groupBy(F.window("ts", window, slide)).count().filter("count > 2")
+        found = stream_rate_limit(asked, 2, window, slide)
+        assert rows(found, "window_start", "window_end", "requests") == rows(plain, "window.start", "window.end", "count")
