@@ -24,6 +24,8 @@ from ramparts.streaming import drained, ingest, line_stream, rocksdb, stream_rat
 BLOCKED_RANGES = ["10.0.0.0/28", "10.0.0.77/32", "10.0.1.0/24"]
 URI_PATTERNS = ["etc/passwd", "user/login", "Admin/Backdoor"]
 RETAINED_DAYS = 7
+# Lines in a landed file, at most.
+LANDED_LINES = 50_000
 # Stands for the last event time where there are no events.
 NO_EVENT = datetime(2020, 1, 2)
 
@@ -152,7 +154,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land lines as text, ingest them as a stream, read back what was stored and what was refused."""
     work = scratch_path(spark, "ingest")
     lines = derived.log_lines(derived.events(spark, sf_dir))
-    lines.write.option("compression", "gzip").text(f"{work}/landing")
+    # Compressed files are read whole by one task each, so they are kept small however many rows a task derives.
+    lines.write.option("compression", "gzip").option("maxRecordsPerFile", str(LANDED_LINES)).text(f"{work}/landing")
     query = ingest(
         line_stream(spark, f"{work}/landing"), f"{work}/log", f"{work}/errors", f"{work}/state", {"availableNow": True}
     )

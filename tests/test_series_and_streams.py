@@ -289,3 +289,16 @@ def test_uneven_slides_give_plain_windows(spark, rows):
         plain = asked.withColumn("ts", F.timestamp_millis("ts_ms")).groupBy(F.window("ts", window, slide)).count().filter("count > 2")
         found = stream_rate_limit(asked, 2, window, slide)
         assert rows(found, "window_start", "window_end", "requests") == rows(plain, "window.start", "window.end", "count")
+
+
+def test_landed_files_are_small(spark, tmp_path, monkeypatch):
+    """A compressed file is one task's: the lines of one input file land in many."""
+    from ramparts.plans import catalogue
+
+    monkeypatch.setattr(catalogue, "LANDED_LINES", 10)
+    monkeypatch.setattr(catalogue, "scratch_path", lambda spark, purpose: str(tmp_path / purpose))
+    events = "id AS event_id, timestamp_ntz'2024-01-05 03:00:00' AS ts, id AS user_id, 'error' AS event_type, 1D AS value, '{\"k\": 1}' AS props"
+    spark.range(0, 100, 1, 1).selectExpr(*events.split(", ")).write.parquet(str(tmp_path / "events.parquet"))
+    found = catalogue.stream_ingest(spark, str(tmp_path))
+    assert found.agg(F.sum("lines")).first()[0] == 100
+    assert len(list((tmp_path / "ingest" / "landing").glob("part-*.gz"))) == 10
