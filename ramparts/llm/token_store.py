@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,7 +33,36 @@ from ramparts.session import scratch_path
 FRAME_TOKENS, INDEX_RECORDS, END_ID = 1 << 16, 1 << 16, 1
 RECORD = np.dtype([("known", "u1"), ("doc_id", "<i8"), ("start", "<u8"), ("n_tokens", "<u8")])
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
-MOST_WORDS, LONGEST_WORD = 450_000, 64
+MOST_WORDS, MOST_PARTS, LONGEST_WORD = 450_000, 200_000, 64
+
+# What a tokenizer must do to a text before its model for PLAIN words to be cut here: lower case, then runs of letters
+# and runs of marks as byte characters. Letters are those of ASCII and Latin-1, which NFC leaves alone and whose lower case
+# is one letter of the same kind. Marks are those of ASCII but for the apostrophe, with which contractions begin.
+BEFORE_MODEL = {
+    "truncation": None,
+    "padding": None,
+    "post_processor": None,
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)").fullmatch
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [byte for byte in range(256) if byte not in _VISIBLE]
+BYTE_CHARACTERS = {byte: 256 + n for n, byte in enumerate(_OTHERS)}
 
 
 class Writer:
@@ -129,29 +159,60 @@ class Reader:
             yield of(int(record["start"]), int(record["start"] + record["n_tokens"]))
 
 
-class WordIds(dict):
-    """Ids of blank-separated words as packed bytes: a bounded table in front of the tokenizer, which drops white
-    space and lets nothing reach across it, so that a text's ids are those of its words one after the other. When it
-    is full it becomes the older one, from which words still in use come back."""
+class Bounded(dict):
+    """A table in front of ``make``. When it is full it becomes the older one, from which entries still in use come back.
+    Long keys are not kept."""
 
-    def __init__(self, path: str):
+    def __init__(self, make: Callable, most: int):
         super().__init__()
-        self.tokenizer, self.older = Tokenizer.from_file(path), {}
+        self.make, self.most, self.older = make, most, {}
 
-    def __missing__(self, word: bytes) -> bytes:
-        found = self.older.get(word)
+    def __missing__(self, key):
+        found = self.older.get(key)
         if found is None:
-            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            found = struct.pack(f"<{len(ids)}I", *ids)
-        if len(word) <= LONGEST_WORD:
-            if len(self) >= MOST_WORDS:
+            found = self.make(key)
+        if len(key) <= LONGEST_WORD:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
-            self[word] = found
+            self[key] = found
         return found
 
+
+class WordIds:
+    """Ids of blank-separated words as packed bytes, a table in front of the tokenizer. It drops white space and lets
+    nothing reach across it, so a text's ids are those of its words one after the other.
+
+    Nor does its model reach from letters to the marks behind them. Plain words are cut there, and the library's model
+    encodes the parts, which many words share; all other words pass through the whole library.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        special = any(PLAIN(token["content"]) for token in spec.get("added_tokens") or ())
+        self.cuts = not special and all(spec.get(name) == value for name, value in BEFORE_MODEL.items())
+        self.words, self.parts = Bounded(self.word, MOST_WORDS), Bounded(self.part, MOST_PARTS)
+
+    def word(self, word: bytes) -> bytes:
+        text = word.decode()
+        plain = PLAIN(text) if self.cuts else None
+        if plain is None:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        letters, marks = plain.groups()
+        return (self.parts[letters.lower()] if letters else b"") + (self.parts[marks] if marks else b"")
+
+    def part(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        ids = [token.id for token in self.model.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def ids(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)

@@ -1,3 +1,7 @@
+import json
+import random
+
+import numpy as np
 import pyarrow.fs as pafs
 import public_tokenizers
 import pytest
@@ -27,6 +31,42 @@ def test_rows_come_back_from_the_files(spark):
     assert ts.stored_documents(frame.limit(0), PATH).count() == 0
 
 
+def test_words_are_cut_where_the_library_cuts_them():
+    """Plain words pass through its model alone and share parts; others, and those of other tokenizers, through all of it."""
+    words = ts.WordIds(PATH)
+    whole = []
+    words.tokenizer = type("Counted", (), {"encode": lambda self, text, **kind: whole.append(text) or LIBRARY.encode(text, **kind)})()
+    plain_words = ["word", "Word,", "WORD...", "élanÀß!?", "<|", "Ðþ-"]
+    others = ["it's", "a1", "x,y", "<|endoftext|>", "e\u0301", "\u0130x", "日本", "×a", "ª"]
+    draw = random.Random(5)
+    letters, marks = "aAzZÀÖØöøÿßÐþµªº×÷bcdeinorst", "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+    drawn = ["".join(draw.choices(letters, k=draw.randint(1, 7)) + draw.choices(marks, k=draw.randint(0, 3))) for _ in range(3000)]
+    for word in plain_words + others + drawn:
+        assert np.frombuffer(words.ids(word.encode()), "<u4").tolist() == encode(word), word
+    assert not set(plain_words) & set(whole) and set(others) <= set(whole)
+    assert "word" in words.parts and "," in words.parts and len(words.parts) < len(words.words)
+
+
+def test_other_tokenizers_are_not_cut(tmp_path):
+    spec = json.load(open(PATH, encoding="utf-8"))
+    spec["normalizer"] = {"type": "NFC"}
+    (tmp_path / "cased.json").write_text(json.dumps(spec))
+    cased = Tokenizer.from_file(str(tmp_path / "cased.json"))
+    words = ts.WordIds(str(tmp_path / "cased.json"))
+    for word in ("Word,", "WORD", "word"):
+        assert np.frombuffer(words.ids(word.encode()), "<u4").tolist() == cased.encode(word, add_special_tokens=False).ids
+    assert not words.parts
+
+
+def test_full_tables_change_nothing(monkeypatch):
+    monkeypatch.setattr(ts, "MOST_WORDS", 3)
+    monkeypatch.setattr(ts, "MOST_PARTS", 2)
+    words = ts.WordIds(PATH)
+    text = "One two, three. Two, four! one? " * 5 + "x" * 100
+    assert np.frombuffer(words.ids(text.encode()), "<u4").tolist() == encode(text)
+    assert len(words.words) <= 3 and len(words.parts) <= 2
+
+
 def test_null_and_repeated_ids(spark):
     frame = spark.createDataFrame([(None, "a b"), (1, "c"), (1, "d e f"), (1, "c")], "doc_id long, text string")
     rows = sorted(ts.stored_documents(frame, PATH).collect(), key=lambda r: r.start)
