@@ -5,7 +5,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -18,8 +19,8 @@ from ramparts.llm.shared import KEPT_BY_WORKER, free_name, map_batches
 
 # Limits of what a worker keeps between texts; beyond them a table starts anew, which changes no result.
 MOST_STATES, MOST_PAIRS, MOST_CHUNKS, LONGEST_CHUNK = 200_000, 1_000_000, 250_000, 64
-# Where ids are added to whole rows: documents whose ids are held at once, and chunks kept, as rows need memory too.
-ROWS_AT_ONCE, CHUNKS_BESIDE_ROWS = 500, 125_000
+# Where ids are added to whole rows: documents whose ids are held at once, chunks and states kept, as rows need memory too.
+ROWS_AT_ONCE, CHUNKS_BESIDE_ROWS, STATES_BESIDE_ROWS = 500, 80_000, 60_000
 SETTLED_AFTER = 4096
 DECODED_AT_ONCE = 8192
 
@@ -67,8 +68,8 @@ class Transducer:
     while it grew and that could still merge with what comes. Borders are numbered; 0 is one that nothing can cross.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], states: int = 0):
+        self.ranks, self.states_kept = ranks, states
         self.bytes = {rank: token for token, rank in ranks.items()}
         self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.stems = {token[:i] for token in ranks for i in range(1, len(token))}
@@ -85,7 +86,7 @@ class Transducer:
         self.start = self.state(((b"", 0),))
 
     def full(self) -> bool:
-        return len(self.states) > MOST_STATES or len(self.fits) + len(self.narrowed) > MOST_PAIRS
+        return len(self.states) > (self.states_kept or MOST_STATES) or len(self.fits) + len(self.narrowed) > MOST_PAIRS
 
     def state(self, begun: tuple) -> State:
         found = self.states.get(begun)
@@ -206,20 +207,20 @@ class Transducer:
 
 
 class Chunks(dict):
-    """Token ids of text chunks, with their decimal form: a bounded table in front of the transducer. When it is full
+    """Token ids of text chunks, in the encoder's form: a bounded table in front of the transducer. When it is full
     it becomes the older one, from which chunks still in use come back."""
 
     def __init__(self, encoder: Encoder, blank: str, most: int):
         super().__init__()
         self.encoder, self.blank, self.most, self.older = encoder, blank, most, {}
 
-    def __missing__(self, chunk: str) -> tuple[str, tuple[int, ...]]:
+    def __missing__(self, chunk: str):
         found = self.older.get(chunk)
         if found is None:
             ids: list[int] = []
             for piece in self.encoder.matches(self.blank + chunk):
                 ids += self.encoder.encode_piece(piece.encode())
-            found = " ".join(map(str, ids)), tuple(ids)
+            found = self.encoder.form(ids)
         if len(chunk) <= LONGEST_CHUNK:
             if len(self) >= self.most:
                 self.older = dict(self)
@@ -228,12 +229,24 @@ class Chunks(dict):
         return found
 
 
+def with_decimals(ids: list[int]) -> tuple[str, tuple[int, ...]]:
+    return " ".join(map(str, ids)), tuple(ids)
+
+
+def packed(ids: list[int]) -> bytes:
+    """Less memory than a tuple of ids and their decimal form take."""
+    return array("i", ids).tobytes()
+
+
 class Encoder:
-    """Texts to token ids: the pattern's matches are encoded one by one, without special tokens."""
+    """Texts to token ids: the pattern's matches are encoded one by one, without special tokens.
+
+    ``form`` is what ``chunks`` gives for the ids of a part. With ``beside_rows`` less is kept.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, chunks: int = 0):
-        chunks = chunks or MOST_CHUNKS
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, form: Callable = with_decimals, beside_rows: bool = False):
+        self.form, chunks = form, CHUNKS_BESIDE_ROWS if beside_rows else MOST_CHUNKS
+        self.transducer = Transducer(ranks, STATES_BESIDE_ROWS if beside_rows else 0)
         self.matches = regex.compile(pattern).findall
         self.careful = None
         self.pattern = pattern
@@ -260,12 +273,12 @@ class Encoder:
         whole = self.transducer.ranks.get(piece)
         return [whole] if whole is not None else self.transducer.encode(piece)
 
-    def chunks(self, text: str) -> list[tuple[str, tuple[int, ...]]]:
-        """(decimal ids, ids) of consecutive parts of the text. A single blank between two words always begins a
+    def chunks(self, text: str) -> list:
+        """Ids of consecutive parts of the text, each in the encoder's form. A single blank between two words always begins a
         match, so such texts are cut there; others stay whole."""
         if self.unclean(text) or self.unknown(text):
-            ids = tuple(self.encode_pieces(text))
-            return [(" ".join(map(str, ids)), ids)] if ids else []
+            ids = list(self.encode_pieces(text))
+            return [self.form(ids)] if ids else []
         head, *rest = text.split(" ")
         return [self.first[head], *map(self.later.__getitem__, rest)] if text else []
 
@@ -312,9 +325,9 @@ def decoded(tokens: dict[int, bytes], ids: Iterable[int]) -> Iterator[str]:
 
 
 @lru_cache(maxsize=2)
-def encoder_of(path: str, pattern: str, chunks: int = 0) -> Encoder:
-    """One for each worker, vocabulary, pattern and number of chunks kept (0: ``MOST_CHUNKS``)."""
-    return Encoder(read_ranks(path), pattern, chunks)
+def encoder_of(path: str, pattern: str, form: Callable = with_decimals, beside_rows: bool = False) -> Encoder:
+    """One for each worker, vocabulary, pattern and form of ids."""
+    return Encoder(read_ranks(path), pattern, form, beside_rows)
 
 
 def _let_go() -> None:
@@ -338,14 +351,14 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Dat
             yield part(batch.slice(at, ROWS_AT_ONCE))
 
     def part(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoder = encoder_of(path, pattern, CHUNKS_BESIDE_ROWS)
+        encoder = encoder_of(path, pattern, packed, True)
         tokens = encoder.transducer.bytes
         ids, back = [], []
         for value in batch.column(text):
             value = value.as_py() or ""
-            found = list(chain.from_iterable([i for _, i in encoder.chunks(value)]))
-            back.append("".join(decoded(tokens, found)) == value)
-            ids.append(np.array(found, np.int32))
+            found = np.frombuffer(b"".join(encoder.chunks(value)), np.int32)
+            back.append("".join(decoded(tokens, found.tolist())) == value)
+            ids.append(found)
         lengths = np.array([0, *map(len, ids)], np.int64)
         values = pa.array(np.concatenate([np.empty(0, np.int32), *ids]))
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths).astype(np.int32)), values)

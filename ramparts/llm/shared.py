@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
@@ -54,12 +55,20 @@ def partitions(spark: SparkSession, rows_per_key: int = 1) -> int:
 KEPT_BY_WORKER: dict[str, Callable[[], None]] = {}
 
 
+# The C library's call that gives free memory back, where it has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def _let_go_of_others(owner: str) -> None:
-    """A worker serves one stage after another; what an earlier operator keeps in it is of no use to this one."""
+    """A worker serves one stage after another; what an earlier operator keeps in it is of no use to this one, nor is
+    memory that is free but not yet given back to the system."""
     for module, let_go in list(KEPT_BY_WORKER.items()):
         if module != owner:
             let_go()
     gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
 
 
 def map_in_arrow(rows: DataFrame, run: Callable, schema, owner: str = "") -> DataFrame:

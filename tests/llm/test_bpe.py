@@ -46,6 +46,19 @@ def test_small_tables_change_nothing(monkeypatch):
         assert [i for _, part in encoder.chunks(text) for i in part] == LIBRARY.encode_ordinary(text)
 
 
+def test_beside_rows_less_is_kept(monkeypatch):
+    """Of a chunk its packed ids alone, and as many states and chunks as their own limits say; the ids are the same."""
+    monkeypatch.setattr(bpe, "STATES_BESIDE_ROWS", 30)
+    monkeypatch.setattr(bpe, "CHUNKS_BESIDE_ROWS", 4)
+    encoder = bpe.Encoder(RANKS, PATTERN, bpe.packed, True)
+    for text in [*HARD, "the thinner thing then thinking of things unbelievable internationalisation", "abc abd the then thin"]:
+        assert list(memoryview(b"".join(encoder.chunks(text))).cast("i")) == LIBRARY.encode_ordinary(text)
+        encoder.transducer.encode(b"the")
+        assert len(encoder.first) <= 4 and len(encoder.later) <= 4
+        assert len(encoder.transducer.states) <= 30 + len("the") + 1
+    assert all(type(ids) is bytes for ids in encoder.later.values())
+
+
 def test_decoder_gives_whole_characters_as_soon_as_it_can():
     tokens = {i: bytes([i]) for i in range(256)}
     decoder = bpe.Decoder(tokens)
