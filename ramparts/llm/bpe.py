@@ -6,7 +6,7 @@ import base64
 import hashlib
 import re
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ramparts.llm.shared import KEPT_BY_WORKER, free_name, map_batches
 
 # Limits of what a worker keeps between texts; beyond them a table starts anew, which changes no result.
-MOST_STATES, MOST_PAIRS, MOST_CHUNKS, LONGEST_CHUNK = 200_000, 1_000_000, 250_000, 64
-# Where ids are added to whole rows: documents whose ids are held at once, chunks and states kept, as rows need memory too.
-ROWS_AT_ONCE, CHUNKS_BESIDE_ROWS, STATES_BESIDE_ROWS = 500, 80_000, 60_000
+MOST_STATES, MOST_PAIRS, MOST_CHUNKS, MOST_PIECES, LONGEST_CHUNK = 200_000, 1_000_000, 250_000, 250_000, 64
+# Where ids are added to whole rows: documents whose ids are held at once, chunks, pieces and states kept, as rows need memory too.
+ROWS_AT_ONCE, CHUNKS_BESIDE_ROWS, PIECES_BESIDE_ROWS, STATES_BESIDE_ROWS = 500, 80_000, 20_000, 60_000
 SETTLED_AFTER = 4096
 DECODED_AT_ONCE = 8192
 
@@ -45,14 +45,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class State:
-    """A set of places where a token may have begun, each as the bytes read since and the border before it."""
+class State(dict):
+    """A set of places where a token may have begun, each as the bytes read since and the border before it. Gives for a
+    byte the next state and the last token of what has been read; ``move`` makes both on first use."""
 
-    __slots__ = ("begun", "moves")
+    __slots__ = ("begun", "move")
 
-    def __init__(self, begun: tuple[tuple[bytes, int], ...]):
-        self.begun = begun
-        self.moves: dict[int, tuple[State, int]] = {}
+    def __init__(self, begun: tuple[tuple[bytes, int], ...], move: Callable):
+        super().__init__()
+        self.begun, self.move = begun, move
+
+    def __missing__(self, byte: int) -> tuple[State, int]:
+        found = self[byte] = self.move(self.begun, byte)
+        return found
 
 
 class Transducer:
@@ -74,6 +79,7 @@ class Transducer:
         self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.stems = {token[:i] for token in ranks for i in range(1, len(token))}
         self.single = [bytes((byte,)) for byte in range(256)]
+        self.next = self.move  # one bound method for all states
         self.reset()
 
     def reset(self) -> None:
@@ -91,7 +97,7 @@ class Transducer:
     def state(self, begun: tuple) -> State:
         found = self.states.get(begun)
         if found is None:
-            found = self.states[begun] = State(begun)
+            found = self.states[begun] = State(begun, self.next)
         return found
 
     def number(self, border: tuple) -> int:
@@ -132,11 +138,17 @@ class Transducer:
     def narrow(self, border: int, read: bytes) -> int:
         """What is left of a border when the next token begins with ``read``."""
 
+        rank_of, stems = self.ranks.get, self.stems
+
         def may_cross(x: bytes, until: int | None) -> bool:
-            if x + read in self.stems:
-                return True
-            merges = (self.ranks.get(x + read[:size]) for size in range(1, len(read) + 1))
-            return any(merge is not None and (until is None or merge < until) for merge in merges)
+            for size in range(1, len(read) + 1):
+                joined = x + read[:size]
+                merge = rank_of(joined)
+                if merge is not None and (until is None or merge < until):
+                    return True
+                if joined not in stems:  # then nothing longer is a token, nor part of one's beginning
+                    return False
+            return True
 
         found = self.number(tuple(end for end in self.borders[border] if may_cross(*end)))
         self.narrowed[border, read] = found
@@ -155,11 +167,11 @@ class Transducer:
         self.fits[border, token] = found
         return found
 
-    def move(self, state: State, byte: int) -> tuple[State, int]:
-        """The next state and the last token of what has been read, made on first use."""
+    def move(self, before: tuple, byte: int) -> tuple[State, int]:
+        """The next state and the last token of what has been read."""
         begun, last, letter = [], -1, self.single[byte]
         rank_of, stems, fits, narrowed = self.ranks.get, self.stems, self.fits, self.narrowed
-        for read, border in state.begun:
+        for read, border in before:
             token = read + letter
             if last < 0:
                 rank = rank_of(token)
@@ -173,8 +185,7 @@ class Transducer:
                     border = self.narrow(border, token) if known is None else known
                 begun.append((token, border))
         begun.append((b"", self.border(last)))
-        state.moves[byte] = found = self.state(tuple(begun)), last
-        return found
+        return self.state(tuple(begun)), last
 
     def back(self, lasts: list[int], end: int) -> list[int]:
         """Tokens of the first ``end`` bytes read."""
@@ -189,9 +200,8 @@ class Transducer:
             self.reset()
         state, lasts, out = self.start, [], []
         for byte in piece:
-            step = state.moves.get(byte) or self.move(state, byte)
-            state = step[0]
-            lasts.append(step[1])
+            state, last = state[byte]
+            lasts.append(last)
             if len(lasts) == SETTLED_AFTER:
                 ways = [self.back(lasts, len(lasts) - len(read)) for read, _ in state.begun]
                 settled = 0
@@ -206,34 +216,31 @@ class Transducer:
         return out + self.back(lasts, len(lasts))
 
 
-class Chunks(dict):
-    """Token ids of text chunks, in the encoder's form: a bounded table in front of the transducer. When it is full
-    it becomes the older one, from which chunks still in use come back."""
+class Recent(dict):
+    """A bounded table of what ``make`` gives for texts. When it is full it becomes the older one, from which texts
+    still in use come back."""
 
-    def __init__(self, encoder: Encoder, blank: str, most: int):
+    def __init__(self, make: Callable, most: int):
         super().__init__()
-        self.encoder, self.blank, self.most, self.older = encoder, blank, most, {}
+        self.make, self.most, self.older = make, most, {}
 
-    def __missing__(self, chunk: str):
-        found = self.older.get(chunk)
+    def __missing__(self, text: str):
+        found = self.older.get(text)
         if found is None:
-            ids: list[int] = []
-            for piece in self.encoder.matches(self.blank + chunk):
-                ids += self.encoder.encode_piece(piece.encode())
-            found = self.encoder.form(ids)
-        if len(chunk) <= LONGEST_CHUNK:
+            found = self.make(text)
+        if len(text) <= LONGEST_CHUNK:
             if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
-            self[chunk] = found
+            self[text] = found
         return found
 
 
-def with_decimals(ids: list[int]) -> tuple[str, tuple[int, ...]]:
+def with_decimals(ids: Sequence[int]) -> tuple[str, tuple[int, ...]]:
     return " ".join(map(str, ids)), tuple(ids)
 
 
-def packed(ids: list[int]) -> bytes:
+def packed(ids: Sequence[int]) -> bytes:
     """Less memory than a tuple of ids and their decimal form take."""
     return array("i", ids).tobytes()
 
@@ -241,18 +248,31 @@ def packed(ids: list[int]) -> bytes:
 class Encoder:
     """Texts to token ids: the pattern's matches are encoded one by one, without special tokens.
 
-    ``form`` is what ``chunks`` gives for the ids of a part. With ``beside_rows`` less is kept.
+    Tables stand in front of the transducer: one of chunks, that is what stands between blanks, and behind it one of
+    the pattern's matches, which chunks of a word and various marks or line ends share. ``form`` is what ``chunks`` gives
+    for the ids of a part. With ``beside_rows`` less is kept.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, form: Callable = with_decimals, beside_rows: bool = False):
-        self.form, chunks = form, CHUNKS_BESIDE_ROWS if beside_rows else MOST_CHUNKS
+        self.form = form
+        chunks, pieces = (CHUNKS_BESIDE_ROWS, PIECES_BESIDE_ROWS) if beside_rows else (MOST_CHUNKS, MOST_PIECES)
         self.transducer = Transducer(ranks, STATES_BESIDE_ROWS if beside_rows else 0)
         self.matches = regex.compile(pattern).findall
         self.careful = None
         self.pattern = pattern
-        self.unknown = re.compile(f"[{UNKNOWN_LETTERS}]").search
-        self.unclean = re.compile(r"\s |\s$| \s|^\s").search
-        self.first, self.later = Chunks(self, "", chunks), Chunks(self, " ", chunks)
+        self.beyond = re.compile(f"[{UNKNOWN_LETTERS[0]}-\U0010ffff]").search
+        self.unknown_letter = re.compile(f"[{UNKNOWN_LETTERS}]").search
+        self.beside_blank = re.compile(r"\s(?: |(?<= \s))").search
+        self.known = Recent(self.piece_ids, pieces)
+        self.first, self.later = Recent(self.chunk, chunks), Recent(lambda chunk: self.chunk(" " + chunk), chunks)
+
+    def unclean(self, text: str) -> bool:
+        """Whether white space stands beside a blank or at an end of the text."""
+        return bool(self.beside_blank(f" {text} "))
+
+    def unknown(self, text: str) -> bool:
+        """Whether the text has unknown letters. Most texts end with the first, quicker question."""
+        return bool(self.beyond(text) and self.unknown_letter(text))
 
     def pieces(self, text: str) -> list[str]:
         if not self.unknown(text):
@@ -273,6 +293,14 @@ class Encoder:
         whole = self.transducer.ranks.get(piece)
         return [whole] if whole is not None else self.transducer.encode(piece)
 
+    def piece_ids(self, piece: str) -> tuple[int, ...]:
+        return tuple(self.encode_piece(piece.encode()))
+
+    def chunk(self, chunk: str):
+        """Ids of a chunk without unknown letters, in the encoder's form."""
+        found = [self.known[piece] for piece in self.matches(chunk)]
+        return self.form(found[0] if len(found) == 1 else tuple(chain.from_iterable(found)))
+
     def chunks(self, text: str) -> list:
         """Ids of consecutive parts of the text, each in the encoder's form. A single blank between two words always begins a
         match, so such texts are cut there; others stay whole."""

@@ -59,6 +59,23 @@ def test_beside_rows_less_is_kept(monkeypatch):
     assert all(type(ids) is bytes for ids in encoder.later.values())
 
 
+def test_chunks_share_their_matches(monkeypatch):
+    """A word that stands before various marks and line ends goes through the transducer once."""
+    encoder, seen = bpe.Encoder(RANKS, PATTERN), []
+    encode = encoder.transducer.encode
+    monkeypatch.setattr(encoder.transducer, "encode", lambda piece: seen.append(piece) or encode(piece))
+    text = "so thnderwhont thnderwhont, thnderwhont. thnderwhont.\nSo thnderwhont; thnderwhont!"
+    assert [i for _, part in encoder.chunks(text) for i in part] == LIBRARY.encode_ordinary(text)
+    assert seen.count(b" thnderwhont") == 1 and len(seen) == len(set(seen))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=" \n\tab", min_size=1, max_size=6))
+def test_white_space_beside_blanks(text):
+    encoder = bpe.encoder_of(PATH, PATTERN)
+    assert encoder.unclean(text) == any(not part or part[0].isspace() or part[-1].isspace() for part in text.split(" ") if text)
+
+
 def test_decoder_gives_whole_characters_as_soon_as_it_can():
     tokens = {i: bytes([i]) for i in range(256)}
     decoder = bpe.Decoder(tokens)
