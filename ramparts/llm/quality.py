@@ -7,13 +7,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ramparts.llm.shared import free_name
 
 BLANKS = r"[\x20\x09-\x0D]+"
-SYMBOLS = r"[#*$%&|<>]"
+WORD_IN_BLANKS = r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+"
+NO_SYMBOLS = r"[^#*$%&|<>]+"
 WINDOW = 3
 # Base rules of a document.
 LEAST_WORDS, MOST_REPEATED = 50, 50
 # Rules of a line. A line that breaks one is removed.
 SENTENCE_END = r"[.!?…。！？]"
 SEPARATORS = r"[\x20\x09-\x0D][|»›>·•/][\x20\x09-\x0D]|::"
+IN_SEPARATORS = r"[|»›>·•/:]"  # no separator is without one of these
 MOST_SYMBOLS = 10  # per cent of a line's characters that are no blanks
 MOST_CAPITALS = 60  # per cent of a line's letters, from CAPITAL_WORDS words on
 CAPITAL_WORDS = 5
@@ -34,11 +36,19 @@ def let(value: Column, body) -> Column:
 
 def words_of(text: Column) -> Column:
     """Words of a text; a null has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
+
+
+def count_outside(text: Column, others: str) -> Column:
+    """Characters of ``text`` that are not in runs of ``others``: no array of single characters is made to count them."""
+    return F.length(F.regexp_replace(text, others, ""))
 
 
 def repeated_words(words: Column) -> Column:
-    """Words that lie in windows of three words that the text has twice or more."""
+    """Words that lie in windows of three words that the text has twice or more.
+
+    Windows of one sum are looked for first, as equal windows have equal sums; the others are compared themselves.
+    """
 
     def covered(windows: Column) -> Column:
         def twice(s: Column, j: Column) -> Column:
@@ -57,11 +67,21 @@ def repeated_words(words: Column) -> Column:
         )
 
     def of(w: Column) -> Column:
-        window = lambda i: F.struct(
-            F.concat_ws(" ", *[F.get(w, i + k) for k in range(WINDOW)]).alias("w"), i.alias("i")
-        )
-        windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), window))
-        return F.when(F.size(w) < WINDOW, 0).otherwise(let(windows, covered))
+        def compared(sums: Column) -> Column:
+            window = lambda i: F.struct(
+                F.concat_ws(" ", *[F.get(w, i + k) for k in range(WINDOW)]).alias("w"), i.alias("i")
+            )
+            ordered = F.sort_array(F.transform(sums, lambda s, i: F.struct(s.alias("s"), i.alias("i"))))
+
+            def alike(o: Column) -> Column:
+                beside = lambda s, j: F.coalesce(s["s"] == F.get(o, j)["s"], F.lit(False))
+                return F.filter(o, lambda s, j: beside(s, F.when(j > 0, j - 1)) | beside(s, j + 1))
+
+            return let(F.sort_array(F.transform(let(ordered, alike), lambda s: window(s["i"]))), covered)
+
+        sums = F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)]))
+        distinct = lambda s: F.size(F.array_distinct(s)) == F.size(s)
+        return F.when(F.size(w) < WINDOW, 0).otherwise(let(sums, lambda s: F.when(distinct(s), 0).otherwise(compared(s))))
 
     return let(words, of)
 
@@ -70,18 +90,17 @@ def line_fails(line: Column) -> Column:
     """Whether a line with a word breaks a punctuation, symbol, capitals, navigation or boilerplate rule."""
 
     def judged(n_words: Column) -> Column:
-        solid = F.length(F.regexp_replace(line, BLANKS, ""))
-        capitals, letters = F.regexp_count(line, F.lit(r"\p{Lu}")), F.regexp_count(line, F.lit(r"\p{L}"))
+        capitals, letters = count_outside(line, r"[^\p{Lu}]+"), count_outside(line, r"[^\p{L}]+")
         separators = F.regexp_count(line, F.lit(SEPARATORS))
         return (
             ~line.rlike(SENTENCE_END)
-            | (100 * F.regexp_count(line, F.lit(SYMBOLS)) > MOST_SYMBOLS * solid)
+            | (100 * count_outside(line, NO_SYMBOLS) > MOST_SYMBOLS * count_outside(line, BLANKS))
             | ((n_words >= CAPITAL_WORDS) & (100 * capitals > MOST_CAPITALS * letters))
-            | ((separators >= 1) & (n_words - separators <= SEGMENT_WORDS * (separators + 1)))
+            | (line.rlike(IN_SEPARATORS) & (separators >= 1) & (n_words - separators <= SEGMENT_WORDS * (separators + 1)))
             | ((n_words <= BOILERPLATE_WORDS) & F.lower(line).rlike(BOILERPLATE))
         )
 
-    return let(F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+")), judged)
+    return let(F.length(F.regexp_replace(line, WORD_IN_BLANKS, "w")), judged)
 
 
 def cleaned_lines(lines: Column) -> Column:
@@ -105,7 +124,7 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
         F.struct(
             n_words.cast("long").alias("n_words"),
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-            F.regexp_count(value, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+            count_outside(value, NO_SYMBOLS).cast("long").alias("n_symbols"),
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
             repeated_words(words).cast("long").alias("n_repeat_words"),
             F.array_join(cleaned_lines(lines), "\n").alias("clean_text"),

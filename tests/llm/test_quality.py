@@ -1,3 +1,7 @@
+import random
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +71,25 @@ def test_cleaned_documents(spark, plan):
     assert sorted(str(r.doc_id) for r in rows) == ["1", "1", "2", "7", "None"]
     assert all(r.text == lines(3000 if r.doc_id == 7 else 5) and r.n_chars == len(r.text) for r in rows)
     assert plan(kept).count("transform(sequence") == 1
+
+
+def test_no_array_of_single_characters_is_made(spark, plan):
+    """Letters and symbols are counted without a string for each."""
+    shown = plan(quality.quality_report(documents(spark)))
+    assert all(f", {single}, 0)" not in shown for single in (r"\p{L}", r"\p{Lu}", r"[#*$%&|<>]"))
+
+
+def test_counts_of_drawn_texts(spark):
+    draw, rows = random.Random(4), []
+    for i in range(400):
+        parts = draw.choices(["a", "B.", "ÉÈ", "c|", " | ", "::", "\n", "\t", "  ", "\x1c", "#", "\U0001d400x", "日本。", "aA\x00"], k=i % 60)
+        rows.append((i, draw.choice(["", " "]).join(p + draw.choice(["", " "]) for p in parts)))
+    rows.append((400, " ".join(map(str, [*range(3000), *range(1000, 2000), 7, 7, 7, 7]))))
+    found = {r.doc_id: r for r in quality.quality_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc_id, text in rows:
+        words, row = re.findall(r"[^\x20\x09-\x0D]+", text), found[doc_id]
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        times = Counter(windows)
+        covered = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
+        expected = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(covered))
+        assert (row.n_words, row.word_chars, row.n_symbols, row.n_repeat_words) == expected
